@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.functions.binding import bind
+
 SEARCH = "(?iduU)"
 SEARCH_LINES = "(?imduU)"
 GAP = r"[\s\S]*?"
@@ -67,4 +69,4 @@ def with_ranked_search(
             order = F.when(F.col(name) != "", F.lit(rank)).otherwise(order)
         merged[field], merged[f"{field}_rank"] = value, order
     drop = [tmp(f, r) for f, ps in fields.items() for r in range(len(ps))]
-    return df.withColumns(merged).drop(*drop)
+    return bind(df.withColumns(merged).drop(*drop), list(merged))

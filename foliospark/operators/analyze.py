@@ -16,6 +16,7 @@ from foliospark import rules
 from foliospark.functions import dates as D
 from foliospark.functions import money as M
 from foliospark.functions import text as T
+from foliospark.functions.binding import bind
 from foliospark.operators.skew import SALTS, groups_of, lookup_join, with_ordinal
 
 GROUP_KEYS = ("vendor_name", "invoice_number", "amount")
@@ -94,11 +95,13 @@ def duplicate_alert_rows(records: DataFrame, salts: int = SALTS) -> DataFrame:
 
 
 def _contract_dates(records: DataFrame) -> DataFrame:
-    return records.where(
+    contracts = records.where(
         (F.col("document_type") == "contract")
         & succeeded()
         & (F.coalesce("termination_date", F.lit("")) != "")
-    ).withColumn("_expiry", D.iso_timestamp(F.col("termination_date")))
+    )
+    dated = contracts.withColumn("_expiry", D.iso_timestamp(F.col("termination_date")))
+    return bind(dated, ["_expiry"])
 
 
 def expiring_contracts(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from foliospark import rules
 from foliospark.functions import json as J
 from foliospark.functions import text as T
+from foliospark.functions.binding import bind
 from foliospark.functions.patterns import search
 from foliospark.rules import Keywords, RuleSet
 
@@ -109,10 +110,11 @@ def classify_by_content(
     scored = df.withColumn("_text_lower", F.lower(text)).withColumn(
         "_best", best_score(keyword_scores(F.col("_text_lower"), rule_set.content))
     )
+    scored = bind(scored.drop("_text_lower"), ["_best"])
     doc_type, confidence, method = _content_result(F.col("_best"), rule_set)
     return scored.withColumns(
         {"predicted_type": doc_type, "confidence": confidence, "method": method}
-    ).drop("_text_lower", "_best")
+    ).drop("_best")
 
 
 def classify_with_rules(
@@ -140,7 +142,9 @@ def classify_with_rules(
                 best_score(keyword_scores(F.col("_text_lower"), rule_set.content)),
             ),
         )
+        .drop("_text_lower")
     )
+    typed = bind(typed, ["_blank", "_by_name", "_best"])
     blank, by_name = F.col("_blank"), F.col("_by_name")
     doc_type, confidence, method = _content_result(F.col("_best"), rule_set)
     named = by_name.isNotNull()
@@ -197,6 +201,7 @@ def parse_classification_responses(responses: DataFrame, origin: str = "llm") ->
             ).otherwise(0.5),
         }
     )
+    read = bind(read, ["_v", "_call_error", "_type", "_confidence"])
     failure = F.coalesce(
         F.col("_call_error"),
         F.when(F.col("response").isNull(), "no response"),

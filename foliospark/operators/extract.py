@@ -9,6 +9,7 @@ from foliospark import rules
 from foliospark.functions import json as J
 from foliospark.functions import money as M
 from foliospark.functions import text as T
+from foliospark.functions.binding import bind
 from foliospark.functions.patterns import commit_to_first_lead, search
 
 Patterns = dict[str, dict[str, str]]
@@ -83,9 +84,8 @@ def extract_fields(
                 ),
             )
         )
-    return df.withColumn("rule_fields", F.array_compact(F.array(*entries))).drop(
-        *(f"_raw_{f}" for f in raw)
-    )
+    found = df.withColumn("rule_fields", F.array_compact(F.array(*entries)))
+    return bind(found.drop(*(f"_raw_{f}" for f in raw)), ["rule_fields"])
 
 
 def field_provenance(df: DataFrame, fields: str = "rule_fields") -> DataFrame:
@@ -172,7 +172,7 @@ def extraction_status(
         .when(failure.isNull(), "success_hybrid")
         .otherwise("failed_llm")
     )
-    return read.withColumns(
+    done = read.withColumns(
         {
             "extraction_status": status,
             "error": F.when(no_text, "source text file not found").when(F.col("_open"), failure),
@@ -181,6 +181,7 @@ def extraction_status(
             ),
         }
     ).drop("_wanted", "_open")
+    return bind(done, ["_answer", "extraction_status", "error", "reason"])
 
 
 def merge_gap_fill(
@@ -223,11 +224,12 @@ def merge_gap_fill(
                 ),
             )
         )
-    return (
+    merged = (
         df.withColumn("fields", F.array_compact(F.array(*entries)))
         .withColumn("answer", F.when(usable, F.col("_answer")))
         .drop("_found", "_answer")
     )
+    return bind(merged, ["fields"])
 
 
 def record_wide(df: DataFrame, schemas: Schemas = rules.TARGET_SCHEMAS) -> DataFrame:

@@ -6,6 +6,8 @@ its text), so parsing a corpus needs no shuffle at all.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from foliospark import rules
 from foliospark.functions import dates as D
 from foliospark.functions import money as M
 from foliospark.functions import text as T
+from foliospark.functions.binding import bind
 from foliospark.functions.patterns import SEARCH_LINES, with_ranked_search
 from foliospark.operators.classify import ordered_keyword_class
 
@@ -71,6 +74,10 @@ def _matches(text: Column, rank: int) -> Column:
     return F.when(text.rlike(SEARCH_LINES + _AT_MARK), F.filter(every, lambda m: m != ""))
 
 
+def _item_of(rank: int) -> Callable[[Column], Column]:
+    return lambda match: _item(match, rank)
+
+
 def _item(match: Column, rank: int) -> Column:
     pattern = rules.LINE_ITEM_PATTERNS[rank]
 
@@ -94,7 +101,7 @@ def line_items(text: Column) -> Column:
     """ARRAY of line items: all matches of both layouts with positive numbers."""
     empty = F.array().cast("array<string>")
     per_layout = [
-        F.transform(F.coalesce(_matches(text, rank), empty), lambda m, r=rank: _item(m, r))
+        F.transform(F.coalesce(_matches(text, rank), empty), _item_of(rank))
         for rank in range(len(rules.LINE_ITEM_PATTERNS))
     ]
     return F.filter(
@@ -117,11 +124,12 @@ def overall_confidence(header: Column, lines: Column) -> Column:
 def parse_invoices(df: DataFrame, text: str = "text", this_year: int = 2024) -> DataFrame:
     """Add basic_fields (with its confidence map), line_items and overall_confidence."""
     parsed = header_fields(df, text, this_year).withColumn("line_items", line_items(F.col(text)))
+    parsed = bind(parsed, ["line_items"])
     confs = {f: F.col(f"{f}_confidence") for f in HEADER_PATTERNS}
     scores = F.map_from_entries(
         F.array_compact(
             F.array(
-                *(F.when(c.isNotNull(), F.struct(F.lit(f), c)) for f, c in confs.items())
+                *(F.when(c.isNotNull(), F.struct(F.lit(f).alias("key"), c.alias("value"))) for f, c in confs.items())
             )
         )
     )
@@ -135,12 +143,13 @@ def parse_invoices(df: DataFrame, text: str = "text", this_year: int = 2024) ->
         "invoice_number", "invoice_date", "total_amount", "vendor_name",
         scores.alias("confidence_scores"),
     )
-    return parsed.select(
+    done = parsed.select(
         *df.columns,
         overall_confidence(F.col("_header"), F.col("_lines")).alias("overall_confidence"),
         basic.alias("basic_fields"),
         "line_items",
     )
+    return bind(done, ["overall_confidence", "basic_fields"])
 
 
 def tax_amount(df: DataFrame, text: str = "text") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from foliospark import rules
 from foliospark.functions import text as T
+from foliospark.functions.binding import bind
 
 
 def quantity_ok(quantity: Column) -> Column:
@@ -110,7 +111,7 @@ def validate_invoices(parsed: DataFrame, strict: bool = True) -> DataFrame:
             "line_items": F.transform(F.filter("line_items", _item_ok), _clean_item),
         }
     )
-    return checked.withColumn(
+    done = checked.withColumn(
         "validation",
         F.struct(
             (F.size("_errors") == 0).alias("passed"),
@@ -118,6 +119,7 @@ def validate_invoices(parsed: DataFrame, strict: bool = True) -> DataFrame:
             F.col("_warnings").alias("warnings"),
         ),
     ).drop("_errors", "_warnings")
+    return bind(done, ["validation", "dropped_items", "line_items"])
 
 
 def consolidated_invoices(validated: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from foliospark import rules, schemas
 from foliospark.functions import json as J
 from foliospark.functions import text as T
+from foliospark.functions.binding import bind
 from foliospark.operators.extract import all_fields
 
 
@@ -25,7 +26,7 @@ def parse_records(df: DataFrame, column: str = "json") -> DataFrame:
     A text that is not JSON leaves all of them NULL. Unknown keys stay in `data`.
     """
     kinds = {f: k for fields in rules.TARGET_SCHEMAS.values() for f, k in fields.items()}
-    read = df.withColumn("data", J.parse_object(F.col(column)))
+    read = bind(df.withColumn("data", J.parse_object(F.col(column))), ["data"])
     v = F.col("data")
     columns = {
         f: J.get_strings(v, f) if kinds[f] == "array" else J.get_string(v, f)
