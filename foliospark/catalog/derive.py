@@ -8,7 +8,7 @@ The expressions named in upper case are plain SQL that Spark and other engines r
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.functions.dates import compact_stamp
@@ -179,6 +179,7 @@ def rebilled_records(spark: SparkSession, sf: str) -> DataFrame:
     base = records(spark, sf)
     again = base.where("document_type = 'invoice' AND o_orderstatus = 'F'").withColumns(
         {
+            "doc_id": -F.col("doc_id") - 1,
             "document_name": F.concat(F.lit("copy-"), "document_name"),
             "vendor_name": F.concat(F.lit("  "), F.upper("vendor_name"), F.lit(" \t")),
             "total_amount": F.translate("total_amount", "$,", ""),
@@ -196,20 +197,31 @@ def record_json(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def order_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines per order, added up by kind of goods: at most six per order, so lists of them are
-    bounded whatever the number of lines of an order."""
-    cents = "CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) * 100 AS BIGINT)"
-    return (
-        table(spark, sf, "lineitem")
-        .selectExpr("l_orderkey", f"{GOODS} AS description", "l_quantity", "l_extendedprice")
-        .groupBy("l_orderkey", "description")
-        .agg(
-            F.expr("CAST(sum(CAST(l_quantity AS DECIMAL(18, 0))) AS BIGINT)").alias("quantity"),
-            F.expr(cents).alias("total_cents"),
+KINDS = tuple(
+    (flag, state, f"{name} {goods} goods")
+    for flag, name in (("A", "Accepted"), ("N", "New"), ("R", "Returned"))
+    for state, goods in (("F", "final"), ("O", "open"))
+)
+
+
+def order_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Per order, one slot per kind of goods: quantity, unit price and total (in cents).
+
+    Lines are added up before the shuffle, so an order with very many lines costs no more
+    than any other, and nothing is collected into lists.
+    """
+    def total(flag: str, state: str, value: str) -> Column:
+        flags = "l_returnflag NOT IN ('A', 'R')" if flag == "N" else f"l_returnflag = '{flag}'"
+        states = "l_linestatus = 'O'" if state == "O" else "l_linestatus <> 'O'"
+        return F.expr(f"sum(CASE WHEN {flags} AND {states} THEN {value} END)")
+
+    sums = []
+    for i, (flag, state, _) in enumerate(KINDS):
+        sums.append(total(flag, state, "CAST(l_quantity AS DECIMAL(18, 0))").cast("bigint").alias(f"q{i}"))
+        sums.append(
+            (total(flag, state, "CAST(l_extendedprice AS DECIMAL(18, 2))") * 100).cast("bigint").alias(f"c{i}")
         )
-        .withColumn("unit_cents", F.expr("(2 * total_cents + quantity) div (2 * quantity)"))
-    )
+    return table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(*sums)
 
 
 _MONEY = "format_number(CAST({0} AS DECIMAL(20, 2)) / 100, 2)"
@@ -218,20 +230,14 @@ _MON = "element_at(array('Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','
 
 def invoice_texts(spark: SparkSession, sf: str) -> DataFrame:
     """One rendered invoice (or credit note) per order: doc_id, source_file, text."""
-    unit, total = _MONEY.format("unit_cents"), _MONEY.format("total_cents")
-    lines = (
-        order_lines(spark, sf)
-        .withColumn(
-            "line",
-            F.expr(
-                f"CASE WHEN l_orderkey % 3 = 0 "
-                f"THEN concat(description, ' ', quantity, ' @ $', {unit}, ' $', {total}) "
-                f"ELSE concat(description, '  ', quantity, '  $', {unit}, '  $', {total}) END"
-            ),
+    lines = []
+    for i, (_, _, goods) in enumerate(KINDS):
+        unit, total = _MONEY.format(f"((2 * c{i} + q{i}) div (2 * q{i}))"), _MONEY.format(f"c{i}")
+        lines.append(
+            f"CASE WHEN q{i} IS NULL THEN NULL "
+            f"WHEN {AT_LAYOUT} THEN concat('{goods} ', q{i}, ' @ $', {unit}, ' $', {total}) "
+            f"ELSE concat('{goods}  ', q{i}, '  $', {unit}, '  $', {total}) END"
         )
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(F.array_join(F.sort_array(F.collect_list("line")), "\n").alias("items"))
-    )
     d, m, y = "day(o_orderdate)", "month(o_orderdate)", "year(o_orderdate)"
     number = "concat('INV-', lpad(concat('', o_orderkey), 8, '0'))"
     text = f"""concat_ws(chr(10),
@@ -247,12 +253,13 @@ def invoice_texts(spark: SparkSession, sf: str) -> DataFrame:
         WHEN 3 THEN concat('Issued ', {DAY}) END,
       CASE {VENDOR_RANK} WHEN 0 THEN concat('Vendor: Vendor ', {LETTERS}, ' 1')
         WHEN 1 THEN concat('TRADING HOUSE ', {LETTERS}) END,
-      'Items 0', items,
+      'Items 0', {', '.join(lines)},
       CASE {TOTAL_RANK} WHEN 0 THEN concat('Total Amount: $', format_number({PRICE}, 2))
         WHEN 1 THEN concat('Amount Due: ', format_number({PRICE}, 2))
         WHEN 2 THEN concat('Balance due: $', format_number({PRICE}, 2)) END)"""
+    # both sides are as large as the orders: partition both by the key, never broadcast
     orders = table(spark, sf, "orders")
-    return orders.join(lines, "o_orderkey", "left").selectExpr(
+    return orders.join(order_items(spark, sf).hint("merge"), "o_orderkey", "left").selectExpr(
         "o_orderkey AS doc_id", "concat('order-', o_orderkey, '.pdf') AS source_file",
         f"{text} AS text", "o_orderpriority", "o_orderstatus",
     )

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)`, with `value` evaluated once however often the body mentions it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def bind(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The same rows and columns, with `columns` fixed as results.
 

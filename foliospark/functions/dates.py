@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from foliospark.functions.binding import let
+
 _ISO = (
     r"(?s)^(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{8})"
     r"(?:.(?:[0-9]{2}(?::[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]+)?)?)?|[0-9]{4}|[0-9]{6}(?:[.,][0-9]+)?))?$"
@@ -17,16 +19,16 @@ def iso_timestamp(c: Column) -> Column:
     """ISO date or date-time without offset, `Z` ignored; NULL for everything else."""
     text = F.replace(c, F.lit("Z"), F.lit(""))
 
-    def part(i: int) -> Column:
-        return F.regexp_extract(text, _ISO_PARTS, i)
+    def from_parts(p: Column) -> Column:
+        clock = F.rpad(F.replace(F.get(p, 3), F.lit(":"), F.lit("")), 6, "0")
+        return F.concat(
+            F.get(p, 0), F.lit("-"), F.get(p, 1), F.lit("-"), F.get(p, 2), F.lit(" "),
+            F.substring(clock, 1, 2), F.lit(":"), F.substring(clock, 3, 2), F.lit(":"),
+            F.substring(clock, 5, 2), F.lit("."), F.rpad(F.left(F.get(p, 4), F.lit(6)), 6, "0"),
+        ).try_cast("timestamp_ntz")
 
-    clock = F.rpad(F.replace(part(4), F.lit(":"), F.lit("")), 6, "0")
-    stamp = F.concat(
-        part(1), F.lit("-"), part(2), F.lit("-"), part(3), F.lit(" "),
-        F.substring(clock, 1, 2), F.lit(":"), F.substring(clock, 3, 2), F.lit(":"),
-        F.substring(clock, 5, 2), F.lit("."), F.rpad(F.left(part(5), F.lit(6)), 6, "0"),
-    )
-    return F.when(text.rlike(_ISO), stamp.try_cast("timestamp_ntz"))
+    parts = F.split(F.regexp_replace(text, _ISO_PARTS, "$1|$2|$3|$4|$5"), "[|]")
+    return F.when(text.rlike(_ISO), let(parts, from_parts))
 
 
 def days_between(as_of: Column, then: Column) -> Column:
@@ -41,12 +43,12 @@ _MONTHS = (
 )
 
 
+_MONTH_NUMBERS = {w: n for n, m in enumerate(_MONTHS, 1) for w in (m, m[:3])} | {"sept": 9}
+
+
 def _month_number(word: Column) -> Column:
-    w = F.lower(word)
-    number = F.when(w == "sept", 9)
-    for n, month in enumerate(_MONTHS, 1):
-        number = number.when(w.isin(month, month[:3]), n)
-    return number
+    numbers = F.create_map(*(F.lit(x) for pair in _MONTH_NUMBERS.items() for x in pair))
+    return F.try_element_at(numbers, F.lower(word))
 
 
 def _full_year(y: Column, this_year: int) -> Column:
@@ -67,39 +69,33 @@ def _date(year: Column, month: Column, day: Column) -> Column:
     ).cast("string")
 
 
+_LAYOUTS = (
+    r"(?U)^(?:[0-9]{1,4}[/\-.][0-9]{1,2}[/\-.][0-9]{1,4}"
+    r"|[0-9]{1,2}\s[A-Za-z]+\s[0-9]{4}"
+    r"|[A-Za-z]+\s+[0-9]{1,2},?\s+[0-9]{4})$"
+)
+
+
 def loose_date(c: Column, this_year: int) -> Column:
     """`YYYY-MM-DD` from day, month and year in any of the usual orders.
 
     Month comes first unless that is impossible (`25/12/2024`); a four-digit or
     larger-than-31 leading number is the year. `this_year` decides two-digit years.
     """
-    def digits(pattern: str, i: int) -> Column:
-        return F.nullif(F.regexp_extract(c, pattern, i), F.lit(""))
-
-    numeric = r"^([0-9]{1,4})[/\-.]([0-9]{1,2})[/\-.]([0-9]{1,4})$"
-    a, b, z = (digits(numeric, i) for i in (1, 2, 3))
-    first = a.cast("int")
-    by_number = (
-        F.when(first > 31, _date(_full_year(a, this_year), b, z))
-        .when(first > 12, _date(_full_year(z, this_year), b, a))
-        .otherwise(_date(_full_year(z, this_year), a, b))
-    )
-    day_first = r"(?U)^([0-9]{1,2})\s([A-Za-z]+)\s([0-9]{4})$"
-    month_first = r"(?U)^([A-Za-z]+)\s+([0-9]{1,2}),?\s+([0-9]{4})$"
-    return (
-        F.when(c.rlike(numeric), by_number)
-        .when(
-            c.rlike(day_first),
-            _date(digits(day_first, 3), _month_number(digits(day_first, 2)), digits(day_first, 1)),
-        )
-        .when(
-            c.rlike(month_first),
-            _date(
-                digits(month_first, 3), _month_number(digits(month_first, 1)),
-                digits(month_first, 2),
-            ),
+    def from_parts(parts: Column) -> Column:
+        a, b, z = (F.get(parts, i) for i in range(3))
+        first = a.try_cast("int")  # NULL when the month's name comes first
+        second = b.try_cast("int")  # NULL when it comes second
+        return (
+            F.when(first.isNull(), _date(z, _month_number(a), b))
+            .when(second.isNull(), _date(z, _month_number(b), a))
+            .when(first > 31, _date(_full_year(a, this_year), b, z))
+            .when(first > 12, _date(_full_year(z, this_year), b, a))
+            .otherwise(_date(_full_year(z, this_year), a, b))
         )
-    )
+
+    words = F.regexp_extract_all(c, F.lit("([0-9]+|[A-Za-z]+)"), F.lit(1))
+    return F.when(c.rlike(_LAYOUTS), let(words, from_parts))
 
 
 def compact_stamp(ts: Column) -> Column:

@@ -38,7 +38,13 @@ def collapse_whitespace(c: Column) -> Column:
 def title_case(c: Column) -> Column:
     """Capital after every uncased character (`initcap` only looks at spaces)."""
     runs = F.regexp_extract_all(F.lower(c), F.lit(f"([{_CASED}]+|[^{_CASED}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    return F.array_join(F.transform(runs, _capital), "")
+
+
+def _capital(run: Column) -> Column:
+    """Capital first letter of a lower-case run; `initcap` knows special letters, but is slow."""
+    plain = F.concat(F.upper(F.left(run, F.lit(1))), F.substring(run, 2, 1 << 30))
+    return F.when(F.left(run, F.lit(1)) < "\x7f", plain).otherwise(F.initcap(run))
 
 
 def truncate_head_tail(c: Column, limit: tuple[int, float, float]) -> Column:

@@ -1,7 +1,8 @@
 """Findings over extracted records: duplicates, expiring contracts, spend, quality flags.
 
-A record has document_name, document_type, extraction_status, error and one column per field;
-amounts may be numbers or text as written.
+A record has doc_id (unique), document_name, document_type, extraction_status, error and one
+column per field; amounts may be numbers or text as written. Names may repeat, so rows of a
+large group are spread by doc_id.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ def invoice_fingerprints(records: DataFrame) -> DataFrame:
     return (
         records.where((F.col("document_type") == "invoice") & succeeded())
         .select(
+            "doc_id",
             "document_name",
             clean("vendor_name").alias("vendor_name"),
             clean("invoice_number").alias("invoice_number"),
@@ -65,7 +67,7 @@ def duplicate_invoices(records: DataFrame, salts: int = SALTS) -> DataFrame:
     """
     return lookup_join(
         invoice_fingerprints(records), duplicate_groups(records), GROUP_KEYS,
-        ["document_name"], "inner", salts,
+        ["doc_id"], "inner", salts,
     )
 
 
@@ -76,7 +78,7 @@ def duplicate_group_lists(
     chunks = F.ceil(F.col("document_count") / chunk_rows)
     return (
         duplicate_invoices(records, salts)
-        .withColumn("chunk", F.pmod(F.xxhash64("document_name"), chunks).cast("bigint"))
+        .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), chunks).cast("bigint"))
         .groupBy(*GROUP_KEYS, "document_count", "chunk")
         .agg(F.sort_array(F.collect_list("document_name")).alias("documents"))
     )
@@ -86,7 +88,7 @@ def duplicate_alert_rows(records: DataFrame, salts: int = SALTS) -> DataFrame:
     """Duplicate members with the number of their group (from 1, in key order)."""
     numbered = with_ordinal(duplicate_groups(records), GROUP_KEYS, "group_number")
     members = lookup_join(
-        invoice_fingerprints(records), numbered, GROUP_KEYS, ["document_name"], "inner", salts
+        invoice_fingerprints(records), numbered, GROUP_KEYS, ["doc_id"], "inner", salts
     )
     return members.select(
         F.concat(F.lit("GROUP "), F.col("group_number").cast("string")).alias("alert_group"),

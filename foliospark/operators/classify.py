@@ -13,6 +13,7 @@ from foliospark import rules
 from foliospark.functions import json as J
 from foliospark.functions import text as T
 from foliospark.functions.binding import bind
+from foliospark.functions.money import parse_number
 from foliospark.functions.patterns import search
 from foliospark.rules import Keywords, RuleSet
 
@@ -197,7 +198,7 @@ def parse_classification_responses(responses: DataFrame, origin: str = "llm") ->
             "_type": J.get_string(F.col("_v"), "predicted_type"),
             "_confidence": F.when(
                 J.has_key(F.col("_v"), "confidence"),
-                J.get_string(F.col("_v"), "confidence").try_cast("double"),
+                parse_number(J.get_string(F.col("_v"), "confidence")),
             ).otherwise(0.5),
         }
     )
@@ -261,6 +262,11 @@ def apply_fallback(
     )
 
 
+def label_to_type(label: Column) -> Column:
+    """Optional: a model's free label in the spelling of the type names (`Bank Statement`)."""
+    return F.regexp_replace(F.lower(T.strip(label)), r"[\s-]+", "_")
+
+
 def classification_metrics(results: DataFrame) -> DataFrame:
     return results.select("document_name", *RESULT_COLUMNS)
 

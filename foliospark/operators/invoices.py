@@ -74,25 +74,29 @@ def _matches(text: Column, rank: int) -> Column:
     return F.when(text.rlike(SEARCH_LINES + _AT_MARK), F.filter(every, lambda m: m != ""))
 
 
-def _item_of(rank: int) -> Callable[[Column], Column]:
-    return lambda match: _item(match, rank)
+# Between the groups of a match: characters that the pattern's own groups cannot contain.
+_SEPARATORS = ("\x01", "\n")
 
 
-def _item(match: Column, rank: int) -> Column:
-    pattern = rules.LINE_ITEM_PATTERNS[rank]
+def _groups_of(rank: int) -> Callable[[Column], Column]:
+    """Array of the four groups of a match, found in one search."""
+    sep = _SEPARATORS[rank]
+    pattern = SEARCH_LINES + rules.LINE_ITEM_PATTERNS[rank]
+    return lambda m: F.split(F.regexp_replace(m, pattern, sep.join(f"${i}" for i in range(1, 5))), sep)
 
-    def group(i: int) -> Column:
-        return F.regexp_extract(match, SEARCH_LINES + pattern, i)
 
-    def number(i: int) -> Column:
-        return F.replace(group(i), F.lit(","), F.lit("")).try_cast("double")
+def _item_of(rank: int) -> Callable[[Column], Column]:
+    confidence = rules.LINE_BASE_CONFIDENCE - rank * rules.RANK_STEP
 
-    return F.struct(
-        T.title_case(T.strip(group(1))).alias("description"),
-        number(2).alias("quantity"),
-        number(3).alias("unit_price"),
-        number(4).alias("total_price"),
-        F.lit(rules.LINE_BASE_CONFIDENCE - rank * rules.RANK_STEP).alias("confidence"),
+    def number(text: Column) -> Column:
+        return F.replace(text, F.lit(","), F.lit("")).try_cast("double")
+
+    return lambda g: F.struct(
+        T.title_case(T.strip(g[0])).alias("description"),
+        number(g[1]).alias("quantity"),
+        number(g[2]).alias("unit_price"),
+        number(g[3]).alias("total_price"),
+        F.lit(confidence).alias("confidence"),
         F.lit(False).alias("price_corrected"),
     )
 
@@ -101,7 +105,9 @@ def line_items(text: Column) -> Column:
     """ARRAY of line items: all matches of both layouts with positive numbers."""
     empty = F.array().cast("array<string>")
     per_layout = [
-        F.transform(F.coalesce(_matches(text, rank), empty), _item_of(rank))
+        F.transform(
+            F.transform(F.coalesce(_matches(text, rank), empty), _groups_of(rank)), _item_of(rank)
+        )
         for rank in range(len(rules.LINE_ITEM_PATTERNS))
     ]
     return F.filter(
