@@ -4,6 +4,7 @@ Each is a whole-table projection (or a join and a bounded aggregation), so the w
 query grows with the tables. Layouts, gaps and errors are chosen per row by its keys.
 
 The expressions named in upper case are plain SQL that Spark and other engines read alike.
+Rendered texts are bound: a query sees them as a stored column and renders each one once.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliospark.functions.binding import bind
 from foliospark.functions.dates import compact_stamp
 
 TODAY = "2001-05-03 12:00:00"
@@ -130,19 +132,21 @@ def reuse_listing(spark: SparkSession, sf: str) -> DataFrame:
 
 def ingested(spark: SparkSession, sf: str) -> DataFrame:
     """Extraction results of all documents: path, text, method, ocr_pages, error."""
-    return table(spark, sf, "documents").selectExpr(
+    texts = table(spark, sf, "documents").selectExpr(
         f"{DOC_PATH} AS path",
         f"CASE WHEN doc_id % 29 = 0 THEN ' ' ELSE text END AS text",
         f"{DOC_METHOD} AS method", f"{DOC_PAGES} AS ocr_pages", f"{DOC_FAILURE} AS error",
     )
+    return bind(texts, ["text"])
 
 
 def named_documents(spark: SparkSession, sf: str) -> DataFrame:
     """All documents with a file name and some business phrases: doc_id, file_name, text."""
-    return table(spark, sf, "documents").selectExpr(
+    texts = table(spark, sf, "documents").selectExpr(
         "doc_id", f"{DOC_FILE} AS file_name", f"regexp_replace({DOC_FILE}, '[.]txt$', '') AS document_name",
         f"{DOC_TEXT} AS text",
     )
+    return bind(texts, ["file_name", "document_name", "text"])
 
 
 def runs(spark: SparkSession, sf: str) -> DataFrame:
@@ -192,9 +196,10 @@ def record_json(spark: SparkSession, sf: str) -> DataFrame:
     """The records as JSON text per document: doc_id, document_name, document_type, json."""
     base = records(spark, sf)
     data = [c for c in base.columns if c not in ("doc_id", "document_name", "document_type", "o_orderstatus")]
-    return base.select(
+    texts = base.select(
         "doc_id", "document_name", "document_type", F.to_json(F.struct(*data)).alias("json")
     )
+    return bind(texts, ["json"])
 
 
 KINDS = tuple(
@@ -259,10 +264,11 @@ def invoice_texts(spark: SparkSession, sf: str) -> DataFrame:
         WHEN 2 THEN concat('Balance due: $', format_number({PRICE}, 2)) END)"""
     # both sides are as large as the orders: partition both by the key, never broadcast
     orders = table(spark, sf, "orders")
-    return orders.join(order_items(spark, sf).hint("merge"), "o_orderkey", "left").selectExpr(
+    texts = orders.join(order_items(spark, sf).hint("merge"), "o_orderkey", "left").selectExpr(
         "o_orderkey AS doc_id", "concat('order-', o_orderkey, '.pdf') AS source_file",
         f"{text} AS text", "o_orderpriority", "o_orderstatus",
     )
+    return bind(texts, ["text"])
 
 
 def prefixed_texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -274,7 +280,8 @@ def prefixed_texts(spark: SparkSession, sf: str) -> DataFrame:
       WHEN '4-NOT SPECIFIED' THEN concat('Your invoice', chr(10), replace(text, 'CREDIT NOTE', 'COPY'))
       ELSE CASE o_orderstatus WHEN 'F' THEN concat('Bill # ', doc_id)
         WHEN 'O' THEN concat('Bill # X', doc_id) ELSE concat('Delivery slip ', doc_id) END END"""
-    return invoice_texts(spark, sf).selectExpr("doc_id", f"{text} AS text")
+    texts = invoice_texts(spark, sf).selectExpr("doc_id", f"{text} AS text")
+    return bind(texts, ["text"])
 
 
 VAT = "concat('4', lpad(concat('', o_orderkey), 9, '0'))"
@@ -300,10 +307,11 @@ def typed_texts(spark: SparkSession, sf: str) -> DataFrame:
         CASE WHEN o_orderkey % 5 <> 0 THEN concat('Total $', {money}) END,
         CASE WHEN o_orderkey % 6 <> 0 THEN concat('vat registration ', {VAT}) END)
       ELSE concat({ORDER_TYPE}, ' text ', o_orderkey) END"""
-    return table(spark, sf, "orders").selectExpr(
+    texts = table(spark, sf, "orders").selectExpr(
         "o_orderkey AS doc_id", f"{ORDER_DOC} AS document_name", f"{ORDER_TYPE} AS document_type",
         f"{text} AS text",
     )
+    return bind(texts, ["text"])
 
 
 def extraction_answers(spark: SparkSession, sf: str) -> DataFrame:
@@ -314,7 +322,8 @@ def extraction_answers(spark: SparkSession, sf: str) -> DataFrame:
         '","payment_method":"card","contract_title":"Lease ', o_orderkey,
         '","contracting_parties":["A","B"],"bank_name":"Bank 1","ending_balance":"$1,200.00","extra":1} Bye')
       ELSE concat('{"vendor_name":null,"invoice_number":"X-', o_orderkey, '","total_amount":12.5}') END"""
-    return table(spark, sf, "orders").selectExpr("o_orderkey AS doc_id", f"{response} AS response")
+    texts = table(spark, sf, "orders").selectExpr("o_orderkey AS doc_id", f"{response} AS response")
+    return bind(texts, ["response"])
 
 
 def classification_answers(spark: SparkSession, sf: str) -> DataFrame:
@@ -327,13 +336,15 @@ def classification_answers(spark: SparkSession, sf: str) -> DataFrame:
       WHEN 4 THEN '{"predicted_type":null,"confidence":0.7}'
       WHEN 5 THEN concat('{"predicted_type":"Invoice ', o_custkey, '"}')
       WHEN 6 THEN '{"predicted_type":"Receipt","confidence":"high"}' END"""
-    return table(spark, sf, "orders").selectExpr("o_orderkey AS doc_id", f"{response} AS response")
+    texts = table(spark, sf, "orders").selectExpr("o_orderkey AS doc_id", f"{response} AS response")
+    return bind(texts, ["response"])
 
 
 def document_answers(spark: SparkSession, sf: str) -> DataFrame:
     """A model's answer per document: doc_id, response."""
-    return table(spark, sf, "documents").selectExpr(
+    texts = table(spark, sf, "documents").selectExpr(
         "doc_id",
         "CASE doc_id % 4 WHEN 0 THEN concat('{\"predicted_type\":\"Letter ', lang, '\",\"confidence\":0.8}') "
         "WHEN 1 THEN 'none' WHEN 2 THEN '{\"predicted_type\":\"Memo\",\"confidence\":\"x\"}' END AS response",
     )
+    return bind(texts, ["response"])
\ No newline at end of file

@@ -63,10 +63,14 @@ def _full_year(y: Column, this_year: int) -> Column:
 
 
 def _date(year: Column, month: Column, day: Column) -> Column:
-    text = F.format_string("%04d-%02d-%02d", year.cast("int"), month.cast("int"), day.cast("int"))
-    return F.when(
-        year.isNotNull() & month.isNotNull() & day.isNotNull(), text.try_cast("date")
-    ).cast("string")
+    """ISO text of a valid date; NULL when a part is missing or out of range."""
+    def two(c: Column) -> Column:
+        return F.lpad(c.cast("string"), 2, "0")
+
+    text = F.concat(
+        F.lpad(year.cast("string"), 4, "0"), F.lit("-"), two(month), F.lit("-"), two(day)
+    )
+    return text.try_cast("date").cast("string")
 
 
 _LAYOUTS = (

@@ -18,7 +18,7 @@ from foliospark.functions import dates as D
 from foliospark.functions import money as M
 from foliospark.functions import text as T
 from foliospark.functions.binding import bind
-from foliospark.operators.skew import SALTS, groups_of, lookup_join, with_ordinal
+from foliospark.operators.skew import SALTS, groups_of, lookup_join, rows_of_groups, with_ordinal
 
 GROUP_KEYS = ("vendor_name", "invoice_number", "amount")
 
@@ -35,21 +35,17 @@ def invoice_fingerprints(records: DataFrame) -> DataFrame:
     def clean(name: str) -> Column:
         return F.lower(T.strip(F.col(name)))
 
-    amount = M.parse_money(F.col("total_amount"))
-    return (
-        records.where((F.col("document_type") == "invoice") & succeeded())
-        .select(
-            "doc_id",
-            "document_name",
-            clean("vendor_name").alias("vendor_name"),
-            clean("invoice_number").alias("invoice_number"),
-            amount.alias("amount"),
-        )
-        .where(
-            (F.col("vendor_name") != "unknown")
-            & (F.col("invoice_number") != "unknown")
-            & (F.col("amount") > 0)
-        )
+    keyed = records.where((F.col("document_type") == "invoice") & succeeded()).select(
+        "doc_id",
+        "document_name",
+        clean("vendor_name").alias("vendor_name"),
+        clean("invoice_number").alias("invoice_number"),
+        M.parse_money(F.col("total_amount")).alias("amount"),
+    )
+    return bind(keyed, list(GROUP_KEYS)).where(
+        (F.col("vendor_name") != "unknown")
+        & (F.col("invoice_number") != "unknown")
+        & (F.col("amount") > 0)
     )
 
 
@@ -65,10 +61,9 @@ def duplicate_invoices(records: DataFrame, salts: int = SALTS) -> DataFrame:
 
     Members stay rows: a group may be as large as a third of the table.
     """
-    return lookup_join(
-        invoice_fingerprints(records), duplicate_groups(records), GROUP_KEYS,
-        ["doc_id"], "inner", salts,
-    )
+    return rows_of_groups(
+        invoice_fingerprints(records), GROUP_KEYS, ["doc_id"], 2, salts
+    ).withColumnRenamed("group_rows", "document_count")
 
 
 def duplicate_group_lists(

@@ -12,6 +12,11 @@ from foliospark.session import cut_lineage
 SALTS = 32
 
 
+def _salt(spread_by: Sequence[str], salts: int) -> Column:
+    # never NULL, and known to be so: the optimizer then adds no null tests to one use only
+    return F.coalesce(F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"), F.lit(0))
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -29,8 +34,7 @@ def lookup_join(
     """
     if salts <= 1:
         return left.join(right, list(on), how)
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    salted = left.withColumn("_salt", salt)
+    salted = left.withColumn("_salt", _salt(spread_by, salts))
     occurring = salted.select(*on, "_salt").distinct()
     copies = occurring.join(right, list(on), "inner")
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
@@ -48,6 +52,29 @@ def groups_of(df: DataFrame, keys: Sequence[str], min_rows: int = 2) -> DataFram
     )
 
 
+def rows_of_groups(
+    df: DataFrame,
+    keys: Sequence[str],
+    spread_by: Sequence[str],
+    min_rows: int = 2,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Rows whose key occurs at least `min_rows` times, with `group_rows`, the size of the group.
+
+    Same balance as `lookup_join`, but sizes and sub-keys come from one shuffled count.
+    """
+    salted = df.withColumn("_salt", _salt(spread_by, salts))
+    parts = salted.groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = (
+        parts.groupBy(*keys)
+        .agg(F.sum("_n").alias("group_rows"))
+        .where(F.col("group_rows") >= min_rows)
+    )
+    # the filter keeps both uses of `parts` identical, so that their shuffle is shared
+    copies = parts.where(F.col("_n") > 0).join(sizes, list(keys)).drop("_n")
+    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
+
+
 def with_ordinal(df: DataFrame, order_by: Sequence[str | Column], name: str) -> DataFrame:
     """Number all rows from 1 in a total order, without one task seeing them all.
 
