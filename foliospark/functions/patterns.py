@@ -7,6 +7,7 @@ expect: `i` ignore case, `u` and `U` Unicode case and classes, `d` only `\\n` en
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +39,20 @@ def commit_to_first_lead(pattern: str) -> str:
     return rf"\A(?>{GAP}(?={lead})){lead}{GAP}{tail}"
 
 
+def tame_spaces(pattern: str) -> str:
+    """The same matches without retrying long runs of white space in every possible split.
+
+    `\\s*`, `\\s+` and `\\s{2,}` become possessive: in these patterns what follows never starts
+    with white space, so giving some back cannot help. At a line anchor they need not cross
+    lines either: `^` holds again on the line of the first other character, and `$` already
+    before the first line end.
+    """
+    inner = r"[^\S\n]*+"
+    pattern = re.sub(r"\^\\s\*", lambda _: "^" + inner, pattern)
+    pattern = re.sub(r"\\s\*\$$", lambda _: inner + "$", pattern)
+    return re.sub(r"\\s(?:\*|\+|\{2,\})(?![+?])", lambda m: m.group(0) + "+", pattern)
+
+
 def with_ranked_search(
     df: DataFrame, text: str, fields: dict[str, Sequence[str]], flags: str = SEARCH_LINES
 ) -> DataFrame:
@@ -55,7 +70,7 @@ def with_ranked_search(
         for field, patterns in fields.items():
             if rank >= len(patterns):
                 continue
-            hit = search(F.col(text), patterns[rank], flags)
+            hit = search(F.col(text), tame_spaces(patterns[rank]), flags)
             for earlier in range(rank):
                 hit = F.when(F.col(tmp(field, earlier)) == "", hit).otherwise(F.lit(""))
             found[tmp(field, rank)] = hit

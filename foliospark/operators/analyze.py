@@ -18,7 +18,7 @@ from foliospark.functions import dates as D
 from foliospark.functions import money as M
 from foliospark.functions import text as T
 from foliospark.functions.binding import bind
-from foliospark.operators.skew import SALTS, groups_of, lookup_join, rows_of_groups, with_ordinal
+from foliospark.operators.skew import groups_of, lookup_join, rows_of_groups, with_ordinal
 
 GROUP_KEYS = ("vendor_name", "invoice_number", "amount")
 
@@ -56,7 +56,7 @@ def duplicate_groups(records: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_invoices(records: DataFrame, salts: int = SALTS) -> DataFrame:
+def duplicate_invoices(records: DataFrame, salts: int | None = None) -> DataFrame:
     """One row per document of a duplicate group, with the group's keys and size.
 
     Members stay rows: a group may be as large as a third of the table.
@@ -67,7 +67,7 @@ def duplicate_invoices(records: DataFrame, salts: int = SALTS) -> DataFrame:
 
 
 def duplicate_group_lists(
-    records: DataFrame, chunk_rows: int = 1000, salts: int = SALTS
+    records: DataFrame, chunk_rows: int = 1000, salts: int | None = None
 ) -> DataFrame:
     """Members as arrays of about `chunk_rows` names: small groups have one row, large ones more."""
     chunks = F.ceil(F.col("document_count") / chunk_rows)
@@ -79,7 +79,7 @@ def duplicate_group_lists(
     )
 
 
-def duplicate_alert_rows(records: DataFrame, salts: int = SALTS) -> DataFrame:
+def duplicate_alert_rows(records: DataFrame, salts: int | None = None) -> DataFrame:
     """Duplicate members with the number of their group (from 1, in key order)."""
     numbered = with_ordinal(duplicate_groups(records), GROUP_KEYS, "group_number")
     members = lookup_join(

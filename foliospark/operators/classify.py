@@ -14,7 +14,7 @@ from foliospark.functions import json as J
 from foliospark.functions import text as T
 from foliospark.functions.binding import bind
 from foliospark.functions.money import parse_number
-from foliospark.functions.patterns import search
+from foliospark.functions.patterns import search, tame_spaces
 from foliospark.rules import Keywords, RuleSet
 
 RESULT_COLUMNS = (
@@ -288,6 +288,6 @@ def ordered_keyword_class(text: Column) -> Column:
         chosen = F.when(hit, doc_type) if chosen is None else chosen.when(hit, doc_type)
     number = None
     for pattern in rules.INVOICE_NUMBER_PATTERNS:
-        hit = search(lowered, pattern, "(?dU)") != ""
+        hit = search(lowered, tame_spaces(pattern), "(?dU)") != ""
         number = hit if number is None else number | hit
     return chosen.when(number, "invoice").otherwise("unknown")

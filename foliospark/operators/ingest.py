@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from foliospark import rules
 from foliospark.functions import text as T
-from foliospark.operators.skew import SALTS, lookup_join
+from foliospark.operators.skew import lookup_join, with_ordinal
 
+TOP_K_ROWS = 100_000
 _REUSE_FOLDER = rf"/[^/]*{rules.REUSE_FOLDER_MARK}[^/]*/"
 
 
@@ -68,8 +69,16 @@ def union_roots(listings: Sequence[DataFrame]) -> DataFrame:
 
 
 def limit_documents(documents: DataFrame, max_docs: int | None) -> DataFrame:
-    """The first `max_docs` documents by root and path; no limit for 0 or None."""
-    return documents.orderBy("root_ord", "path").limit(max_docs) if max_docs else documents
+    """The first `max_docs` documents by root and path; no limit for 0 or None.
+
+    A short list is picked by a top-k; a long one by position, so that it never gathers in
+    one task.
+    """
+    if not max_docs:
+        return documents
+    if max_docs <= TOP_K_ROWS:
+        return documents.orderBy("root_ord", "path").limit(max_docs)
+    return with_ordinal(documents, ["root_ord", "path"], "_n").where(F.col("_n") <= max_docs).drop("_n")
 
 
 def extractor_route(extension: Column) -> Column:
@@ -94,12 +103,12 @@ def attach_reused_text(
     documents: DataFrame,
     reuse_texts: DataFrame,
     root: str | None = "root",
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Prefer reused text over the document's own.
 
     `documents` has path, text and method; `reuse_texts` has path and text of a listing with
-    reuse folders. A popular stem ("invoice.pdf") is spread over `salts` sub-keys.
+    reuse folders. A popular stem ("invoice.pdf") is spread over many sub-keys.
     """
     key = ["root", "stem_key"] if root else ["stem_key"]
     index = reuse_index(reuse_texts.drop("text"), root)

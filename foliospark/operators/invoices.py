@@ -16,7 +16,7 @@ from foliospark.functions import dates as D
 from foliospark.functions import money as M
 from foliospark.functions import text as T
 from foliospark.functions.binding import bind
-from foliospark.functions.patterns import SEARCH_LINES, with_ranked_search
+from foliospark.functions.patterns import SEARCH_LINES, tame_spaces, with_ranked_search
 from foliospark.operators.classify import ordered_keyword_class
 
 HEADER_PATTERNS = {
@@ -63,7 +63,7 @@ def header_fields(df: DataFrame, text: str = "text", this_year: int = 2024) -> D
 
 
 def _matches(text: Column, rank: int) -> Column:
-    pattern = rules.LINE_ITEM_PATTERNS[rank]
+    pattern = tame_spaces(rules.LINE_ITEM_PATTERNS[rank])
     if rank == 0:
         every = F.regexp_extract_all(text, F.lit(SEARCH_LINES + pattern), F.lit(0))
         return F.when(text.rlike(SEARCH_LINES + _COLUMNS_MARK), every)
@@ -81,7 +81,7 @@ _SEPARATORS = ("\x01", "\n")
 def _groups_of(rank: int) -> Callable[[Column], Column]:
     """Array of the four groups of a match, found in one search."""
     sep = _SEPARATORS[rank]
-    pattern = SEARCH_LINES + rules.LINE_ITEM_PATTERNS[rank]
+    pattern = SEARCH_LINES + tame_spaces(rules.LINE_ITEM_PATTERNS[rank])
     return lambda m: F.split(F.regexp_replace(m, pattern, sep.join(f"${i}" for i in range(1, 5))), sep)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
-from foliospark.operators.skew import SALTS, lookup_join
+from foliospark.operators.skew import lookup_join
 
 
 def latest_type_per_name(classification: DataFrame) -> DataFrame:
@@ -17,7 +17,7 @@ def latest_type_per_name(classification: DataFrame) -> DataFrame:
 
 
 def organize_manifest(
-    ingestion: DataFrame, classification: DataFrame, salts: int = SALTS
+    ingestion: DataFrame, classification: DataFrame, salts: int | None = None
 ) -> DataFrame:
     """Source path, type and folder of every ingested document whose name was classified.
 

@@ -9,7 +9,21 @@ from pyspark.sql import functions as F
 
 from foliospark.session import cut_lineage
 
-SALTS = 32
+MIN_SALTS = 32
+
+
+def salts_for(df: DataFrame) -> int:
+    """As many sub-keys as the session has shuffle partitions.
+
+    A hot key is then spread over every task, however many there are; more sub-keys cost
+    nothing for rare keys, which only ever use as many as they have rows.
+    """
+    conf = df.sparkSession.conf
+    counts = (
+        conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None),
+        conf.get("spark.sql.shuffle.partitions", None),
+    )
+    return max([MIN_SALTS, *(int(n) for n in counts if n and n.isdigit())])
 
 
 def _salt(spread_by: Sequence[str], salts: int) -> Column:
@@ -23,15 +37,16 @@ def lookup_join(
     on: Sequence[str],
     spread_by: Sequence[str],
     how: str = "left",
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join `left` with a table that has one row per key, whatever the key frequencies in `left`.
 
     Rows of `left` are spread over `salts` sub-keys by a hash of `spread_by` (columns that
     differ within a key). Each right row is copied only to the sub-keys that occur, so rare
-    keys cost one copy and a hot key at most `salts`. `how` is inner, left, left_semi or
-    left_anti.
+    keys cost one copy and a hot key at most `salts` (see `salts_for`). `how` is inner, left,
+    left_semi or left_anti.
     """
+    salts = salts or salts_for(left)
     if salts <= 1:
         return left.join(right, list(on), how)
     salted = left.withColumn("_salt", _salt(spread_by, salts))
@@ -57,13 +72,13 @@ def rows_of_groups(
     keys: Sequence[str],
     spread_by: Sequence[str],
     min_rows: int = 2,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Rows whose key occurs at least `min_rows` times, with `group_rows`, the size of the group.
 
     Same balance as `lookup_join`, but sizes and sub-keys come from one shuffled count.
     """
-    salted = df.withColumn("_salt", _salt(spread_by, salts))
+    salted = df.withColumn("_salt", _salt(spread_by, salts or salts_for(df)))
     parts = salted.groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_n"))
     sizes = (
         parts.groupBy(*keys)

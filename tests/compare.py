@@ -15,6 +15,9 @@ def connect(sf):
     return con
 
 
+KINDS = {"VARCHAR": "string", "BIGINT": "bigint", "DOUBLE": "double", "BOOLEAN": "boolean"}
+
+
 def _cell(v):
     return repr(float(v)) if isinstance(v, float) else repr(v)
 
@@ -25,6 +28,9 @@ def difference(df, con, sql):
     names = [d[0] for d in result.description]
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
+    kinds = {d[0]: KINDS.get(str(d[1]), str(d[1])) for d in result.description}
+    if kinds != dict(df.dtypes):
+        return f"types {sorted(set(df.dtypes) ^ set(kinds.items()))}"
     order = sorted(names)
     want = sorted(tuple(_cell(row[names.index(c)]) for c in order) for row in result.fetchall())
     got = sorted(tuple(_cell(r[c]) for c in order) for r in df.collect())

@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 import re
+import time
 import unicodedata
 from pathlib import PurePosixPath
 
@@ -147,13 +148,14 @@ def test_first_lead_patterns_equal_plain_search(spark):
 
 HEADER_TOKENS = TOKENS + [
     "inv", "bill", "reference", "grand", "company", "vendor", "from", "to", "Jan", "March", "4",
-    "Acme & Sons, Ltd.", "TRADING HOUSE AB", "2024", "\r\n", "tax", "(19%)",
+    "Acme & Sons, Ltd.", "TRADING HOUSE AB", "2024", "\r\n", "tax", "(19%)", "  ", " \n \n", "\t",
+    "\nNORTHERN TRADING\n", "sales", "ABCDEFGHIJ KLM",
 ]
 
 
 def test_ranked_search_equals_plain_search(spark):
     rnd = random.Random(5)
-    texts = ["".join(rnd.choice(HEADER_TOKENS) for _ in range(rnd.randint(1, 25))) for _ in range(1500)]
+    texts = ["".join(rnd.choice(HEADER_TOKENS) for _ in range(rnd.randint(1, 25))) for _ in range(4000)]
     fields = {
         "number": rules.INVOICE_NUMBER_PATTERNS, "date": rules.INVOICE_DATE_PATTERNS,
         "total": rules.INVOICE_TOTAL_PATTERNS, "vendor": rules.VENDOR_PATTERNS,
@@ -173,5 +175,19 @@ def test_ranked_search_equals_plain_search(spark):
         assert [(r[name], r[name + "_rank"]) for r in rows] == [want(t, patterns) for t in texts]
 
 
+def test_long_runs_of_space_are_harmless(spark):
+    gap, lines = " " * 4000, "\n" * 60000
+    texts = [f"total{gap}amount{gap}:{gap}x", f"invoice no{gap}:{gap}!", lines + "x1", f"tax{gap}:{gap}$"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i INT, text STRING")
+    fields = {
+        "number": rules.INVOICE_NUMBER_PATTERNS, "total": rules.INVOICE_TOTAL_PATTERNS,
+        "vendor": rules.VENDOR_PATTERNS, "tax": rules.TAX_PATTERNS, "date": rules.INVOICE_DATE_PATTERNS,
+    }
+    start = time.monotonic()
+    rows = P.with_ranked_search(df, "text", fields).drop("text").collect()
+    assert all(r[f] is None for r in rows for f in fields)
+    assert time.monotonic() - start < 30
+
+
 def test_samples_are_normalised():
     assert all(unicodedata.normalize("NFC", t) == t for t in TOKENS)

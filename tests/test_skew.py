@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from foliospark.operators import analyze as A
 from foliospark.operators import ingest as G
-from foliospark.operators.skew import SALTS, lookup_join, with_ordinal
+from foliospark.operators.skew import MIN_SALTS, lookup_join, salts_for, with_ordinal
 
 
 def hot_invoices(spark, n=9000):
@@ -63,12 +63,33 @@ def test_lookup_join_kinds(spark):
     left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k STRING, id INT")
     right = spark.createDataFrame([("a", 10), ("c", 30)], "k STRING, v INT")
     for how in ("inner", "left", "left_semi", "left_anti"):
-        for salts in (1, SALTS):
+        for salts in (1, 7, None):
             got = sorted(map(tuple, lookup_join(left, right, ["k"], ["id"], how, salts).collect()), key=str)
             want = sorted(map(tuple, left.join(right, "k", how).collect()), key=str)
             assert got == want, (how, salts)
 
 
+def test_salts_follow_the_cluster(spark):
+    df = spark.range(1)
+    assert salts_for(df) == MIN_SALTS
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20000")
+    try:
+        assert salts_for(df) == 20000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_long_document_limit(spark, monkeypatch):
+    docs = spark.range(500).select(
+        (F.col("id") % 2).cast("int").alias("root_ord"), F.format_string("/d/%04d", "id").alias("path")
+    )
+    short = [tuple(r) for r in G.limit_documents(docs, 300).collect()]
+    monkeypatch.setattr(G, "TOP_K_ROWS", 10)
+    long = [tuple(r) for r in G.limit_documents(docs, 300).collect()]
+    assert sorted(long) == sorted(short) and len(long) == 300
+
+
 def test_ordinal(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("x"))
     got = {r.x: r.n for r in with_ordinal(df.repartition(7), ["x"], "n").collect()}
