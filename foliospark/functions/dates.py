@@ -88,11 +88,10 @@ def loose_date(c: Column, this_year: int) -> Column:
     """
     def from_parts(parts: Column) -> Column:
         a, b, z = (F.get(parts, i) for i in range(3))
-        first = a.try_cast("int")  # NULL when the month's name comes first
-        second = b.try_cast("int")  # NULL when it comes second
-        return (
-            F.when(first.isNull(), _date(z, _month_number(a), b))
-            .when(second.isNull(), _date(z, _month_number(b), a))
+        first = a.cast("int")
+        return (  # letters sort after digits, so this asks for the month's name
+            F.when(a > "9~", _date(z, _month_number(a), b))
+            .when(b > "9~", _date(z, _month_number(b), a))
             .when(first > 31, _date(_full_year(a, this_year), b, z))
             .when(first > 12, _date(_full_year(z, this_year), b, a))
             .otherwise(_date(_full_year(z, this_year), a, b))

@@ -15,6 +15,7 @@ WHITESPACE = "".join(
 )
 _SPACE_CLASS = r"(?U)[\s\x1c-\x1f]"
 _NON_SPACE = r"(?U)[^\s\x1c-\x1f]"
+_PLAIN_WORDS = "^[A-Za-z ]*$"
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 
 
@@ -38,7 +39,9 @@ def collapse_whitespace(c: Column) -> Column:
 def title_case(c: Column) -> Column:
     """Capital after every uncased character (`initcap` only looks at spaces)."""
     runs = F.regexp_extract_all(F.lower(c), F.lit(f"([{_CASED}]+|[^{_CASED}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, _capital), "")
+    return F.when(c.rlike(_PLAIN_WORDS), F.initcap(c)).otherwise(
+        F.array_join(F.transform(runs, _capital), "")
+    )
 
 
 def _capital(run: Column) -> Column:
