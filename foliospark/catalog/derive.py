@@ -223,9 +223,9 @@ def order_items(spark: SparkSession, sf: str) -> DataFrame:
 
     sums = []
     for i, (flag, state, _) in enumerate(KINDS):
-        sums.append(total(flag, state, "CAST(l_quantity AS DECIMAL(18, 0))").cast("bigint").alias(f"q{i}"))
+        sums.append(total(flag, state, "CAST(l_quantity AS BIGINT)").alias(f"q{i}"))
         sums.append(
-            (total(flag, state, "CAST(l_extendedprice AS DECIMAL(18, 2))") * 100).cast("bigint").alias(f"c{i}")
+            total(flag, state, "CAST(l_extendedprice * 100 + 0.5D AS BIGINT)").alias(f"c{i}")
         )
     return table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(*sums)
 
