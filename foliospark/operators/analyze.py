@@ -166,13 +166,17 @@ def _no_amount(field: str):
 
 
 QUALITY_RULES = (
-    QualityRule("invoice", "Missing Field", "Invoice number is missing.", _absent("invoice_number")),
-    QualityRule("invoice", "Invalid Value", "Total amount is zero or missing.", _no_amount("total_amount")),
-    QualityRule("receipt", "Missing Field", "Transaction date is missing.", _absent("transaction_date")),
-    QualityRule("receipt", "Invalid Value", "Total amount is zero or missing.", _no_amount("total_amount")),
-    QualityRule("contract", "Missing Field", "Effective date is missing.", _absent("effective_date")),
+    QualityRule("invoice", rules.ISSUE_MISSING, rules.DETAIL_NUMBER, _absent("invoice_number")),
+    QualityRule("invoice", rules.ISSUE_INVALID, rules.DETAIL_TOTAL, _no_amount("total_amount")),
     QualityRule(
-        "contract", "Invalid Value", "Fewer than two contracting parties were found.",
+        "receipt", rules.ISSUE_MISSING, rules.DETAIL_TRANSACTION_DATE, _absent("transaction_date")
+    ),
+    QualityRule("receipt", rules.ISSUE_INVALID, rules.DETAIL_TOTAL, _no_amount("total_amount")),
+    QualityRule(
+        "contract", rules.ISSUE_MISSING, rules.DETAIL_EFFECTIVE_DATE, _absent("effective_date")
+    ),
+    QualityRule(
+        "contract", rules.ISSUE_INVALID, rules.DETAIL_PARTIES,
         lambda: F.coalesce(F.size("contracting_parties"), F.lit(0)) < 2,
     ),
 )
@@ -186,8 +190,8 @@ def data_quality_flags(
     failed = F.when(
         ~ok,
         F.struct(
-            F.lit("Extraction Failed").alias("issue"),
-            F.coalesce("error", F.lit("Unknown error")).alias("details"),
+            F.lit(rules.ISSUE_FAILED).alias("issue"),
+            F.coalesce("error", F.lit(rules.DETAIL_UNKNOWN)).alias("details"),
         ),
     )
     flags = [failed] + [

@@ -159,10 +159,10 @@ def classify_with_rules(
         .otherwise(F.coalesce(confidence, F.lit(0.0))).alias("confidence"),
         F.when(blank, "rules_error").when(named, "rules_filename")
         .otherwise(F.coalesce(method, F.lit("rules_failed"))).alias("method"),
-        F.when(blank, "").when(resolved, "Classified by keyword rules.")
-        .otherwise("Rules failed and LLM fallback is disabled.").alias("reasoning"),
+        F.when(blank, "").when(resolved, rules.REASON_BY_RULES)
+        .otherwise(rules.REASON_NO_FALLBACK).alias("reasoning"),
         F.lit("[]").alias("key_indicators"),
-        F.when(blank, "Empty text file").otherwise("").alias("error"),
+        F.when(blank, rules.ERROR_EMPTY_TEXT).otherwise("").alias("error"),
     )
 
 

@@ -175,9 +175,9 @@ def extraction_status(
     done = read.withColumns(
         {
             "extraction_status": status,
-            "error": F.when(no_text, "source text file not found").when(F.col("_open"), failure),
+            "error": F.when(no_text, rules.ERROR_NO_SOURCE).when(F.col("_open"), failure),
             "reason": F.when(
-                ~no_text & no_schema, F.concat(F.lit("No schema for "), F.col("document_type"))
+                ~no_text & no_schema, F.concat(F.lit(rules.REASON_NO_SCHEMA), F.col("document_type"))
             ),
         }
     ).drop("_wanted", "_open")

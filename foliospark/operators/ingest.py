@@ -147,7 +147,7 @@ def ingestion_outcome(documents: DataFrame) -> DataFrame:
         "success",
         F.when(ok, F.length("text")).otherwise(0).cast("bigint").alias("text_length"),
         F.when(ok & (F.col("method") == "ocr"), pages).otherwise(0).cast("int").alias("ocr_pages"),
-        F.when(ok, "").otherwise(F.coalesce(failed, F.lit("No text extracted"))).alias("error"),
+        F.when(ok, "").otherwise(F.coalesce(failed, F.lit(rules.ERROR_NO_TEXT))).alias("error"),
     )
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliospark import rules
 from foliospark.operators import analyze as A
 
 
@@ -94,12 +95,7 @@ def dashboard_kpis(
     records: DataFrame, as_of: str, labels: dict[str, str] | None = None
 ) -> DataFrame:
     """Four (metric, value) rows; each is a count that runs where the data are."""
-    labels = labels or {
-        "duplicates": "CRITICAL ALERTS (Duplicate Payments)",
-        "expiring": "UPCOMING RISKS (Expiring Contracts)",
-        "flags": "Data Quality Issues Flagged",
-        "vendors": "Unique Vendors Analyzed",
-    }
+    labels = labels or rules.KPI_LABELS
     tables = {
         "duplicates": A.duplicate_groups(records),
         "expiring": A.expiring_contracts(records, as_of),

@@ -91,11 +91,11 @@ def validate_invoices(parsed: DataFrame, strict: bool = True) -> DataFrame:
     """
     number, date = F.col("basic_fields.invoice_number"), F.col("basic_fields.invoice_date")
     total = F.col("basic_fields.total_amount")
-    checks = [F.when(total < 0, "Negative total amount")]
+    checks = [F.when(total < 0, rules.ERROR_NEGATIVE_TOTAL)]
     if strict:
         checks = [
-            F.when(F.coalesce(number, F.lit("")) == "", "Missing invoice number"),
-            F.when(F.coalesce(date, F.lit("")) == "", "Missing invoice date"),
+            F.when(F.coalesce(number, F.lit("")) == "", rules.ERROR_NO_NUMBER),
+            F.when(F.coalesce(date, F.lit("")) == "", rules.ERROR_NO_DATE),
             *checks,
         ]
     checked = parsed.withColumns(

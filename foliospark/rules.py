@@ -174,6 +174,32 @@ TRUNCATION_MARK = "\n...\n"
 
 SPEND_TYPES = ("invoice", "receipt", "credit_note")
 
+# Texts in results
+REASON_BY_RULES = "Classified by keyword rules."
+REASON_NO_FALLBACK = "Rules failed and LLM fallback is disabled."
+ERROR_EMPTY_TEXT = "Empty text file"
+ERROR_NO_TEXT = "No text extracted"
+ERROR_NO_SOURCE = "source text file not found"
+REASON_NO_SCHEMA = "No schema for "
+ERROR_NO_NUMBER = "Missing invoice number"
+ERROR_NO_DATE = "Missing invoice date"
+ERROR_NEGATIVE_TOTAL = "Negative total amount"
+ISSUE_FAILED = "Extraction Failed"
+ISSUE_MISSING = "Missing Field"
+ISSUE_INVALID = "Invalid Value"
+DETAIL_UNKNOWN = "Unknown error"
+DETAIL_NUMBER = "Invoice number is missing."
+DETAIL_TOTAL = "Total amount is zero or missing."
+DETAIL_TRANSACTION_DATE = "Transaction date is missing."
+DETAIL_EFFECTIVE_DATE = "Effective date is missing."
+DETAIL_PARTIES = "Fewer than two contracting parties were found."
+KPI_LABELS = {
+    "duplicates": "CRITICAL ALERTS (Duplicate Payments)",
+    "expiring": "UPCOMING RISKS (Expiring Contracts)",
+    "flags": "Data Quality Issues Flagged",
+    "vendors": "Unique Vendors Analyzed",
+}
+
 # --- End of fixed values ----------------------------------------------------------------
 
 FULL_RULES = RuleSet(FILENAME_KEYWORDS, CONTENT_KEYWORDS)
