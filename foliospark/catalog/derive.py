@@ -135,7 +135,7 @@ def ingested(spark: SparkSession, sf: str) -> DataFrame:
     """Extraction results of all documents: path, text, method, ocr_pages, error."""
     texts = table(spark, sf, "documents").selectExpr(
         f"{DOC_PATH} AS path",
-        f"CASE WHEN doc_id % 29 = 0 THEN ' ' ELSE text END AS text",
+        "CASE WHEN doc_id % 29 = 0 THEN ' ' ELSE text END AS text",
         f"{DOC_METHOD} AS method", f"{DOC_PAGES} AS ocr_pages", f"{DOC_FAILURE} AS error",
     )
     return bind(texts, ["text"])

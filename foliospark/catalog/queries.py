@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +10,6 @@ from pyspark.sql import functions as F
 from foliospark import rules
 from foliospark.catalog import derive as X
 from foliospark.functions import dates as D
-from foliospark.functions import json as J
 from foliospark.functions import money as M
 from foliospark.functions import text as T
 from foliospark.operators import analyze as A
