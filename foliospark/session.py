@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that hold on a laptop and on a cluster alike; sizes are left to the deployment.
@@ -25,18 +23,19 @@ def build_session(master: str | None = None, app: str = "foliospark", **conf: st
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate data that all executors and the driver see.
+
+    The one the deployment names in `spark.checkpoint.dir`; where it names none, a folder in
+    the warehouse, which executors share as well.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints").rstrip("/")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; a local one is made up only for local masters."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        sc.setCheckpointDir(named)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="foliospark-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
