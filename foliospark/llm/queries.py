@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import line_dedup, mixing, sentencepiece_codec, simhash, toxicity
+from foliospark.llm import (
+    html_extract,
+    lang_id,
+    line_dedup,
+    merkle,
+    mixing,
+    sentencepiece_codec,
+    simhash,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +137,71 @@ FROM documents d LEFT JOIN counts c ON d.doc_id = c.doc_id LEFT JOIN kept k ON d
 @query
 def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op9_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.edited_fingerprints(table(spark, sf, "documents"))
+
+
+S_ = "\\x20\\x09-\\x0D"
+LEAF_SQL = f"[{S_}]*(?:[^{S_}]*[^{S_}.!?][{S_}]+){{0,3}}[^{S_}]+[{S_}]*"
+
+
+def _fingerprint_sql(text: str) -> str:
+    """The fingerprint of the SQL expression `text`."""
+    cut = lambda joined: (
+        f"list_filter(list_transform(string_split({joined}, '|'), lambda x: trim(x)), lambda x: x <> '')"
+    )
+    return f"""(
+  SELECT md5(array_to_string(list_transform(ds, lambda d: md5(d)), '')) || ' ' ||
+         array_to_string(list_transform(list_zip(ds, ts), lambda z: 'S' || substr(md5(z[1]), 1, 8) || ' ' || z[2]), ' ')
+  FROM (
+    SELECT {cut("array_to_string(list_transform(ps, lambda p: p.d || CASE WHEN p.d < '4' THEN '|' ELSE ' ' END), '')")} AS ds,
+           {cut("array_to_string(list_transform(ps, lambda p: 'P' || substr(p.d, 1, 8) || ' ' || p.l || CASE WHEN p.d < '4' THEN '|' ELSE ' ' END), '')")} AS ts
+    FROM (
+      SELECT list_transform(
+        list_transform(string_split({text}, chr(10)), lambda line: list_transform(
+          CASE WHEN len(regexp_extract_all(line, '{LEAF_SQL}')) > 0
+               THEN regexp_extract_all(line, '{LEAF_SQL}') ELSE [line] END, lambda x: md5(x))),
+        lambda m: {{'d': md5(array_to_string(m, '')), 'l': array_to_string(list_transform(m, lambda y: substr(y, 1, 6)), ' ')}}) AS ps)))"""
+
+
+def _likeness_sql(a: str, b: str) -> str:
+    leaves = lambda fp: f"list_distinct(list_filter(string_split({fp}, ' '), lambda t: length(t) = 6))"
+    return (
+        f"CASE WHEN substr({a}, 1, 32) = substr({b}, 1, 32) THEN 1.0::DOUBLE ELSE "
+        f"2 * len(list_intersect({leaves(a)}, {leaves(b)}))::DOUBLE / (len({leaves(a)}) + len({leaves(b)})) END"
+    )
+
+
+ORACLES["op9_merkle"] = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+printed AS (SELECT *, {_fingerprint_sql("text")} AS fp FROM texts),
+led AS (
+  SELECT *, coalesce(lead(text) OVER o, first_value(text) OVER o) AS next_text,
+         coalesce(lead(fp) OVER o, first_value(fp) OVER o) AS next_fp
+  FROM printed WINDOW o AS (ORDER BY doc_id DESC)),
+edited AS (
+  SELECT *, substr(text, 1, n - n // 2) || substr(next_text, 1, n // 2) AS edited FROM led),
+both_ AS (SELECT *, {_fingerprint_sql("edited")} AS efp FROM edited)
+SELECT doc_id, n::BIGINT AS n_chars, sha256(edited) AS edited_sha256, fp AS fingerprint,
+       efp AS edited_fingerprint, {_likeness_sql("fp", "efp")} AS near_edited,
+       {_likeness_sql("fp", "next_fp")} AS near_next
+FROM both_
+"""
+
+
+@query
+def op1_lang_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = lang_id.train(docs.select("doc_id", "lang", "text"))
+    return lang_id.identify(docs, model).select(
+        "doc_id", lang_id.held_out().alias("held_out"), "lang_pred", "score", "ambiguous", "second"
+    )
+
+
+@query
+def op2_html(spark: SparkSession, sf: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf, "pages"))
