@@ -13,10 +13,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.common import ship_code
+from foliospark.llm.url_filter import url_parts
 from foliospark.operators.skew import lookup_join
 
 CONTAINERS = frozenset("article main section div td body blockquote".split())
@@ -237,13 +238,6 @@ def text_at(nodes: list[Node], path: str | None) -> str:
     return "\n".join(text for n in chosen for text, _ in n.blocks)
 
 
-def host_of(url: Column) -> Column:
-    """Lower-cased host after the first `://`; empty if there is none."""
-    rest = F.substring_index(F.substring(url, F.locate("://", url) + 3, F.length(url)), "/", 1)
-    host = F.substring_index(F.substring_index(rest, "?", 1), "#", 1)
-    return F.coalesce(F.when(F.locate("://", url) > 0, F.lower(host)), F.lit(""))
-
-
 def votes(pages: DataFrame) -> DataFrame:
     """(host, path, votes): added over the pages of a host. Each page gives its best container 1
     and the others on their way to half its score their share."""
@@ -271,7 +265,7 @@ def votes(pages: DataFrame) -> DataFrame:
                 ["host", "path", "share"],
             )
 
-    slim = pages.select(host_of(F.col("url")).alias("host"), "html")
+    slim = pages.select(url_parts(F.col("url"))["host"].alias("host"), "html")
     each = slim.mapInArrow(run, "host string, path string, share double")
     # whole millionths, so that the order of adding does not matter
     return each.groupBy("host", "path").agg(F.sum(F.round(F.col("share") * 1e6).cast("long")).alias("votes"))
@@ -296,7 +290,7 @@ def extract(pages: DataFrame) -> DataFrame:
     sub-keys over which its pages are spread.
     """
     ship_code(pages)
-    slim = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
+    slim = pages.select("page_id", "url", "html", url_parts(F.col("url"))["host"].alias("host"))
     routed = lookup_join(slim, winning_paths(pages), ["host"], ["page_id", "url"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

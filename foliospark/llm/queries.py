@@ -17,6 +17,7 @@ from foliospark.llm import (
     sentencepiece_codec,
     simhash,
     toxicity,
+    url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,3 +206,8 @@ def op1_lang_id(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op2_html(spark: SparkSession, sf: str) -> DataFrame:
     return html_extract.extract(table(spark, sf, "pages"))
+
+
+@query
+def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf, "pages"))
