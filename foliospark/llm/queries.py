@@ -14,6 +14,7 @@ from foliospark.llm import (
     line_dedup,
     merkle,
     mixing,
+    near_vectors,
     sentencepiece_codec,
     simhash,
     toxicity,
@@ -211,3 +212,8 @@ def op2_html(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return url_filter.judge(table(spark, sf, "pages"))
+
+
+@query
+def op3_near_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, sf, "embeddings"))
