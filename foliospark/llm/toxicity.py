@@ -1,7 +1,7 @@
 """Toxicity: a small bidirectional gated recurrent network with attention pooling.
 
 Each word enters as the embedding of its hash and the mean embedding of its hashed character
-n-grams. The network reads windows of `WINDOW` words that overlap by half, over the whole text;
+n-grams. The network reads overlapping windows of `WINDOW` words over the whole text;
 a document's score is that of its highest window. Training (numpy, on the driver, from a bounded
 sample of labelled rows) takes the gradient through that window.
 """
@@ -17,18 +17,24 @@ from pyspark.sql import functions as F
 
 from foliospark.llm.common import ship_code
 
-WINDOW, STRIDE = 32, 16
+WINDOW, STRIDE = 64, 48
+OVERLAP = WINDOW - STRIDE
 HIDDEN, EMBED, ATTEND = 8, 8, 8
 WORD_ROWS = NGRAM_ROWS = 1 << 15
 NGRAMS = (3, 4)
-WORD_BYTES, NGRAM_BYTES = 20, 12
-EPOCHS, BATCH, SEED = 6, 64, 5
+WORD_BYTES, NGRAM_BYTES, PREFIX_BYTES = 20, 12, 11
+EPOCHS, BATCH, SEED = 9, 64, 5
+#: A small sample is passed over again until so many batches have been taken.
+LEAST_STEPS = 260
+#: Share of inputs left out while training.
+DROP_WORD, DROP_NGRAM = 0.8, 0.5
 #: Labelled rows the fit may use of each class; those with the smallest hash are taken.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 900, 1600
 THRESHOLD = 0.7
 #: Distinct words whose inputs a worker remembers.
 CACHE_WORDS = 300_000
-_BLOCK_WORDS = 1 << 15
+#: Words that are scored at once: a whole number of strides.
+_BLOCK_WORDS = 680 * STRIDE
 
 # lower-case ASCII letters and all bytes of other characters stay, the rest parts words
 _SPLIT = bytes(
@@ -54,6 +60,13 @@ def word_inputs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         mixed = (mixed ^ chars[:, i]) * np.uint32(16777619)
     word = (mixed ^ mixed >> np.uint32(15)) % np.uint32(WORD_ROWS)
     rows, real = [], []
+    # beginnings of the word, the whole word among them if it is short
+    mixed = np.full(len(words), 2166136261, np.uint32)
+    for i in range(PREFIX_BYTES):
+        mixed = (mixed ^ chars[:, i]) * np.uint32(16777619)
+        if i >= 3:
+            rows.append(((mixed ^ mixed >> np.uint32(15)) % np.uint32(NGRAM_ROWS))[:, None])
+            real.append(chars[:, i : i + 1] > 0)
     for n in NGRAMS:
         width = NGRAM_BYTES - n + 1
         mixed = np.full((len(words), width), 2166136261 + n, np.uint32)
@@ -92,7 +105,7 @@ class Network:
 
     def embed(self, inputs: tuple) -> tuple[np.ndarray, np.ndarray]:
         word, grams, real = inputs
-        share = real / real.sum(1, keepdims=True)
+        share = real / np.sqrt(np.maximum(real.sum(1, keepdims=True), 1))
         mean = np.einsum("wk,wkd->wd", share, self.p["ngram"][grams])
         return np.hstack([self.p["word"][word], mean]), share
 
@@ -212,7 +225,7 @@ class Network:
 
 def window_starts(count: int) -> range:
     """First words of the windows that cover `count` words."""
-    return range(0, max(count - STRIDE, 1), STRIDE)
+    return range(0, max(count - OVERLAP, 1), STRIDE)
 
 
 def windows_of(ids: np.ndarray) -> np.ndarray:
@@ -292,7 +305,7 @@ class Scorer:
             words = words_of(text)
             # stretches overlap, so that every window of the text lies in one of them
             parts = [
-                words[at : at + _BLOCK_WORDS + STRIDE] for at in range(0, max(1, len(words) - STRIDE), _BLOCK_WORDS)
+                words[at : at + _BLOCK_WORDS + OVERLAP] for at in range(0, max(1, len(words) - OVERLAP), _BLOCK_WORDS)
             ]
             held += parts
             of_text.append(len(parts))
@@ -345,20 +358,28 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = S
     def highest(logit: np.ndarray) -> dict[int, int]:
         return {i: first[i] + int(np.argmax(logit[first[i] : first[i] + len(docs[i])])) for i in real}
 
+    trained = [i for i in real if i not in check]
+    toxic = [i for i in trained if y[i] > 0.5]
+    # toxic texts as often as clean ones, so that the rarer class counts alike
+    again = max(1, (len(trained) - len(toxic)) // max(1, len(toxic)))
+    pool = np.array(trained + toxic * (again - 1))
+    batches = -(-len(pool) // BATCH)
+    epochs = max(epochs, -(-LEAST_STEPS // batches))
     for epoch in range(epochs):
-        logit = rng.standard_normal(len(stacked)) if epoch == 0 else all_logits()
+        # at first any window stands for its text, lest the first guesses be learned by heart
+        logit = rng.standard_normal(len(stacked)) if epoch < -(-epochs // 3) else all_logits()
         top = highest(logit)
-        trained = [i for i in real if i not in check]
-        toxic = [i for i in trained if y[i] > 0.5]
-        # toxic texts as often as clean ones, so that the rarer class counts alike
-        again = max(1, (len(trained) - len(toxic)) // max(1, len(toxic)))
-        order = rng.permutation(np.array(trained + toxic * (again - 1)))
+        order = rng.permutation(pool)
         for at in range(0, len(order), BATCH):
             part = order[at : at + BATCH]
             w = stacked[[top[i] for i in part]]
             m = (w >= 0).astype(np.float32)
             used, back = np.unique(np.where(w >= 0, w, w[:, :1]), return_inverse=True)
-            x, counted = net.embed((word[used], grams[used], mask[used]))
+            # inputs are left out at random, so that no word is learned by heart
+            heard = mask[used] * (rng.random(mask[used].shape) > DROP_NGRAM)
+            x, counted = net.embed((word[used], grams[used], heard))
+            spoken = (rng.random((len(used), 1)) > DROP_WORD).astype(np.float32)
+            x[:, :EMBED] *= spoken
             g = (x @ net.p["wx"] + net.p["bx"])[back.reshape(w.shape)].astype(np.float32)
             grad, dg = net.gradients(g, m, y[part])
             dgw = np.zeros((len(used), 6 * HIDDEN), np.float32)
@@ -367,7 +388,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = S
             dx = dgw @ net.p["wx"].T
             rows, at_row = np.unique(word[used], return_inverse=True)
             dw = np.zeros((len(rows), EMBED), np.float32)
-            np.add.at(dw, at_row, dx[:, :EMBED])
+            np.add.at(dw, at_row, dx[:, :EMBED] * spoken)
             gram_rows, at_gram = np.unique(grams[used], return_inverse=True)
             dn = np.zeros((len(gram_rows), EMBED), np.float32)
             spread = counted[:, :, None] * dx[:, None, EMBED:]
