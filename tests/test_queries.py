@@ -7,9 +7,8 @@ from compare import connect, difference
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry_points
-
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+from foliospark.catalog.oracles import ORACLES
+from foliospark.catalog.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +18,8 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
