@@ -150,9 +150,8 @@ def suffix_statistics(rows: DataFrame) -> DataFrame:
         F.coalesce(F.sum(blocked), F.lit(0.0)).alias("blocked"), F.count("ruled").alias("labelled"), F.count(F.lit(1)).alias("n")
     )
     total = each.agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("l"))
-    # one row, of whatever number of suffixes
-    share = F.when(F.col("l") > 0, F.col("b") / F.col("l")).otherwise(0.5)
-    return each.join(F.broadcast(total)).select(
+    share = total.select(F.when(F.col("l") > 0, F.col("b") / F.col("l")).otherwise(0.5)).scalar()
+    return each.select(
         "suffix",
         ((F.col("blocked") + SMOOTHING * share) / (F.col("labelled") + SMOOTHING)).alias("suffix_share"),
         F.log1p(F.col("n").cast("double")).alias("suffix_log_count"),
