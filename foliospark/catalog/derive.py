@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from foliospark.functions.binding import bind
 from foliospark.functions.dates import compact_stamp
-from foliospark.operators.skew import use_all_cores
 
 TODAY = "2001-05-03 12:00:00"
 THIS_YEAR = 2024
@@ -102,7 +101,7 @@ PAGE_NAME = (
 )
 PAGE_PATH = f"concat({PAGE_URL}, '/p', page_id, '/', {PAGE_NAME})"
 PAGE_LABEL = (
-    "CASE page_id % 5 WHEN 0 THEN 'invoice' WHEN 1 THEN 'Bank: statement/2024' "
+    "CASE page_id % 7 WHEN 0 THEN 'invoice' WHEN 1 THEN 'Bank: statement/2024' "
     "WHEN 2 THEN 'what?' WHEN 3 THEN 'contract' ELSE 'a<b>|\"c\"*' END"
 )
 REUSE_FOLDER = "CASE page_id % 3 WHEN 0 THEN 'run1_extracted_text' WHEN 1 THEN 'extracted_text_v2' ELSE 'notes' END"
@@ -143,7 +142,7 @@ def ingested(spark: SparkSession, sf: str) -> DataFrame:
 
 def named_documents(spark: SparkSession, sf: str) -> DataFrame:
     """All documents with a file name and some business phrases: doc_id, file_name, text."""
-    texts = use_all_cores(table(spark, sf, "documents"), "doc_id").selectExpr(
+    texts = table(spark, sf, "documents").selectExpr(
         "doc_id", f"{DOC_FILE} AS file_name", f"regexp_replace({DOC_FILE}, '[.]txt$', '') AS document_name",
         f"{DOC_TEXT} AS text",
     )
@@ -308,7 +307,7 @@ def typed_texts(spark: SparkSession, sf: str) -> DataFrame:
         CASE WHEN o_orderkey % 5 <> 0 THEN concat('Total $', {money}) END,
         CASE WHEN o_orderkey % 6 <> 0 THEN concat('vat registration ', {VAT}) END)
       ELSE concat({ORDER_TYPE}, ' text ', o_orderkey) END"""
-    texts = use_all_cores(table(spark, sf, "orders"), "o_orderkey").selectExpr(
+    texts = table(spark, sf, "orders").selectExpr(
         "o_orderkey AS doc_id", f"{ORDER_DOC} AS document_name", f"{ORDER_TYPE} AS document_type",
         f"{text} AS text",
     )
@@ -323,7 +322,7 @@ def extraction_answers(spark: SparkSession, sf: str) -> DataFrame:
         '","payment_method":"card","contract_title":"Lease ', o_orderkey,
         '","contracting_parties":["A","B"],"bank_name":"Bank 1","ending_balance":"$1,200.00","extra":1} Bye')
       ELSE concat('{"vendor_name":null,"invoice_number":"X-', o_orderkey, '","total_amount":12.5}') END"""
-    texts = use_all_cores(table(spark, sf, "orders"), "o_orderkey").selectExpr("o_orderkey AS doc_id", f"{response} AS response")
+    texts = table(spark, sf, "orders").selectExpr("o_orderkey AS doc_id", f"{response} AS response")
     return bind(texts, ["response"])
 
 
@@ -337,13 +336,13 @@ def classification_answers(spark: SparkSession, sf: str) -> DataFrame:
       WHEN 4 THEN '{"predicted_type":null,"confidence":0.7}'
       WHEN 5 THEN concat('{"predicted_type":"Invoice ', o_custkey, '"}')
       WHEN 6 THEN '{"predicted_type":"Receipt","confidence":"high"}' END"""
-    texts = use_all_cores(table(spark, sf, "orders"), "o_orderkey").selectExpr("o_orderkey AS doc_id", f"{response} AS response")
+    texts = table(spark, sf, "orders").selectExpr("o_orderkey AS doc_id", f"{response} AS response")
     return bind(texts, ["response"])
 
 
 def document_answers(spark: SparkSession, sf: str) -> DataFrame:
     """A model's answer per document: doc_id, response."""
-    texts = use_all_cores(table(spark, sf, "documents"), "doc_id").selectExpr(
+    texts = table(spark, sf, "documents").selectExpr(
         "doc_id",
         "CASE doc_id % 4 WHEN 0 THEN concat('{\"predicted_type\":\"Letter ', lang, '\",\"confidence\":0.8}') "
         "WHEN 1 THEN 'none' WHEN 2 THEN '{\"predicted_type\":\"Memo\",\"confidence\":\"x\"}' END AS response",

@@ -11,6 +11,7 @@ from foliospark.catalog import derive as X
 from foliospark.catalog.queries import RUN_TS
 from foliospark.operators import classify as C
 from foliospark.operators import extract as E
+from foliospark.operators import report as R
 
 
 def text(value: str) -> str:
@@ -117,6 +118,13 @@ ORACLES["ingestion_log_lines"] = f"""WITH {_OUTCOME}
 SELECT concat(path, ' | ', method, ' | success=', CASE WHEN success THEN 'True' ELSE 'False' END,
   ' | len=', {_OK_LEN}) AS line FROM outcome"""
 
+ORACLES["tracker_of_run"] = f"""WITH {_OUTCOME}
+SELECT concat('Doc_', doc_id, regexp_extract(path, '[.][^.]*$')) AS document_name,
+  concat('/data/', lang, '/', source) AS source_folder, path,
+  lower(regexp_extract(path, '[.][^.]*$')) AS extension, upper(method) AS method,
+  CASE WHEN success THEN 'SUCCESS' ELSE 'FAILED' END AS status, '01_Ingestion' AS stage, '{RUN_TS}' AS run_ts
+FROM outcome ORDER BY path"""
+
 ORACLES["latest_run_per_stage"] = """SELECT event_type AS stage,
   max(strftime(ts, '%Y%m%d_%H%M%S')) AS run_ts FROM events WHERE value > 20 GROUP BY event_type"""
 
@@ -237,9 +245,11 @@ SELECT concat('Doc_', doc_id, regexp_extract(path, '[.][^.]*$')) AS document_nam
   lower(regexp_extract(path, '[.][^.]*$')) AS extension, upper(method) AS method,
   CASE WHEN success THEN 'SUCCESS' ELSE 'FAILED' END AS status, '01_Ingestion' AS stage,
   '{RUN_TS}' AS run_ts, NULL::VARCHAR AS predicted_type, NULL::DOUBLE AS confidence,
-  NULL::VARCHAR AS reasoning FROM outcome
+  NULL::VARCHAR AS reasoning, NULL::VARCHAR AS document_type, NULL::VARCHAR AS error FROM outcome
 UNION ALL SELECT document_name, NULL, NULL, NULL, method, NULL, '02_Classification', '{RUN_TS}',
-  predicted_type, confidence, reasoning FROM cascade"""
+  predicted_type, confidence, reasoning, NULL, NULL FROM cascade
+UNION ALL (WITH {{STATE}} SELECT document_name, NULL, NULL, NULL, NULL, extraction_status, '03_Extraction', '{RUN_TS}',
+  NULL, NULL, NULL, document_type, error FROM state)"""
 
 ORACLES["ordered_keyword_class"] = """SELECT o_orderkey AS doc_id, CASE o_orderpriority
   WHEN '1-URGENT' THEN 'credit_note' WHEN '2-HIGH' THEN
@@ -352,6 +362,18 @@ state AS (SELECT *,
     CASE WHEN has_text AND document_type = 'credit_note' THEN 'No schema for credit_note' END AS reason
   FROM ruled)"""
 
+ORACLES["stage_tracker"] = ORACLES["stage_tracker"].replace("{STATE}", _STATE)
+
+ORACLES["repeated_answers"] = f"""WITH {_STATE}
+SELECT document_name, extraction_status, error, reason FROM state"""
+
+ORACLES["stage_run_summaries"] = f"""WITH {_OUTCOME}, {_ANSWERED}
+SELECT stage, '{X.TODAY.replace(" ", "T")}' AS run_timestamp, CAST(docs_total AS BIGINT) AS docs_total, counted, CAST(n AS BIGINT) AS n
+FROM (SELECT '01_Ingestion' AS stage, count(*) AS docs_total, 'success' AS counted, count(*) FILTER (success) AS n FROM outcome
+  UNION ALL SELECT '02_Classification', count(*), 'llm_fallbacks_used', count(*) FILTER (contains(method, 'llm')) FROM answered
+  UNION ALL (WITH {_STATE} SELECT '03_Extraction', count(*), 'successful_extractions',
+    count(*) FILTER (contains(extraction_status, 'success')) FROM state))"""
+
 ORACLES["extraction_status"] = f"""WITH {_STATE}
 SELECT document_name, extraction_status, error, reason FROM state"""
 
@@ -561,7 +583,8 @@ ORACLES["duplicate_invoices"] = f"""WITH {_DUPLICATES}
 SELECT vendor_name, invoice_number, amount, document_count, document_name FROM billed JOIN grp USING (vendor_name, invoice_number, amount)"""
 
 ORACLES["duplicate_group_lists"] = f"""WITH {_DUPLICATES}
-SELECT vendor_name, invoice_number, amount, string_agg(document_name, ',' ORDER BY document_name) AS documents
+SELECT vendor_name, invoice_number, amount, CAST(0 AS BIGINT) AS list_number, CAST(1 AS BIGINT) AS lists,
+  string_agg(document_name, ',' ORDER BY document_name) AS documents
 FROM billed JOIN grp USING (vendor_name, invoice_number, amount) GROUP BY vendor_name, invoice_number, amount"""
 
 ORACLES["duplicate_alert_rows"] = f"""WITH {_DUPLICATES},
@@ -631,6 +654,11 @@ UNION ALL SELECT 'UPCOMING RISKS (Expiring Contracts)', (SELECT CAST(count(*) AS
 UNION ALL SELECT 'Data Quality Issues Flagged', (SELECT CAST(count(*) AS BIGINT) FROM flags)
 UNION ALL SELECT 'Unique Vendors Analyzed', (SELECT CAST(count(*) AS BIGINT) FROM vendors)"""
 
+ORACLES["summary_request"] = f"""WITH kpis AS ({ORACLES["dashboard_kpis"]}), top AS ({ORACLES["top_vendor"]}),
+facts AS (SELECT concat('{{"counts":{{', (SELECT string_agg(concat('"', metric, '":', value), ',' ORDER BY metric) FROM kpis),
+  '}},"top_vendor":"', top_vendor, '","net_spend":', CAST(net_spend AS DECIMAL(38, 2)), '}}') AS facts FROM top)
+SELECT facts, concat({text(R.SUMMARY_INSTRUCTION)}, facts) AS request FROM facts"""
+
 # --- scalar functions -------------------------------------------------------------------
 
 ORACLES["date_normalize"] = f"""SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 6 THEN NULL ELSE {X.DAY} END AS day FROM orders"""
@@ -654,10 +682,17 @@ ORACLES["text_normalize"] = """SELECT p_partkey,
 # --- organising -------------------------------------------------------------------------
 
 _MANIFEST = f"""{_PARTS},
-labelled AS (SELECT p.document_name_stem, arg_max({X.PAGE_LABEL}, p.path) AS predicted_type FROM parts p GROUP BY p.document_name_stem),
-manifest AS (SELECT p.path, p.document_name_stem, l.predicted_type,
-    regexp_replace(l.predicted_type, '[<>:"/\\\\|?*]', '_', 'g') AS folder
-  FROM parts p JOIN labelled l ON p.document_name_stem = l.document_name_stem WHERE p.extension IN ({SUFFIXES}))"""
+labelled AS (SELECT *, {X.PAGE_LABEL} AS predicted_type FROM parts),
+manifest AS (SELECT path, document_name_stem, predicted_type,
+    regexp_replace(predicted_type, '[<>:"/\\\\|?*]', '_', 'g') AS folder
+  FROM labelled WHERE extension IN ({SUFFIXES}))"""
+
+ORACLES["organize_manifest_by_name"] = f"""WITH {_MANIFEST},
+named AS (SELECT document_name_stem, arg_max(predicted_type, path) AS predicted_type,
+    min(predicted_type) <> max(predicted_type) AS conflict FROM labelled GROUP BY document_name_stem)
+SELECT m.path, m.document_name_stem, n.predicted_type, n.conflict,
+  regexp_replace(n.predicted_type, '[<>:"/\\\\|?*]', '_', 'g') AS folder
+FROM manifest m JOIN named n ON m.document_name_stem = n.document_name_stem"""
 
 ORACLES["organize_manifest"] = f"""WITH {_MANIFEST}
 SELECT path, document_name_stem, predicted_type, folder FROM manifest"""

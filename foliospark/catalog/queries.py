@@ -170,7 +170,25 @@ def stage_tracker(spark, sf):
     one = K.with_run(G.ingestion_tracker(_outcome(spark, sf)), "01_Ingestion", RUN_TS)
     typed = C.classify_with_rules(X.named_documents(spark, sf))
     two = K.with_run(C.classification_tracker(typed), "02_Classification", RUN_TS)
-    return one.unionByName(two, allowMissingColumns=True)
+    three = K.with_run(R.extraction_tracker(_extracted(spark, sf)), "03_Extraction", RUN_TS)
+    return one.unionByName(two, allowMissingColumns=True).unionByName(three, allowMissingColumns=True)
+
+
+@query
+def stage_run_summaries(spark, sf):
+    return R.stage_run_summaries(
+        _outcome(spark, sf), _classified(spark, sf), _extracted(spark, sf), F.lit(X.TODAY).cast("timestamp_ntz")
+    )
+
+
+@query
+def tracker_of_run(spark, sf):
+    """The run named by the caller, in path order, instead of the latest one."""
+    documents = G.ingestion_tracker(_outcome(spark, sf))
+    runs = K.with_run(documents, "01_Ingestion", RUN_TS).unionByName(
+        K.with_run(documents.where("status = 'FAILED'"), "01_Ingestion", "20240103_000000")
+    )
+    return RUN.tracker_rows(runs, "01_Ingestion", RUN_TS)
 
 
 @query
@@ -346,6 +364,16 @@ def extraction_status(spark, sf):
     return _extracted(spark, sf).select("document_name", "extraction_status", "error", "reason")
 
 
+@query
+def repeated_answers(spark, sf):
+    """Answers that were asked for again, an older one and a failed one beside the last."""
+    last = X.extraction_answers(spark, sf).withColumns({"answered_at": F.lit(3), "error": F.lit(None).cast("string")})
+    older = last.withColumns({"answered_at": F.lit(1), "response": F.lit('{"vendor_name":"old"}')})
+    failed = last.withColumns({"answered_at": F.lit(2), "error": F.lit("timeout")})
+    records = PS.extract_records(X.typed_texts(spark, sf), older.unionByName(failed).unionByName(last))
+    return records.select("document_name", "extraction_status", "error", "reason")
+
+
 @query
 def merge_gap_fill(spark, sf):
     return E.field_provenance(_extracted(spark, sf), "fields")
@@ -540,7 +568,7 @@ def duplicate_invoices(spark, sf):
 @query
 def duplicate_group_lists(spark, sf):
     return A.duplicate_group_lists(X.rebilled_records(spark, sf)).select(
-        "vendor_name", "invoice_number", "amount", "documents"
+        "vendor_name", "invoice_number", "amount", "list_number", "lists", "documents"
     )
 
 
@@ -564,6 +592,12 @@ def dashboard_kpis(spark, sf):
     return R.dashboard_kpis(X.rebilled_records(spark, sf), X.TODAY)
 
 
+@query
+def summary_request(spark, sf):
+    records = X.rebilled_records(spark, sf)
+    return R.summary_request(R.dashboard_kpis(records, X.TODAY), A.vendor_net_spend(X.records(spark, sf)))
+
+
 @query
 def expiring_contracts(spark, sf):
     return A.expiring_contracts(X.records(spark, sf), X.TODAY)
@@ -634,7 +668,17 @@ def _manifest(spark, sf):
     typed = G.path_parts(
         X.table(spark, sf, "pages").selectExpr(f"{X.PAGE_PATH} AS path", f"{X.PAGE_LABEL} AS predicted_type")
     ).select("path", F.col("document_name_stem").alias("document_name"), "predicted_type")
-    return O.organize_manifest(ingested, O.latest_type_per_name(typed))
+    return O.organize_manifest(ingested, typed)
+
+
+@query
+def organize_manifest_by_name(spark, sf):
+    listing = X.page_listing(spark, sf).drop("text")
+    ingested = G.discover_documents(listing).select("path", "document_name")
+    typed = G.path_parts(
+        X.table(spark, sf, "pages").selectExpr(f"{X.PAGE_PATH} AS path", f"{X.PAGE_LABEL} AS predicted_type")
+    ).select("path", F.col("document_name_stem").alias("document_name"), "predicted_type")
+    return O.organize_manifest_by_name(ingested, typed)
 
 
 @query

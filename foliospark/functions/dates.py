@@ -105,3 +105,8 @@ def compact_stamp(ts: Column) -> Column:
     """`yyyyMMdd_HHmmss`, independent of the session time zone."""
     text = F.left(ts.cast("timestamp_ntz").cast("string"), F.lit(19))
     return F.translate(text, " -:", "_")
+
+
+def iso_stamp(ts: Column) -> Column:
+    """`yyyy-MM-ddTHH:mm:ss`, with microseconds where there are any; no time zone."""
+    return F.replace(ts.cast("timestamp_ntz").cast("string"), F.lit(" "), F.lit("T"))

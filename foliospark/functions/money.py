@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 from foliospark.functions.text import strip
 
-# What counts as a plain number. The guard matters: a bare cast would also take '12d' or 'NaN'.
-_NUMBER = r"^[+-]?(?:[0-9]+(?:_[0-9]+)*\.?(?:[0-9]+(?:_[0-9]+)*)?|\.[0-9]+(?:_[0-9]+)*)(?:[eE][+-]?[0-9]+(?:_[0-9]+)*)?$"
+# What counts as a plain number: digits, in which underscores may stand between two digits. The
+# guard matters: a bare cast would also take '12d' or 'NaN'. Only single characters repeat, so
+# that a text of any length is tested in constant stack space.
+_NUMBER = r"^[+-]?(?:[0-9][0-9_]*\.?[0-9_]*|\.[0-9][0-9_]*)(?:[eE][+-]?[0-9][0-9_]*)?$"
+_MISPLACED = r"__|_[.eE]|[.eE+-]_|_$"
 
 MONEY = "decimal(24,6)"  # exact sums; a total over any number of rows stays within 38 digits
 
 
 def _numeric_text(c: Column) -> Column:
     text = strip(c.cast("string"))
-    return F.when(text.rlike(_NUMBER), F.replace(text, F.lit("_"), F.lit("")))
+    number = text.rlike(_NUMBER) & ~text.rlike(_MISPLACED)
+    return F.when(number, F.replace(text, F.lit("_"), F.lit("")))
 
 
 def parse_number(c: Column) -> Column:
@@ -33,8 +37,9 @@ def parse_money(c: Column) -> Column:
 
 
 def parse_money_exact(c: Column) -> Column:
-    """Like `parse_money`, as a decimal for sums and group keys."""
-    return _numeric_text(_without_symbols(c)).try_cast(MONEY)
+    """Like `parse_money`, as a decimal; NULL also where the decimal would not hold the amount."""
+    exact = _numeric_text(_without_symbols(c)).try_cast(MONEY)
+    return F.when(exact.cast("double") == parse_money(c), exact)
 
 
 def money_or_zero(c: Column) -> Column:

@@ -67,23 +67,30 @@ def duplicate_invoices(records: DataFrame, salts: int | None = None) -> DataFram
 
 
 def duplicate_group_lists(
-    records: DataFrame, chunk_rows: int = 1000, salts: int | None = None
+    records: DataFrame, list_rows: int = 1000, salts: int | None = None
 ) -> DataFrame:
-    """Members as arrays of about `chunk_rows` names: small groups have one row, large ones more."""
-    chunks = F.ceil(F.col("document_count") / chunk_rows)
+    """Members as arrays of about `list_rows` names, with `list_number` from 0 and `lists`, the
+    number of arrays of the group: a group of any size has rows of the same form."""
+    lists = F.ceil(F.col("document_count") / list_rows).cast("bigint")
     return (
         duplicate_invoices(records, salts)
-        .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), chunks).cast("bigint"))
-        .groupBy(*GROUP_KEYS, "document_count", "chunk")
+        .withColumn("lists", lists)
+        .withColumn("list_number", F.pmod(F.xxhash64("doc_id"), F.col("lists")).cast("bigint"))
+        .groupBy(*GROUP_KEYS, "document_count", "lists", "list_number")
         .agg(F.sort_array(F.collect_list("document_name")).alias("documents"))
     )
 
 
 def duplicate_alert_rows(records: DataFrame, salts: int | None = None) -> DataFrame:
-    """Duplicate members with the number of their group (from 1, in key order)."""
+    """Duplicate members with the number of their group (from 1, in key order).
+
+    Only members of groups are matched with the numbers; which rows those are comes from one
+    shuffled count of the fingerprints.
+    """
+    members = rows_of_groups(invoice_fingerprints(records), GROUP_KEYS, ["doc_id"], 2, salts)
     numbered = with_ordinal(duplicate_groups(records), GROUP_KEYS, "group_number")
     members = lookup_join(
-        invoice_fingerprints(records), numbered, GROUP_KEYS, ["doc_id"], "inner", salts
+        members.drop("group_rows"), numbered.drop("document_count"), GROUP_KEYS, ["doc_id"], "inner", salts
     )
     return members.select(
         F.concat(F.lit("GROUP "), F.col("group_number").cast("string")).alias("alert_group"),
@@ -128,21 +135,28 @@ def unparsable_dates(records: DataFrame) -> DataFrame:
 
 
 def vendor_net_spend(records: DataFrame) -> DataFrame:
-    """Spend per vendor, credit notes subtracted, largest first. Sums are exact decimals."""
-    amount = F.col("_amount")
-    signed = F.when(F.col("document_type") == "credit_note", -amount).otherwise(amount)
+    """Spend per vendor, credit notes subtracted, largest first.
+
+    Every amount above zero counts. Sums are exact decimals; amounts too large or too fine for
+    them are added as doubles.
+    """
+    total = F.col("total_amount")
+    sign = F.when(F.col("document_type") == "credit_note", -1).otherwise(1)
+    exact, rest = F.sum(F.col("_exact") * F.col("_sign")), F.sum(F.col("_rest") * F.col("_sign"))
+    spend = F.when(rest.isNull(), F.round(exact, 2).cast("double")).otherwise(
+        F.round(F.coalesce(exact.cast("double"), F.lit(0.0)) + rest, 2)
+    )
+    amounts = records.where(F.col("document_type").isin(*rules.SPEND_TYPES) & succeeded()).select(
+        "vendor_name",
+        sign.alias("_sign"),
+        M.parse_money(total).alias("_amount"),
+        M.parse_money_exact(total).alias("_exact"),
+    )
     return (
-        records.where(F.col("document_type").isin(*rules.SPEND_TYPES) & succeeded())
-        .select(
-            "document_type", "vendor_name",
-            M.parse_money_exact(F.col("total_amount")).alias("_amount"),
-        )
-        .where((F.coalesce("vendor_name", F.lit("")) != "") & (amount > 0))
+        amounts.where((F.coalesce("vendor_name", F.lit("")) != "") & (F.col("_amount") > 0))
+        .withColumn("_rest", F.when(F.col("_exact").isNull(), F.col("_amount")))
         .groupBy("vendor_name")
-        .agg(
-            F.round(F.sum(signed), 2).cast("double").alias("net_spend"),
-            F.count(F.lit(1)).alias("doc_count"),
-        )
+        .agg(spend.alias("net_spend"), F.count(F.lit(1)).alias("doc_count"))
         .orderBy(F.desc("net_spend"), "vendor_name")
     )
 

@@ -229,20 +229,30 @@ def parse_classification_responses(responses: DataFrame, origin: str = "llm") ->
     )
 
 
+def latest_answers(answers: DataFrame, key: str = "doc_id") -> DataFrame:
+    """One row per `key`: response and error (null where `answers` has none).
+
+    Of several answers the one with the greatest `answered_at` counts; where that is absent or
+    equal, one without an error, then the greatest response. Combined before the shuffle.
+    """
+    has = set(answers.columns)
+    error = F.col("error") if "error" in has else F.lit(None).cast("string")
+    order = [F.col("answered_at")] if "answered_at" in has else []
+    best = F.max(F.struct(*order, error.isNull().alias("ok"), "response", error.alias("error")))
+    return answers.groupBy(key).agg(best.alias("_a")).select(
+        key, F.col("_a.response").alias("response"), F.col("_a.error").alias("error")
+    )
+
+
 def apply_fallback(
     classified: DataFrame, responses: DataFrame, key: str = "doc_id", origin: str = "llm"
 ) -> DataFrame:
-    """Replace the results of unresolved rows by model answers; one answer per `key`.
+    """Replace the results of unresolved rows by model answers, the latest one per `key`.
 
     An unresolved row without an answer becomes a connection error. Both sides have one row
     per document, so the join cannot be skewed.
     """
-    answers = responses.select(
-        key, F.col("response").alias("response"),
-        *([F.col("error").alias("_answer_error")] if "error" in responses.columns else []),
-    )
-    if "error" not in responses.columns:
-        answers = answers.withColumn("_answer_error", F.lit(None).cast("string"))
+    answers = latest_answers(responses, key).withColumnRenamed("error", "_answer_error")
     joined = classified.join(answers, key, "left")
     rest = [c for c in classified.columns if c not in RESULT_COLUMNS]
     ruled = F.struct(*RESULT_COLUMNS).alias("_ruled")

@@ -138,12 +138,17 @@ def gap_fill_requests(
     )
 
 
+def with_has_text(df: DataFrame) -> DataFrame:
+    """Add `has_text`: whether the document's text was found."""
+    return df.withColumn("has_text", F.col("text").isNotNull())
+
+
 def extraction_status(
     df: DataFrame, schemas: Schemas = rules.TARGET_SCHEMAS
 ) -> DataFrame:
     """Add extraction_status, error and reason.
 
-    `df` has document_type, text (NULL when there is none), rule_fields and the model answer:
+    `df` has document_type, has_text, rule_fields and the model answer:
     `response` and, optionally, `response_error`. A document is complete when the patterns
     found as many fields as its schema has; otherwise the answer decides.
     """
@@ -151,7 +156,7 @@ def extraction_status(
         F.col("response_error") if "response_error" in df.columns else F.lit(None).cast("string")
     )
     read = df.withColumn("_wanted", F.size(schema_fields(F.col("document_type"), schemas)))
-    no_text, no_schema = F.col("text").isNull(), F.col("_wanted") < 0
+    no_text, no_schema = ~F.col("has_text"), F.col("_wanted") < 0
     wanted = F.coalesce("_wanted", F.lit(-1))
     read = read.withColumn("_wanted", wanted).withColumn(
         "_open",

@@ -16,7 +16,6 @@ from foliospark import rules
 from foliospark.functions import text as T
 from foliospark.operators.skew import lookup_join, with_ordinal
 
-TOP_K_ROWS = 100_000
 _REUSE_FOLDER = rf"/[^/]*{rules.REUSE_FOLDER_MARK}[^/]*/"
 
 
@@ -69,16 +68,16 @@ def union_roots(listings: Sequence[DataFrame]) -> DataFrame:
 
 
 def limit_documents(documents: DataFrame, max_docs: int | None) -> DataFrame:
-    """The first `max_docs` documents by root and path; no limit for 0 or None.
+    """The first `max_docs` documents by root and path, in that order; no limit for 0 or None.
 
-    A short list is picked by a top-k; a long one by position, so that it never gathers in
-    one task.
+    Positions are given to the keys alone, in range partitions, so that no task sees more than
+    its part however many documents are asked for. A path is unique below its root.
     """
     if not max_docs:
         return documents
-    if max_docs <= TOP_K_ROWS:
-        return documents.orderBy("root_ord", "path").limit(max_docs)
-    return with_ordinal(documents, ["root_ord", "path"], "_n").where(F.col("_n") <= max_docs).drop("_n")
+    keys = ["root_ord", "path"]
+    first = with_ordinal(documents.select(*keys), keys, "_n").where(F.col("_n") <= max_docs)
+    return documents.join(first.drop("_n"), keys, "left_semi").orderBy(*keys)
 
 
 def extractor_route(extension: Column) -> Column:

@@ -9,24 +9,37 @@ from foliospark.functions import text as T
 from foliospark.operators.skew import lookup_join
 
 
-def latest_type_per_name(classification: DataFrame) -> DataFrame:
-    """One type per document name. Of documents with the same name, the last path counts."""
+def organize_manifest(ingestion: DataFrame, classification: DataFrame, key: str = "path") -> DataFrame:
+    """Source path, type and folder of every ingested document that was classified.
+
+    Both tables have `key`, which tells documents apart; names may repeat. `ingestion` has
+    path and document_name (with suffix). Each document gets its own type.
+    """
+    files = ingestion.select(
+        *dict.fromkeys([key, "path"]), T.stem(F.col("document_name")).alias("document_name_stem")
+    )
+    typed = classification.groupBy(key).agg(F.max("predicted_type").alias("predicted_type"))
+    return files.join(typed, key).select(
+        "path", "document_name_stem", "predicted_type",
+        T.folder_safe(F.col("predicted_type")).alias("folder"),
+    )
+
+
+def type_per_name(classification: DataFrame) -> DataFrame:
+    """For sources that only know names: one type per document_name, that of the last path, and
+    `conflict` where documents of that name have several types."""
     return classification.groupBy("document_name").agg(
-        F.max_by("predicted_type", "path").alias("predicted_type")
+        F.max_by("predicted_type", "path").alias("predicted_type"),
+        (F.min("predicted_type") != F.max("predicted_type")).alias("conflict"),
     )
 
 
-def organize_manifest(
+def organize_manifest_by_name(
     ingestion: DataFrame, classification: DataFrame, salts: int | None = None
 ) -> DataFrame:
-    """Source path, type and folder of every ingested document whose name was classified.
-
-    `ingestion` has path and document_name (with suffix); `classification` has one row per
-    document_name (without suffix; see `latest_type_per_name`). Many files may share a name.
-    """
-    typed = classification.select(
-        F.col("document_name").alias("document_name_stem"), "predicted_type"
-    )
+    """Like `organize_manifest` over `type_per_name`, with its `conflict`. Many files may share a
+    name (without suffix)."""
+    typed = type_per_name(classification).withColumnRenamed("document_name", "document_name_stem")
     files = ingestion.select("path", T.stem(F.col("document_name")).alias("document_name_stem"))
     return lookup_join(files, typed, ["document_name_stem"], ["path"], "inner", salts).withColumn(
         "folder", T.folder_safe(F.col("predicted_type"))

@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark import rules
+from foliospark.functions.dates import iso_stamp
 from foliospark.operators import analyze as A
 
+SUMMARY_INSTRUCTION = "Write a short executive summary of these findings.\n\n"
+
 
 def counts_by(df: DataFrame, column: str, name: str = "n") -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias(name))
@@ -57,6 +60,41 @@ def extraction_run_summary(records: DataFrame) -> DataFrame:
     )
 
 
+def extraction_tracker(records: DataFrame) -> DataFrame:
+    """What the run tracker keeps of stage 3: one row per document."""
+    return records.select("document_name", "document_type", F.col("extraction_status").alias("status"), "error")
+
+
+def stage_run_summaries(
+    outcome: DataFrame, classified: DataFrame, records: DataFrame, run_timestamp: Column
+) -> DataFrame:
+    """One row per stage: stage, run_timestamp (ISO text), docs_total and the stage's own count."""
+    def row(stage: str, df: DataFrame, total: str, count: str) -> DataFrame:
+        return df.select(
+            F.lit(stage).alias("stage"), iso_stamp(run_timestamp).alias("run_timestamp"),
+            F.col(total).alias("docs_total"), F.lit(count).alias("counted"), F.col(count).alias("n"),
+        )
+
+    return (
+        row("01_Ingestion", ingestion_summary(outcome), "docs_total", "success")
+        .unionByName(row("02_Classification", classification_summary(classified), "docs_total", "llm_fallbacks_used"))
+        .unionByName(row("03_Extraction", extraction_run_summary(records), "docs_processed", "successful_extractions"))
+    )
+
+
+def summary_request(
+    kpis: DataFrame, spend: DataFrame, instruction: str = SUMMARY_INSTRUCTION
+) -> DataFrame:
+    """One request for an executive summary: the headline counts and the top vendor as JSON."""
+    counts = kpis.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("metric", "value")))).alias("counts"))
+    spent = F.col("net_spend").try_cast("decimal(38,2)").alias("net_spend")
+    facts = F.struct(counts.scalar().alias("counts"), "top_vendor", spent)
+    body = F.to_json(facts, {"ignoreNullFields": "false"})
+    return top_vendor(spend).select(
+        body.alias("facts"), F.concat(F.lit(instruction), body).alias("request")
+    )
+
+
 def classify_route_counts(classified: DataFrame) -> DataFrame:
     """Documents per rule status: resolved, unresolved, error."""
     return counts_by(classified, "status", "docs")

@@ -26,16 +26,6 @@ def salts_for(df: DataFrame) -> int:
     return max([MIN_SALTS, *(int(n) for n in counts if n and n.isdigit())])
 
 
-def use_all_cores(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table with fewer splits than the cluster has cores, by `keys`.
-
-    For tables of few row groups ahead of costly work per row. Larger tables have more splits
-    than cores and pass through without a shuffle. A later join on `keys` reuses the placement.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def _salt(spread_by: Sequence[str], salts: int) -> Column:
     # never NULL, and known to be so: the optimizer then adds no null tests to one use only
     return F.coalesce(F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"), F.lit(0))

@@ -31,14 +31,12 @@ def classify_documents(
 def extract_records(classified_texts: DataFrame, answers: DataFrame) -> DataFrame:
     """Documents (doc_id, document_name, document_type, text) with status and merged fields.
 
-    `answers` has doc_id, response and, optionally, error: one row per asked document.
+    `answers` has doc_id, response and, optionally, error and answered_at; of several answers
+    the latest counts (see `latest_answers`). Texts end where the patterns have read them: the
+    join with the answers sees whether there was one.
     """
-    ruled = E.extract_fields(classified_texts)
-    renamed = answers.select(
-        "doc_id", "response",
-        (F.col("error") if "error" in answers.columns else F.lit(None).cast("string"))
-        .alias("response_error"),
-    )
+    ruled = E.with_has_text(E.extract_fields(classified_texts)).drop("text")
+    renamed = C.latest_answers(answers, "doc_id").withColumnRenamed("error", "response_error")
     return E.merge_gap_fill(E.extraction_status(ruled.join(renamed, "doc_id", "left")))
 
 

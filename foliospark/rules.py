@@ -29,12 +29,6 @@ class RuleSet:
 # These must equal the documented behaviour for results to match: document types, keyword
 # lists (their order decides ties), patterns, target schemas, limits and message texts.
 
-DOCUMENT_TYPES = (
-    "invoice", "receipt", "purchase_order", "credit_note", "quotation", "bank_statement",
-    "balance_sheet", "profit_and_loss", "contract", "resume", "bill_of_lading",
-    "packing_slip", "utility_bill", "other",
-)
-
 FILENAME_KEYWORDS: Keywords = {
     "invoice": ("invoice", "inv-"),
     "receipt": ("receipt",),

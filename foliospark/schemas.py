@@ -1,56 +1,12 @@
 """Table schemas, as DDL strings that ``spark.read.schema`` and ``from_json`` accept."""
 
 LISTING = "root STRING, path STRING, length BIGINT"
-INGESTION = (
-    "path STRING, document_name STRING, source_folder STRING, extension STRING, method STRING, "
-    "success BOOLEAN, text_length BIGINT, ocr_pages INT, error STRING"
-)
 CLASSIFICATION = (
     "document_name STRING, predicted_type STRING, confidence DOUBLE, method STRING, "
     "reasoning STRING, key_indicators STRING, error STRING"
 )
-FIELD_LONG = (
-    "document_name STRING, document_type STRING, field STRING, value STRING, method STRING"
-)
-RECORD_WIDE = (
-    "document_name STRING, document_type STRING, extraction_status STRING, error STRING, "
-    "reason STRING, invoice_number STRING, vendor_name STRING, total_amount DOUBLE, "
-    "due_date STRING, vat_number STRING, transaction_date STRING, payment_method STRING, "
-    "contract_title STRING, effective_date STRING, termination_date STRING, "
-    "contracting_parties ARRAY<STRING>, bank_name STRING, account_holder STRING, "
-    "statement_period STRING, ending_balance DOUBLE"
-)
-RUN_SUMMARY = (
-    "run_timestamp STRING, docs_total BIGINT, success BIGINT, fail BIGINT, "
-    "success_rate_pct DOUBLE, method_distribution MAP<STRING, BIGINT>"
-)
-LINE_ITEM = (
-    "STRUCT<description: STRING, quantity: DOUBLE, unit_price: DOUBLE, total_price: DOUBLE, "
-    "confidence: DOUBLE, price_corrected: BOOLEAN>"
-)
-PARSED_INVOICE = (
-    "source_file STRING, overall_confidence DOUBLE, basic_fields STRUCT<invoice_number: STRING, "
-    "invoice_date: STRING, total_amount: DOUBLE, vendor_name: STRING, "
-    "confidence_scores: MAP<STRING, DOUBLE>>, line_items ARRAY<" + LINE_ITEM + ">"
-)
-VALIDATION = "passed BOOLEAN, errors ARRAY<STRING>, warnings ARRAY<STRING>"
-# One row per (group, chunk): a group larger than a chunk spans several rows.
-DUPLICATE_GROUPS = (
-    "vendor_name STRING, invoice_number STRING, amount DOUBLE, document_count BIGINT, "
-    "chunk BIGINT, documents ARRAY<STRING>"
-)
 EXPIRING = (
     "document_name STRING, termination_date STRING, days_to_expiry INT, parties ARRAY<STRING>"
 )
 VENDOR_SPEND = "vendor_name STRING, net_spend DOUBLE, doc_count BIGINT"
 QUALITY_FLAGS = "document_name STRING, document_type STRING, issue STRING, details STRING"
-INVOICES_OUT = (
-    "source_file STRING, invoice_number STRING, invoice_date STRING, vendor_name STRING, "
-    "total_amount DOUBLE, line_items_count INT"
-)
-LINES_OUT = (
-    "description STRING, quantity DOUBLE, unit_price DOUBLE, total_price DOUBLE, "
-    "confidence DOUBLE, price_corrected BOOLEAN, invoice_number STRING"
-)
-CLASSIFY_RESPONSE = "doc_id STRING, response STRING, error STRING"
-EXTRACT_RESPONSE = CLASSIFY_RESPONSE

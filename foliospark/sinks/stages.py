@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.operators.extract import extraction_summary_rows
+from foliospark.operators.skew import lookup_join
 from foliospark.functions.text import folder_safe
 
 
@@ -18,14 +19,10 @@ def with_run(df: DataFrame, stage: str, run_ts: str) -> DataFrame:
 
 
 def write_stage(df: DataFrame, path: str, stage: str, run_ts: str) -> None:
-    """Write one run of one stage to the table at `path`, partitioned by stage and run."""
-    (
-        with_run(df, stage, run_ts)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("stage", "run_ts")
-        .parquet(path)
-    )
+    """Write one run of one stage to its folder of the table at `path`, which is partitioned by
+    stage and run. A repeated attempt replaces the run, also by nothing."""
+    folder = f"{path}/stage={stage}/run_ts={run_ts}"
+    df.drop("stage", "run_ts").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -50,21 +47,40 @@ def write_analysis(tables: dict[str, DataFrame], path: str) -> None:
 
 
 def write_report(tables: dict[str, DataFrame], path: str) -> list[str]:
-    """Write the report tables that have rows; returns their names."""
-    written = [name for name, df in tables.items() if not df.isEmpty()]
-    for name in written:
-        write_csv(tables[name], f"{path}/{name}")
-    return written
+    """Write the report tables; returns the names of those that have rows. Each is computed once:
+    what was written tells whether there is anything."""
+    for name, df in tables.items():
+        write_csv(df, f"{path}/{name}")
+    return [
+        name
+        for name, df in tables.items()
+        if not df.sparkSession.read.option("header", True).csv(f"{path}/{name}").isEmpty()
+    ]
 
 
 def write_by_type(
-    documents: DataFrame, path: str, doc_type: Column | str = "predicted_type"
+    documents: DataFrame,
+    path: str,
+    run_ts: str,
+    doc_type: Column | str = "predicted_type",
+    rows_per_file: int = 100_000,
 ) -> None:
-    """Place documents in one folder per type; a large type is written by many tasks."""
+    """Place documents in one folder per type below the folder of the run, replacing that run.
+
+    Rows are clustered by type and a hash bucket of the type's size, so a type has about one file
+    for each `rows_per_file` rows, and a large one is written by many tasks.
+    """
     column = F.col(doc_type) if isinstance(doc_type, str) else doc_type
+    placed = documents.withColumn("folder", folder_safe(column))
+    sizes = placed.groupBy("folder").agg(F.count(F.lit(1)).alias("_n"))
+    sized = lookup_join(placed, sizes, ["folder"], documents.columns[:1])
+    bucket = F.pmod(F.xxhash64(documents.columns[0]), F.ceil(F.col("_n") / rows_per_file))
     (
-        documents.withColumn("folder", folder_safe(column))
+        sized.repartition("folder", bucket)
+        .drop("_n")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .option("maxRecordsPerFile", rows_per_file)
         .partitionBy("folder")
-        .parquet(path)
+        .parquet(f"{path}/run_ts={run_ts}")
     )

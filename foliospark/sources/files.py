@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import os
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -13,8 +15,9 @@ from foliospark import schemas
 from foliospark.operators.ingest import union_roots
 
 log = logging.getLogger(__name__)
-# Stands for U+FFFD characters that are part of a text while undecodable bytes are removed.
-_KEEP = "﷐"
+# Stands, with a digit behind it, for itself and for U+FFFD while undecodable bytes are removed.
+_ESCAPE = "﷐"
+_LOCAL = r"^file:/+"
 _REPLACEMENT = "�"
 
 
@@ -32,11 +35,20 @@ def _scan(spark: SparkSession, root: str, glob: str | None) -> DataFrame | None:
 
 
 def _with_root(scan: DataFrame, root: str) -> DataFrame:
-    return scan.withColumn("root", F.lit(root.rstrip("/"))).withColumn(
-        "path", F.regexp_replace("path", r"^file:/+", "/")
+    # root and paths in one spelling, so that what is below the root can be told
+    return scan.withColumn("root", F.lit(_spelled(root))).withColumn(
+        "path", F.regexp_replace("path", _LOCAL, "/")
     )
 
 
+def _spelled(root: str) -> str:
+    """A root as the scan spells its paths: local ones absolute and without scheme."""
+    plain = re.sub(_LOCAL, "/", root)
+    if not re.match(r"[a-zA-Z][\w+.-]*:", plain):
+        plain = os.path.abspath(plain)
+    return plain.rstrip("/")
+
+
 def list_files(spark: SparkSession, roots: Sequence[str], glob: str | None = None) -> DataFrame:
     """Listing (root, path, length, root_ord) of all files below the roots; contents are not read.
 
@@ -55,9 +67,14 @@ def decode_text(content: Column, strict: bool = False) -> Column:
     """UTF-8 text of file contents. Bad bytes fail a strict read and are dropped otherwise."""
     if strict:
         return F.decode(content, "UTF-8")
-    raw = F.replace(content.cast("string"), F.lit(_REPLACEMENT), F.lit(_KEEP))
-    valid = F.replace(F.make_valid_utf8(raw), F.lit(_REPLACEMENT), F.lit(""))
-    return F.replace(valid, F.lit(_KEEP), F.lit(_REPLACEMENT))
+    steps = ((_ESCAPE, _ESCAPE + "0"), (_REPLACEMENT, _ESCAPE + "1"))
+    out = content.cast("string")
+    for plain, escaped in steps:
+        out = F.replace(out, F.lit(plain), F.lit(escaped))
+    out = F.replace(F.make_valid_utf8(out), F.lit(_REPLACEMENT), F.lit(""))
+    for plain, escaped in reversed(steps):
+        out = F.replace(out, F.lit(escaped), F.lit(plain))
+    return out
 
 
 def read_text_files(

@@ -19,11 +19,16 @@ def latest_run_with_prefix(runs: DataFrame, prefix: str) -> DataFrame:
 def rows_of_run(tracker: DataFrame, stage: str, run_ts: str | None = None) -> DataFrame:
     """Rows of one run; the latest one of the stage by default.
 
-    Both filters are on partition columns; the latest run is a scalar subquery, so no join
-    and no look at other runs' rows.
+    Both filters are on partition columns. The latest run is a scalar subquery that reads no
+    data column of the stage's runs, only which there are; then one run's rows are read.
     """
     rows = tracker.where(F.col("stage") == stage)
     if run_ts is not None:
         return rows.where(F.col("run_ts") == run_ts)
-    latest = rows.agg(F.max("run_ts")).scalar()
+    latest = rows.select("run_ts").agg(F.max("run_ts")).scalar()
     return rows.where(F.col("run_ts") == latest)
+
+
+def tracker_rows(tracker: DataFrame, stage: str, run_ts: str | None = None) -> DataFrame:
+    """Rows of one run of the tracker in the order of their paths."""
+    return rows_of_run(tracker, stage, run_ts).orderBy("path")

@@ -1,3 +1,8 @@
+import re
+
+from pyspark.sql import functions as F
+
+from foliospark.functions import money as M
 from foliospark.operators import analyze as A
 from foliospark.operators import report as R
 from foliospark.plans.staged import analyze_records, report_tables
@@ -133,3 +138,28 @@ def test_json_records(spark, tmp_path):
     assert got["a.b"].contracting_parties == ["Solo"] and got["a.b"].vendor_name is None
     assert float(got["a.b"].total_amount) == 12.5
     assert got["bad"].extraction_status is None and got["bad"].data is None
+
+
+def test_spend_keeps_amounts_of_any_size(spark):
+    amounts = ["1000000000000000000.00", "5.00", "0.0000001", "1e30", "-3", "n/a", "0"]
+    rows = [(i, f"d{i}", "invoice", "success_hybrid", None, "v", a) for i, a in enumerate(amounts)]
+    df = spark.createDataFrame(
+        rows, "doc_id LONG, document_name STRING, document_type STRING, extraction_status STRING, error STRING, "
+        "vendor_name STRING, total_amount STRING")
+    row = A.vendor_net_spend(df).first()
+    assert row.doc_count == 4 and row.net_spend == 1e30 + 1e18 + 5
+
+
+def test_numbers_of_a_million_characters(spark):
+    n = 1_000_000
+    texts = ["1" + "_1" * (n // 2), "9" * n, "1_" * (n // 2), "1." + "0_" * (n // 2), "1e" + "1_1" * (n // 3), "_" * n,
+             "1_000.5_0", "1__0", "_1", "1_", "1_.5", "1._5", ".5", "5.", "1e1_0", "1e_1", "1_e1", "+1_0", "+_1"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING")
+    got = {r.i: r.x for r in df.select("i", M.parse_number(F.col("t")).alias("x")).collect()}
+    want = {}
+    for i, t in enumerate(texts):
+
+        ok = re.fullmatch(r"[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?", t[:50] if i >= 6 else "")
+        want[i] = float(t) if ok else None
+    assert {i: got[i] for i in range(6, len(texts))} == {i: want[i] for i in range(6, len(texts))}
+    assert got[0] == got[1] == float("inf") and all(got[i] is None for i in (2, 3, 5))

@@ -77,7 +77,7 @@ def test_complete_document_needs_no_answer(spark):
     schemas = {"receipt": {"total_amount": "number"}}
     patterns = {"receipt": {"total_amount": rules.FIELD_PATTERNS["receipt"]["total_amount"]}}
     df = E.extract_fields(documents(spark, [("receipt", "total 7.00")]), patterns)
-    df = df.selectExpr("*", "CAST(NULL AS STRING) AS response")
+    df = E.with_has_text(df).selectExpr("*", "CAST(NULL AS STRING) AS response")
     row = E.merge_gap_fill(E.extraction_status(df, schemas), schemas, patterns).first()
     assert row.extraction_status == "success_regex"
     assert fields_of(row, "fields") == {"total_amount": ("7.00", "regex")}

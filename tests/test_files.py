@@ -107,18 +107,65 @@ def test_classification_csv(spark, tmp_path):
 
 def test_organize(spark, tmp_path):
     ingestion = spark.createDataFrame(
-        [("/r/a.pdf", "a.pdf"), ("/r/x/a.txt", "a.txt"), ("/r/b.pdf", "b.pdf")], "path STRING, document_name STRING"
+        [("/a/Doc1.pdf", "Doc1.pdf"), ("/b/Doc1.pdf", "Doc1.pdf"), ("/b/x.pdf", "x.pdf")],
+        "path STRING, document_name STRING",
     )
     typed = spark.createDataFrame(
-        [("/t/1", "a", "old"), ("/t/2", "a", "a/b:c"), ("/t/3", "z", "other")],
+        [("/a/Doc1.pdf", "Doc1", "invoice"), ("/b/Doc1.pdf", "Doc1", "a/b:c"), ("/t/3", "z", "other")],
         "path STRING, document_name STRING, predicted_type STRING",
     )
-    manifest = O.organize_manifest(ingestion, O.latest_type_per_name(typed))
-    assert sorted((r.path, r.folder) for r in manifest.collect()) == [("/r/a.pdf", "a_b_c"), ("/r/x/a.txt", "a_b_c")]
-    there = spark.createDataFrame([("/r/a.pdf",)], "path STRING")
-    assert tuple(R_ for R_ in O.organize_summary(O.with_presence(manifest, there)).first()) == (1, 1)
-    K.write_by_type(manifest, str(tmp_path / "placed"))
-    assert os.path.isdir(tmp_path / "placed" / "folder=a_b_c")
+    # equal names keep their own types
+    manifest = O.organize_manifest(ingestion, typed)
+    assert sorted((r.path, r.folder) for r in manifest.collect()) == [("/a/Doc1.pdf", "invoice"), ("/b/Doc1.pdf", "a_b_c")]
+    named = O.organize_manifest_by_name(ingestion, typed)
+    assert {(r.path, r.predicted_type, r.conflict) for r in named.collect()} == {
+        ("/a/Doc1.pdf", "a/b:c", True), ("/b/Doc1.pdf", "a/b:c", True)}
+    there = spark.createDataFrame([("/a/Doc1.pdf",)], "path STRING")
+    assert tuple(O.organize_summary(O.with_presence(manifest, there)).first()) == (1, 1)
+    placed = str(tmp_path / "placed")
+    K.write_by_type(manifest, placed, "r1")
+    assert os.path.isdir(f"{placed}/run_ts=r1/folder=a_b_c")
+    # a rerun leaves no document where it was
+    K.write_by_type(manifest.withColumn("predicted_type", F.lit("invoice")), placed, "r1")
+    assert os.listdir(f"{placed}/run_ts=r1").count("folder=invoice") == 1
+    assert spark.read.parquet(placed).count() == 2 and not os.path.isdir(f"{placed}/run_ts=r1/folder=a_b_c")
+    many = spark.range(1000).select(F.col("id").alias("path"), F.lit("big").alias("predicted_type"))
+    K.write_by_type(many, placed, "r2", rows_per_file=100)
+    files = [f for f in os.listdir(f"{placed}/run_ts=r2/folder=big") if f.endswith(".parquet")]
+    assert 5 <= len(files) <= 20
+
+
+def test_stage_reruns(spark, tmp_path):
+    at = str(tmp_path / "stages")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "document_name STRING, n INT")
+    K.write_stage(rows, at, "s1", "r1")
+    K.write_stage(rows, at, "s1", "r2")
+    K.write_stage(rows.limit(1), at, "s1", "r1")
+    read = lambda run: RUN.rows_of_run(spark.read.parquet(at), "s1", run).count()
+    assert (read("r1"), read("r2"), read(None)) == (1, 2, 2)
+    K.write_stage(rows.limit(0), at, "s1", "r1")
+    assert (read("r1"), read("r2")) == (0, 2)
+
+
+def test_report_lists_what_has_rows(spark, tmp_path):
+    some = spark.createDataFrame([("a", 1)], "x STRING, y INT")
+    assert K.write_report({"some": some, "none": some.limit(0)}, str(tmp_path / "r")) == ["some"]
+
+
+def test_root_and_paths_in_one_spelling(spark, tmp_path):
+    folder = tmp_path / "x_extracted_text" / "in"
+    folder.mkdir(parents=True)
+    (folder / "a.pdf").write_bytes(b"x")
+    for root in (str(folder), f"file:{folder}", f"file://{folder}/", os.path.relpath(folder)):
+        listed = S.list_files(spark, [root])
+        assert [r.path for r in G.discover_documents(listed).collect()] == [str(folder / "a.pdf")], root
+
+
+def test_lenient_decoding_keeps_every_valid_character(spark):
+    raw = "a\ufdd0b\ufdd00\ufdd01\ufffd\ufdd0\ufffdz".encode()
+    df = spark.createDataFrame([(bytearray(raw),), (bytearray(raw[:5] + b"\xff\xc3" + raw[5:]),)], "c BINARY")
+    got = [r[0] for r in df.select(S.decode_text(F.col("c"))).collect()]
+    assert got == [raw.decode()] * 2
 
 
 def test_run_history(spark):

@@ -36,7 +36,7 @@ def test_duplicates_of_a_hot_key(spark):
         F.count("*").alias("n"), F.max("document_count").alias("size")).collect()}
     want = brute_force_sizes(n)
     assert got == {k: (v, v) for k, v in want.items()}
-    lists = A.duplicate_group_lists(hot_invoices(spark, n), chunk_rows=100)
+    lists = A.duplicate_group_lists(hot_invoices(spark, n), list_rows=100)
     sizes = [len(r.documents) for r in lists.where("vendor_name = 'acme'").collect()]
     assert sum(sizes) == 3000 and max(sizes) < 200 and len(sizes) == 30
 
@@ -80,14 +80,14 @@ def test_salts_follow_the_cluster(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_long_document_limit(spark, monkeypatch):
+def test_document_limit_of_any_size(spark):
     docs = spark.range(500).select(
         (F.col("id") % 2).cast("int").alias("root_ord"), F.format_string("/d/%04d", "id").alias("path")
     )
-    short = [tuple(r) for r in G.limit_documents(docs, 300).collect()]
-    monkeypatch.setattr(G, "TOP_K_ROWS", 10)
-    long = [tuple(r) for r in G.limit_documents(docs, 300).collect()]
-    assert sorted(long) == sorted(short) and len(long) == 300
+    rows = sorted(tuple(r) for r in docs.collect())
+    for n in (1, 300, 500, 10_000):
+        assert [tuple(r) for r in G.limit_documents(docs, n).collect()] == rows[:n]
+    assert G.limit_documents(docs, 0).count() == G.limit_documents(docs, None).count() == 500
 
 
 def test_ordinal(spark):
