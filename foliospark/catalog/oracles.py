@@ -77,6 +77,19 @@ FROM parts p LEFT JOIN reuse r ON p.root = r.root AND lower(p.document_name_stem
 LEFT JOIN copies c ON c.path = r.reused_path
 WHERE extension IN ({SUFFIXES})"""
 
+ORACLES["ingestion_flow"] = f"""WITH {_PARTS}, {_REUSE},
+flow AS (SELECT p.path, r.reused_path IS NOT NULL AS again,
+    CASE WHEN r.reused_path IS NOT NULL THEN 'reused' WHEN extension = '.txt' THEN 'text'
+      WHEN extension = '.pdf' THEN 'pdf' ELSE 'image' END AS method,
+    CASE WHEN r.reused_path IS NOT NULL THEN concat('reused ', c.html) WHEN page_id % 6 = 0 THEN ' ' ELSE p.html END AS text,
+    CASE WHEN r.reused_path IS NULL AND page_id % 10 = 3 THEN 'decoder failed' END AS failure
+  FROM parts p LEFT JOIN reuse r ON p.root = r.root AND lower(p.document_name_stem) = r.stem_key
+  LEFT JOIN copies c ON c.path = r.reused_path WHERE extension IN ({SUFFIXES}) AND length <= 10485),
+judged AS (SELECT *, failure IS NULL AND text <> ' ' AS success FROM flow)
+SELECT path, method, success, CAST(CASE WHEN success THEN length(text) ELSE 0 END AS BIGINT) AS text_length,
+  CASE WHEN success THEN '' ELSE coalesce(failure, 'No text extracted') END AS error, md5(text) AS text_md5
+FROM judged"""
+
 ORACLES["choose_longer_text"] = """WITH t AS (SELECT doc_id,
     CASE WHEN lang = 'en' THEN text ELSE concat(source, ' ', lang, ' ') END AS direct,
     CASE WHEN lang = 'de' THEN lang ELSE concat(text, chr(10)) END AS ocr,

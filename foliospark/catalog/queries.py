@@ -20,6 +20,7 @@ from foliospark.operators import invoices as I
 from foliospark.operators import organize as O
 from foliospark.operators import report as R
 from foliospark.operators import validate as V
+from foliospark.plans import ingestion as PG
 from foliospark.plans import invoices as PI
 from foliospark.plans import staged as PS
 from foliospark.sinks import stages as K
@@ -114,6 +115,19 @@ def reuse_text_join(spark, sf):
     return joined.select("path", "method", "reused_path", fingerprint("text").alias("text_md5"))
 
 
+@query
+def ingestion_flow(spark, sf):
+    """Stage 1 over a listing of pages, of which some could not be read or are blank."""
+    listing = X.page_listing(spark, sf)
+    texts = listing.selectExpr(
+        "path", "CASE WHEN page_id % 6 = 0 THEN ' ' ELSE text END AS text",
+        "CASE WHEN page_id % 10 = 3 THEN 'decoder failed' END AS error",
+    )
+    files = listing.select("root", "path", "length")
+    flow = PG.ingestion_flow(files, texts, X.reuse_listing(spark, sf), max_size_mb=0.01)
+    return flow.select("path", "method", "success", "text_length", "error", fingerprint("text").alias("text_md5"))
+
+
 @query
 def choose_longer_text(spark, sf):
     texts = X.table(spark, sf, "documents").selectExpr(

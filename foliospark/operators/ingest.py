@@ -114,7 +114,7 @@ def attach_reused_text(
     texts = reuse_texts.select(F.col("path").alias("reused_path"), F.col("text").alias("reused_text"))
     reusable = index.join(texts, "reused_path")
     docs = documents.withColumn("stem_key", F.lower(T.stem(T.file_name(F.col("path")))))
-    joined = lookup_join(docs, reusable, key, ["path"], "left", salts)
+    joined = lookup_join(docs, reusable, key, ["path"], "left", salts, wide=True)
     return joined.withColumns(
         {
             "text": F.coalesce("reused_text", "text"),

@@ -38,20 +38,28 @@ def lookup_join(
     spread_by: Sequence[str],
     how: str = "left",
     salts: int | None = None,
+    wide: bool = False,
 ) -> DataFrame:
     """Join `left` with a table that has one row per key, whatever the key frequencies in `left`.
 
     Rows of `left` are spread over `salts` sub-keys by a hash of `spread_by` (columns that
     differ within a key). Each right row is copied only to the sub-keys that occur, so rare
     keys cost one copy and a hot key at most `salts` (see `salts_for`). `how` is inner, left,
-    left_semi or left_anti.
+    left_semi or left_anti. `wide` rows of `right` (whole texts) are copied in two steps, to groups
+    of sub-keys and from there, so that one task writes about the root of `salts` copies.
     """
     salts = salts or salts_for(left)
     if salts <= 1:
         return left.join(right, list(on), how)
     salted = left.withColumn("_salt", _salt(spread_by, salts))
     occurring = salted.select(*on, "_salt").distinct()
-    copies = occurring.join(right, list(on), "inner")
+    if wide:
+        group = (F.col("_salt") / F.lit(int(salts**0.5) or 1)).cast("int")
+        occurring = occurring.withColumn("_group", group)
+        copies = occurring.select(*on, "_group").distinct().join(right, list(on), "inner")
+        copies = occurring.join(copies, [*on, "_group"], "inner").drop("_group")
+    else:
+        copies = occurring.join(right, list(on), "inner")
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 

@@ -8,6 +8,7 @@ from foliospark.operators import classify as C
 from foliospark.operators import ingest as G
 from foliospark.operators import organize as O
 from foliospark.operators import report as R
+from foliospark.plans import ingestion as P
 from foliospark.sinks import stages as K
 from foliospark.sources import files as S
 from foliospark.sources import records as SR
@@ -175,3 +176,22 @@ def test_run_history(spark):
     )
     assert {tuple(r) for r in RUN.latest_runs(runs, "ok").collect()} == {("s1", "20240102_000001"), ("t", "2")}
     assert [tuple(r) for r in RUN.latest_run_with_prefix(runs, "s").collect()] == [("s1", "20250101_000000")]
+
+
+def test_ingest_files(spark, tmp_path):
+    a, b = tmp_path / "a", tmp_path / "b"
+    for at, data in {
+        a / "one.TXT": b"first", a / "big.txt": b"x" * 3000, a / "two.pdf": b"%", a / "note.xyz": b"n",
+        a / "extracted_text" / "two.txt": b"text of two", b / "blank.txt": b" ", b / "img.png": b"p",
+    }.items():
+        at.parent.mkdir(parents=True, exist_ok=True)
+        at.write_bytes(data)
+    made = spark.createDataFrame([(str(b / "img.png"), "seen")], "path STRING, text STRING")
+    roots = [str(a), f"file:{b}", str(tmp_path / "absent")]
+    out = P.ingest_files(spark, roots, made, max_size_mb=0.002)
+    got = {os.path.basename(r.path): (r.method, r.success, r.text) for r in out.collect()}
+    assert got == {
+        "one.TXT": ("text", True, "first"), "two.pdf": ("reused", True, "text of two"),
+        "blank.txt": ("text", False, " "), "img.png": ("image", True, "seen"),
+    }
+    assert P.ingest_files(spark, roots, max_docs=2).count() == 2

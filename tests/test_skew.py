@@ -64,9 +64,10 @@ def test_lookup_join_kinds(spark):
     right = spark.createDataFrame([("a", 10), ("c", 30)], "k STRING, v INT")
     for how in ("inner", "left", "left_semi", "left_anti"):
         for salts in (1, 7, None):
-            got = sorted(map(tuple, lookup_join(left, right, ["k"], ["id"], how, salts).collect()), key=str)
             want = sorted(map(tuple, left.join(right, "k", how).collect()), key=str)
-            assert got == want, (how, salts)
+            for wide in (False, True):
+                joined = lookup_join(left, right, ["k"], ["id"], how, salts, wide)
+                assert sorted(map(tuple, joined.collect()), key=str) == want, (how, salts, wide)
 
 
 def test_salts_follow_the_cluster(spark):
