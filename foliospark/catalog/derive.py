@@ -9,11 +9,12 @@ Rendered texts are bound: a query sees them as a stored column and renders each
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.functions.binding import bind
 from foliospark.functions.dates import compact_stamp
+from foliospark.operators.skew import rows_of_groups
 
 TODAY = "2001-05-03 12:00:00"
 THIS_YEAR = 2024
@@ -202,47 +203,40 @@ def record_json(spark: SparkSession, sf: str) -> DataFrame:
     return bind(texts, ["json"])
 
 
-KINDS = tuple(
-    (flag, state, f"{name} {goods} goods")
-    for flag, name in (("A", "Accepted"), ("N", "New"), ("R", "Returned"))
-    for state, goods in (("F", "final"), ("O", "open"))
-)
-
-
-def order_items(spark: SparkSession, sf: str) -> DataFrame:
-    """Per order, one slot per kind of goods: quantity, unit price and total (in cents).
+# A large order has several invoices, each with about as many of its lines.
+LINES_PER_INVOICE = 8
+PART = "CAST((l_partkey + l_suppkey + l_linenumber) % CAST(ceil({n} / 8.0) AS BIGINT) AS BIGINT)"
+INVOICE_ID = "o_orderkey + part * 10000000000"
+INVOICE_FILE = "concat('order-', o_orderkey, '-', part, '.pdf')"
+_MONEY = "format_number(CAST({0} AS DECIMAL(20, 2)) / 100, 2)"
 
-    Lines are added up before the shuffle, so an order with very many lines costs no more
-    than any other, and nothing is collected into lists.
-    """
-    def total(flag: str, state: str, value: str) -> Column:
-        flags = "l_returnflag NOT IN ('A', 'R')" if flag == "N" else f"l_returnflag = '{flag}'"
-        states = "l_linestatus = 'O'" if state == "O" else "l_linestatus <> 'O'"
-        return F.expr(f"sum(CASE WHEN {flags} AND {states} THEN {value} END)")
 
-    sums = []
-    for i, (flag, state, _) in enumerate(KINDS):
-        sums.append(total(flag, state, "CAST(l_quantity AS BIGINT)").alias(f"q{i}"))
-        sums.append(
-            total(flag, state, "CAST(l_extendedprice * 100 + 0.5D AS BIGINT)").alias(f"c{i}")
-        )
-    return table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(*sums)
+def invoice_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Per invoice (o_orderkey, part), the text of all its lines, one row of text for each line of
+    the order. Lines of an order are dealt to parts by their keys, so that no list grows with it."""
+    lines = rows_of_groups(
+        table(spark, sf, "lineitem").where("l_orderkey IS NOT NULL"), ["l_orderkey"], ["l_partkey", "l_suppkey"], 1
+    )
+    cents = "CAST(l_extendedprice * 100 + 0.5D AS BIGINT)"
+    lines = lines.selectExpr(
+        "l_orderkey AS o_orderkey", f"{PART.format(n='group_rows')} AS part", f"{GOODS} AS goods",
+        "CAST(l_quantity AS BIGINT) AS q", f"{cents} AS c",
+    )
+    unit, total = _MONEY.format("((2 * c + q) div (2 * q))"), _MONEY.format("c")
+    text = (
+        f"CASE WHEN {AT_LAYOUT} THEN concat(goods, ' ', q, ' @ $', {unit}, ' $', {total}) "
+        f"ELSE concat(goods, '  ', q, '  $', {unit}, '  $', {total}) END"
+    )
+    return lines.groupBy("o_orderkey", "part").agg(
+        F.array_join(F.sort_array(F.collect_list(F.expr(text))), "\n").alias("lines")
+    )
 
 
-_MONEY = "format_number(CAST({0} AS DECIMAL(20, 2)) / 100, 2)"
 _MON = "element_at(array('Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec'), month(o_orderdate))"
 
 
 def invoice_texts(spark: SparkSession, sf: str) -> DataFrame:
-    """One rendered invoice (or credit note) per order: doc_id, source_file, text."""
-    lines = []
-    for i, (_, _, goods) in enumerate(KINDS):
-        unit, total = _MONEY.format(f"((2 * c{i} + q{i}) div (2 * q{i}))"), _MONEY.format(f"c{i}")
-        lines.append(
-            f"CASE WHEN q{i} IS NULL THEN NULL "
-            f"WHEN {AT_LAYOUT} THEN concat('{goods} ', q{i}, ' @ $', {unit}, ' $', {total}) "
-            f"ELSE concat('{goods}  ', q{i}, '  $', {unit}, '  $', {total}) END"
-        )
+    """Rendered invoices (or credit notes) of every order: doc_id, source_file, text."""
     d, m, y = "day(o_orderdate)", "month(o_orderdate)", "year(o_orderdate)"
     number = "concat('INV-', lpad(concat('', o_orderkey), 8, '0'))"
     text = f"""concat_ws(chr(10),
@@ -258,15 +252,18 @@ def invoice_texts(spark: SparkSession, sf: str) -> DataFrame:
         WHEN 3 THEN concat('Issued ', {DAY}) END,
       CASE {VENDOR_RANK} WHEN 0 THEN concat('Vendor: Vendor ', {LETTERS}, ' 1')
         WHEN 1 THEN concat('TRADING HOUSE ', {LETTERS}) END,
-      'Items 0', {', '.join(lines)},
+      'Items 0', lines,
       CASE {TOTAL_RANK} WHEN 0 THEN concat('Total Amount: $', format_number({PRICE}, 2))
         WHEN 1 THEN concat('Amount Due: ', format_number({PRICE}, 2))
         WHEN 2 THEN concat('Balance due: $', format_number({PRICE}, 2)) END)"""
     # both sides are as large as the orders: partition both by the key, never broadcast
     orders = table(spark, sf, "orders")
-    texts = orders.join(order_items(spark, sf).hint("merge"), "o_orderkey", "left").selectExpr(
-        "o_orderkey AS doc_id", "concat('order-', o_orderkey, '.pdf') AS source_file",
-        f"{text} AS text", "o_orderpriority", "o_orderstatus",
+    invoices = orders.join(invoice_lines(spark, sf).hint("merge"), "o_orderkey", "left").withColumn(
+        "part", F.coalesce("part", F.lit(0).cast("bigint"))
+    )
+    texts = invoices.selectExpr(
+        f"{INVOICE_ID} AS doc_id", f"{INVOICE_FILE} AS source_file", f"{text} AS text",
+        "o_orderpriority", "o_orderstatus",
     )
     return bind(texts, ["text"])
 

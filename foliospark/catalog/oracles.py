@@ -264,10 +264,16 @@ UNION ALL SELECT document_name, NULL, NULL, NULL, method, NULL, '02_Classificati
 UNION ALL (WITH {{STATE}} SELECT document_name, NULL, NULL, NULL, NULL, extraction_status, '03_Extraction', '{RUN_TS}',
   NULL, NULL, NULL, document_type, error FROM state)"""
 
-ORACLES["ordered_keyword_class"] = """SELECT o_orderkey AS doc_id, CASE o_orderpriority
+_INVOICES = f"""
+dealt AS (SELECT *, {X.PART.format(n="count(*) OVER (PARTITION BY l_orderkey)")} AS part FROM lineitem WHERE l_orderkey IS NOT NULL),
+invoices AS (SELECT o.*, coalesce(d.part, 0) AS part
+  FROM orders o LEFT JOIN (SELECT DISTINCT l_orderkey, part FROM dealt) d ON o.o_orderkey = d.l_orderkey)"""
+
+ORACLES["ordered_keyword_class"] = f"""WITH {_INVOICES}
+SELECT {X.INVOICE_ID} AS doc_id, CASE o_orderpriority
   WHEN '1-URGENT' THEN 'credit_note' WHEN '2-HIGH' THEN
     'remittance_advice' WHEN '3-MEDIUM' THEN 'purchase_order' WHEN '4-NOT SPECIFIED' THEN 'invoice'
-  ELSE CASE o_orderstatus WHEN 'F' THEN 'invoice' ELSE 'unknown' END END AS document_class FROM orders"""
+  ELSE CASE o_orderstatus WHEN 'F' THEN 'invoice' ELSE 'unknown' END END AS document_class FROM invoices"""
 
 _LIMITS = {
     "a": rules.CLASSIFY_TEXT_LIMIT, "b": rules.CLASSIFY_TEXT_LIMIT_COMPACT, "c": rules.EXTRACT_TEXT_LIMIT,
@@ -452,13 +458,13 @@ SELECT field AS name FROM n UNION ALL SELECT concat(field, '_method') FROM n"""
 # --- invoices ---------------------------------------------------------------------------
 
 _TITLED = f"concat(substr({X.LETTERS}, 1, 1), lower(substr({X.LETTERS}, 2)))"
-_HEADER = f"""
-header AS (SELECT o_orderkey AS doc_id, concat('order-', o_orderkey, '.pdf') AS source_file, {X.IS_CREDIT} AS credit,
+_HEADER = f"""{_INVOICES},
+header AS (SELECT {X.INVOICE_ID} AS doc_id, {X.INVOICE_FILE} AS source_file, {X.IS_CREDIT} AS credit,
     CASE WHEN ({X.NUMBER_RANK}) IS NOT NULL THEN concat('INV-', lpad(concat('', o_orderkey), 8, '0')) END AS invoice_number,
     CASE WHEN ({X.DATE_RANK}) IS NOT NULL THEN {X.DAY} END AS invoice_date,
     CASE WHEN ({X.TOTAL_RANK}) IS NOT NULL THEN {X.PRICE}::DOUBLE END AS total_amount,
     CASE {X.VENDOR_RANK} WHEN 0 THEN concat('Vendor ', {_TITLED}) WHEN 1 THEN concat('Trading House ', {_TITLED}) END AS vendor_name,
-    {X.NUMBER_RANK} AS rn, {X.DATE_RANK} AS rd, {X.TOTAL_RANK} AS rt, {X.VENDOR_RANK} AS rv FROM orders)"""
+    {X.NUMBER_RANK} AS rn, {X.DATE_RANK} AS rd, {X.TOTAL_RANK} AS rt, {X.VENDOR_RANK} AS rv FROM invoices)"""
 
 _FIELDS = (("invoice_number", "rn"), ("invoice_date", "rd"), ("total_amount", "rt"), ("vendor_name", "rv"))
 ORACLES["invoice_header_fields"] = f"""WITH {_HEADER}
@@ -470,17 +476,16 @@ _GOODS_TITLE = (
     "CASE l_linestatus WHEN 'O' THEN ' Open Goods' ELSE ' Final Goods' END)"
 )
 _ITEMS = f"""
-sums AS (SELECT l_orderkey AS doc_id, {_GOODS_TITLE} AS description,
-    CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS q,
-    CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) * 100 AS BIGINT) AS cents
-  FROM lineitem GROUP BY ALL),
-items AS (SELECT doc_id, description, q::DOUBLE AS quantity, ((2 * cents + q) // (2 * q)) / 100::DOUBLE AS unit_price,
-    cents / 100::DOUBLE AS total_price,
-    CASE WHEN doc_id % 3 = 0 THEN 0.8::DOUBLE ELSE 0.9::DOUBLE END AS confidence FROM sums WHERE doc_id IN (SELECT o_orderkey FROM orders)),
+priced AS (SELECT l_orderkey AS o_orderkey, part, {_GOODS_TITLE} AS description, CAST(l_quantity AS BIGINT) AS q,
+    CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) * 100 AS BIGINT) AS cents FROM dealt
+  WHERE l_orderkey IN (SELECT o_orderkey FROM orders)),
+items AS (SELECT {X.INVOICE_ID} AS doc_id, description, q::DOUBLE AS quantity,
+    ((2 * cents + q) // (2 * q)) / 100::DOUBLE AS unit_price, cents / 100::DOUBLE AS total_price,
+    CASE WHEN o_orderkey % 3 = 0 THEN 0.8::DOUBLE ELSE 0.9::DOUBLE END AS confidence FROM priced),
 checked AS (SELECT *, quantity BETWEEN 0.001 AND 10000 AS q_ok, unit_price BETWEEN 0.01 AND 100000 AS p_ok,
     abs(total_price - quantity * unit_price) > 0.02::DOUBLE AS fix FROM items)"""
 
-ORACLES["invoice_line_items"] = f"""WITH {_ITEMS}
+ORACLES["invoice_line_items"] = f"""WITH {_INVOICES}, {_ITEMS}
 SELECT doc_id, description, quantity, unit_price, total_price, confidence FROM items"""
 
 _CONF = f"""{_HEADER}, {_ITEMS},
@@ -488,7 +493,7 @@ hc AS (SELECT *, (coalesce(1 - rn * 0.1::DOUBLE, 0) + coalesce(1 - rd * 0.1::DOU
       + coalesce(1 - rv * 0.1::DOUBLE, 0)) AS s,
     (rn IS NOT NULL)::INT + (rd IS NOT NULL)::INT + (rt IS NOT NULL)::INT + (rv IS NOT NULL)::INT AS n FROM header),
 lc AS (SELECT doc_id, count(*) AS lines, avg(confidence) AS c, count(*) FILTER (q_ok AND p_ok) AS kept,
-    string_agg(CASE WHEN NOT q_ok THEN concat('Invalid quantity for item ''', description, '''') END, ',') AS wq,
+    string_agg(CASE WHEN NOT q_ok THEN concat('Invalid quantity for item ''', description, '''') END, ',' ORDER BY description) AS wq,
     string_agg(CASE WHEN NOT p_ok THEN concat('Invalid unit price for item ''', description, '''') END, ',' ORDER BY description) AS wp
   FROM checked GROUP BY doc_id),
 conf AS (SELECT h.*, coalesce(l.lines, 0) AS lines, coalesce(l.kept, 0) AS kept, wq, wp,
