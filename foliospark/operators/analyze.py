@@ -196,10 +196,8 @@ QUALITY_RULES = (
 )
 
 
-def data_quality_flags(
-    records: DataFrame, quality_rules: Sequence[QualityRule] = QUALITY_RULES
-) -> DataFrame:
-    """One row per flag; a record may raise several. One pass, no shuffle."""
+def _flags(quality_rules: Sequence[QualityRule]) -> Column:
+    """The flags that a record raises, as an array of (issue, details)."""
     ok = succeeded()
     failed = F.when(
         ~ok,
@@ -215,6 +213,30 @@ def data_quality_flags(
         )
         for r in quality_rules
     ]
+    return F.array_compact(F.array(*flags))
+
+
+def data_quality_flags(
+    records: DataFrame, quality_rules: Sequence[QualityRule] = QUALITY_RULES
+) -> DataFrame:
+    """One row per flag; a record may raise several. One pass, no shuffle."""
     return records.select(
-        "document_name", "document_type", F.explode(F.array_compact(F.array(*flags))).alias("_f")
+        "document_name", "document_type", F.explode(_flags(quality_rules)).alias("_f")
     ).select("document_name", "document_type", "_f.issue", "_f.details")
+
+
+def finding_counts(
+    records: DataFrame,
+    as_of: str,
+    days: int = rules.CONTRACT_EXPIRY_DAYS,
+    quality_rules: Sequence[QualityRule] = QUALITY_RULES,
+) -> DataFrame:
+    """One row: how many contracts expire and how many flags are raised, in one pass."""
+    left = D.days_between(F.lit(as_of).cast("timestamp_ntz"), D.iso_timestamp(F.col("termination_date")))
+    contract = (
+        (F.col("document_type") == "contract") & succeeded() & (F.coalesce("termination_date", F.lit("")) != "")
+    )
+    return records.agg(
+        F.count_if(F.when(contract, left.between(0, days))).alias("expiring"),
+        F.coalesce(F.sum(F.size(_flags(quality_rules))), F.lit(0)).cast("bigint").alias("flags"),
+    )

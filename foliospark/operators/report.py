@@ -132,16 +132,19 @@ def top_vendor(spend: DataFrame) -> DataFrame:
 def dashboard_kpis(
     records: DataFrame, as_of: str, labels: dict[str, str] | None = None
 ) -> DataFrame:
-    """Four (metric, value) rows; each is a count that runs where the data are."""
+    """Four (metric, value) rows, counted where the data are: groups, findings and vendors take one
+    pass each."""
     labels = labels or rules.KPI_LABELS
-    tables = {
-        "duplicates": A.duplicate_groups(records),
-        "expiring": A.expiring_contracts(records, as_of),
-        "flags": A.data_quality_flags(records),
-        "vendors": A.vendor_net_spend(records),
-    }
+    count = F.count(F.lit(1)).alias("value")
+    found = A.finding_counts(records, as_of)
+    both = F.map_from_entries(
+        F.array(*(F.struct(F.lit(k).alias("k"), F.col(k).alias("v")) for k in ("expiring", "flags")))
+    )
     rows = [
-        tables[k].agg(F.count(F.lit(1)).alias("value")).select(F.lit(v).alias("metric"), "value")
-        for k, v in labels.items()
+        A.duplicate_groups(records).agg(count).select(F.lit("duplicates").alias("k"), "value"),
+        found.select(F.explode(both).alias("k", "value")),
+        A.vendor_net_spend(records).agg(count).select(F.lit("vendors").alias("k"), "value"),
     ]
-    return reduce(DataFrame.unionByName, rows)
+    counts = reduce(DataFrame.unionByName, rows).where(F.col("k").isin(*labels))
+    names = F.create_map(*(F.lit(x) for pair in labels.items() for x in pair))
+    return counts.select(F.element_at(names, F.col("k")).alias("metric"), "value")

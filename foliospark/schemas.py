@@ -10,3 +10,8 @@ EXPIRING = (
 )
 VENDOR_SPEND = "vendor_name STRING, net_spend DOUBLE, doc_count BIGINT"
 QUALITY_FLAGS = "document_name STRING, document_type STRING, issue STRING, details STRING"
+TRACKER = (
+    "document_name STRING, source_folder STRING, path STRING, extension STRING, method STRING, "
+    "status STRING, predicted_type STRING, confidence DOUBLE, reasoning STRING, "
+    "document_type STRING, error STRING, stage STRING, run_ts STRING"
+)

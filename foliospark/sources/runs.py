@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliospark import schemas
+
 
 def latest_runs(runs: DataFrame, required: str | None = None) -> DataFrame:
     """Latest run_ts per stage, by the whole time stamp. `required` names a boolean column."""
@@ -32,3 +34,8 @@ def rows_of_run(tracker: DataFrame, stage: str, run_ts: str | None = None) -> Da
 def tracker_rows(tracker: DataFrame, stage: str, run_ts: str | None = None) -> DataFrame:
     """Rows of one run of the tracker in the order of their paths."""
     return rows_of_run(tracker, stage, run_ts).orderBy("path")
+
+
+def read_tracker(spark: SparkSession, path: str) -> DataFrame:
+    """The table that `sinks.stages.write_stage` fills, with the columns of all stages."""
+    return spark.read.schema(schemas.TRACKER).parquet(path)

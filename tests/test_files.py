@@ -144,6 +144,7 @@ def test_stage_reruns(spark, tmp_path):
     K.write_stage(rows.limit(1), at, "s1", "r1")
     read = lambda run: RUN.rows_of_run(spark.read.parquet(at), "s1", run).count()
     assert (read("r1"), read("r2"), read(None)) == (1, 2, 2)
+    assert RUN.tracker_rows(RUN.read_tracker(spark, at), "s1", "r2").count() == 2
     K.write_stage(rows.limit(0), at, "s1", "r1")
     assert (read("r1"), read("r2")) == (0, 2)
 
