@@ -150,18 +150,21 @@ def apply(docs: DataFrame, **how) -> DataFrame:
     """`docs` with every row repeated as often as the mix takes it, columns unchanged.
 
     Rows that share a doc_id share its copies: they are dealt to those rows in turn, in the
-    order of their texts. Rows without doc_id are taken like any other.
+    order of their texts. Of rows without doc_id those with the same text share theirs.
     """
-    taken = mix(docs, **how)
-    per_id = (
-        taken.groupBy("doc_id")
-        .agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n_rows"))
-        .select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "copies", "n_rows")
+    unnamed = F.concat(F.lit("?"), F.xxhash64("source", "text").cast("string"))
+    id_ = F.coalesce(F.col("doc_id").cast("string"), unnamed)
+    taken = mix(docs.select(id_.alias("doc_id"), "source", "text"), **how)
+    per_id = taken.groupBy(F.col("doc_id").alias("id")).agg(
+        F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n_rows")
     )
-    id_ = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     joined = packed(docs, id=id_).join(per_id, "id")
     turn = F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("doc.text")))
+    dealt = joined.withColumn("turn", turn)
     own = F.floor((F.col("copies") + F.col("n_rows") - F.col("turn")) / F.col("n_rows")).cast("int")
-    dealt = joined.withColumn("turn", turn).withColumn("own", own).where("own > 0")
-    times = dealt.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("own"))))
+    times = (
+        dealt.withColumn("own", own)
+        .where("own > 0")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("own"))))
+    )
     return unpacked(times, docs.columns)
