@@ -30,10 +30,12 @@ DROPPED = frozenset(
 )
 #: Words in class and id names that mark what stands around an article.
 AROUND = frozenset(
-    "nav navbar navigation menu sidebar footer ad ads advert adverts advertisement sponsor sponsored"
-    " promo banner cookie cookies consent notice notices popup modal share sharing social related"
-    " comment comments reply replies discussion disqus newsletter subscribe breadcrumb breadcrumbs"
-    " pagination pager widget masthead skip toolbar login signup".split()
+    "nav navbar navigation sidenav subnav menu sidebar aside footer topbar ad ads advert adverts"
+    " advertisement advertising adbox adslot adsense sponsor sponsored promo promotion banner alert"
+    " cookie cookies cookiebar consent gdpr notice notices popup modal dialog share sharing social"
+    " related recommended comment comments commentlist commentform respond reply replies discussion"
+    " disqus newsletter subscribe signup login breadcrumb breadcrumbs pagination pager widget"
+    " masthead skip toolbar search complementary contentinfo".split()
 )
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dir div dl dt fieldset"
