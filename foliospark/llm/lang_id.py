@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import ship_code
+from foliospark.llm.common import ship_code, with_group
 
 UNDETERMINED = "und"
 SIZES = (1, 2, 3, 4)
@@ -147,17 +147,17 @@ def train(
     """Fit on about `per_language` learnable rows of each language, `total` at most: those whose
     id hashes below the language's share."""
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(~held_out())
-    # one row per language
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # the draw sees ids only, the texts of those drawn are fetched last
+    sized = with_group(
+        known.select("doc_id", "lang"), ["lang"], ["doc_id"],
+        [F.count(F.lit(1)).alias("_p")], [F.sum("_p").alias("n")],
+    )
     spread = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 40))
     part = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("n")) * F.lit(float(1 << 40))
-    chosen = (
-        known.select("doc_id", "lang", "text")
-        .join(counts, "lang")
-        .where(spread < part)
-        .orderBy(spread, "doc_id")
-        .limit(total)
-    )
+    ids = sized.where(spread < part).orderBy(spread, "doc_id", "lang").limit(total)
+    # bounded by `total`
+    drawn = F.broadcast(ids.select("doc_id", "lang").distinct())
+    chosen = known.select("doc_id", "lang", "text").join(drawn, ["doc_id", "lang"])
     rows = sorted({(r.doc_id, r.lang, r.text) for r in chosen.collect() if has_letter(r.text)})
     return fit([r[2] for r in rows], [r[1] for r in rows])
 
