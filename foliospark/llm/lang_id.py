@@ -14,10 +14,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import ship_code, with_group
+from foliospark.llm.common import ship_code
 
 UNDETERMINED = "und"
 SIZES = (1, 2, 3, 4)
@@ -141,23 +141,47 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(True))
 
 
-def train(
-    docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, total: int = SAMPLE_TOTAL
-) -> Model:
-    """Fit on about `per_language` learnable rows of each language, `total` at most: those whose
-    id hashes below the language's share."""
+def quota(sizes: list[int], per_language: int, total: int) -> int:
+    """The most rows a language may have, up to `per_language`, so that all have `total` at most.
+    Every language may have one."""
+    low, high = 1, max(1, per_language)
+    while low < high:
+        middle = (low + high + 1) // 2
+        if sum(min(n, middle) for n in sizes) <= total:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, total: int = SAMPLE_TOTAL) -> DataFrame:
+    """(doc_id, lang, text) of the learnable rows that the fit may use: of each language as many
+    as its `quota`, those whose id hashes lowest. However unequal the languages are, none is left
+    without a row, and the small ones give all they have before a large one gives more."""
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(~held_out())
     # the draw sees ids only, the texts of those drawn are fetched last
-    sized = with_group(
-        known.select("doc_id", "lang"), ["lang"], ["doc_id"],
-        [F.count(F.lit(1)).alias("_p")], [F.sum("_p").alias("n")],
-    )
     spread = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 40))
-    part = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("n")) * F.lit(float(1 << 40))
-    ids = sized.where(spread < part).orderBy(spread, "doc_id", "lang").limit(total)
-    # bounded by `total`
-    drawn = F.broadcast(ids.select("doc_id", "lang").distinct())
-    chosen = known.select("doc_id", "lang", "text").join(drawn, ["doc_id", "lang"])
+    placed = known.select("doc_id", "lang", spread.alias("spread"))
+    sizes = placed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("spread").alias("least")).collect()
+    most = quota([r.n for r in sizes], per_language, total)
+    # more than `most` rows pass, lest chance leave a language fewer; the lowest always does
+    passing = most + 5 * most**0.5 + 10
+    bounds = [(r.lang, max(r.least, int(min(1.0, passing / r.n) * (1 << 40)))) for r in sizes]
+    # one row for each language
+    bound = F.broadcast(docs.sparkSession.createDataFrame(bounds, "lang string, bound long"))
+    few = placed.join(bound, "lang").where("spread <= bound").select("doc_id", "lang", "spread").distinct()
+    order = Window.partitionBy("lang").orderBy("spread", "doc_id")
+    ids = few.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
+    # bounded by `total`, or by the number of languages
+    drawn = F.broadcast(ids.select("doc_id", "lang"))
+    return known.select("doc_id", "lang", "text").join(drawn, ["doc_id", "lang"])
+
+
+def train(
+    docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, total: int = SAMPLE_TOTAL
+) -> Model:
+    """Fit on at most `per_language` learnable rows of each language and `total` of all."""
+    chosen = sample(docs, per_language, total)
     rows = sorted({(r.doc_id, r.lang, r.text) for r in chosen.collect() if has_letter(r.text)})
     return fit([r[2] for r in rows], [r[1] for r in rows])
 
