@@ -8,6 +8,9 @@ sample of labelled rows) takes the gradient through that window.
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,7 +25,9 @@ OVERLAP = WINDOW - STRIDE
 HIDDEN, EMBED, ATTEND = 8, 8, 8
 WORD_ROWS = NGRAM_ROWS = 1 << 15
 NGRAMS = (3, 4)
-WORD_BYTES, NGRAM_BYTES, PREFIX_BYTES = 20, 12, 11
+WORD_BYTES, PREFIX_BYTES = 20, 11
+#: Longer words enter as pieces of at most so many bytes; two neighbours share at least `SHARED`.
+PIECE_BYTES, SHARED = WORD_BYTES - 2, 6
 EPOCHS, BATCH, SEED = 9, 64, 5
 #: A small sample is passed over again until so many batches have been taken.
 LEAST_STEPS = 260
@@ -42,18 +47,51 @@ _SPLIT = bytes(
 )
 
 
+def _parting() -> re.Pattern[str]:
+    """Characters beyond ASCII that part words: all but letters, marks and what joins letters."""
+    joins, runs = {0xAD, 0x200C, 0x200D}, []
+    for c in range(128, sys.maxunicode + 1):
+        if unicodedata.category(chr(c))[0] not in "LM" and c not in joins:
+            if runs and runs[-1][1] == c - 1:
+                runs[-1][1] = c
+            else:
+                runs.append([c, c])
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs) + "]+")
+
+
+_PARTING = _parting()
+
+
+def _pieces(word: bytes) -> Iterator[bytes]:
+    """A word as overlapping pieces of whole characters that together hold all of it."""
+    at = 0
+    while len(word) - at > PIECE_BYTES:
+        end = at + PIECE_BYTES
+        while word[end] & 0xC0 == 0x80:
+            end -= 1
+        yield word[at:end]
+        at = end - SHARED
+        while word[at] & 0xC0 == 0x80:
+            at -= 1
+    yield word[at:]
+
+
 def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased words: runs of letters, cut to their first bytes."""
+    """Lower-cased words: runs of letters of any script. Long ones, as of scripts without spaces,
+    are given as consecutive pieces."""
     if not text:
         return []
     if not text.isascii():
-        text = text.lower()
-    return text.encode("utf-8", "surrogatepass").translate(_SPLIT).split()
+        text = _PARTING.sub(" ", text.lower())
+    words = text.encode("utf-8", "surrogatepass").translate(_SPLIT).split()
+    if max(map(len, words), default=0) <= PIECE_BYTES:
+        return words
+    return [piece for w in words for piece in ((w,) if len(w) <= PIECE_BYTES else _pieces(w))]
 
 
 def word_inputs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows of the word table, rows of the n-gram table, and which of the latter count."""
-    marked = np.array([b"\x02" + w[: WORD_BYTES - 2] + b"\x03" for w in words], f"S{WORD_BYTES}")
+    marked = np.array([b"\x02" + w[:PIECE_BYTES] + b"\x03" for w in words], f"S{WORD_BYTES}")
     chars = marked.view(np.uint8).reshape(len(words), WORD_BYTES).astype(np.uint32)
     mixed = np.zeros(len(words), np.uint32)
     for i in range(WORD_BYTES):
@@ -68,12 +106,12 @@ def word_inputs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
             rows.append(((mixed ^ mixed >> np.uint32(15)) % np.uint32(NGRAM_ROWS))[:, None])
             real.append(chars[:, i : i + 1] > 0)
     for n in NGRAMS:
-        width = NGRAM_BYTES - n + 1
+        width = WORD_BYTES - n + 1
         mixed = np.full((len(words), width), 2166136261 + n, np.uint32)
         for i in range(n):
             mixed = (mixed ^ chars[:, i : i + width]) * np.uint32(16777619)
         rows.append((mixed ^ mixed >> np.uint32(15)) % np.uint32(NGRAM_ROWS))
-        real.append(chars[:, n - 1 : NGRAM_BYTES] > 0)
+        real.append(chars[:, n - 1 :] > 0)
     return word.astype(np.int64), np.hstack(rows).astype(np.int64), np.hstack(real).astype(np.float32)
 
 
