@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -28,7 +28,7 @@ DROPPED = frozenset(
     "nav aside footer form script style noscript template iframe object svg canvas button select"
     " option textarea input label dialog menu head title audio video map".split()
 )
-#: Words in class and id names that mark what stands around an article.
+#: Parts of class, id and role names that mark what stands around an article.
 AROUND = frozenset(
     "nav navbar navigation sidenav subnav menu sidebar aside footer topbar ad ads advert adverts"
     " advertisement advertising adbox adslot adsense sponsor sponsored promo promotion banner alert"
@@ -37,6 +37,10 @@ AROUND = frozenset(
     " disqus newsletter subscribe signup login breadcrumb breadcrumbs pagination pager widget"
     " masthead skip toolbar search complementary contentinfo".split()
 )
+#: A name with one of these parts tells of its element's surroundings, not of its content.
+MODIFIERS = frozenset("has have no not non with without is js hide show enable enabled disable disabled".split())
+#: Elements that no name hides.
+NEVER_BY_NAME = frozenset("article main html body".split())
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dir div dl dt fieldset"
     " figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main nav ol"
@@ -81,11 +85,9 @@ class Node:
         return (self.size - self.linked) * PREFERENCE.get(self.tag, 1.0)
 
 
-def _marked_around(attributes: str) -> bool:
+def _hidden(attributes: str) -> bool:
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
-        if name in ("class", "id", "role") and not AROUND.isdisjoint(_NAME.findall(value)):
-            return True
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
@@ -93,6 +95,17 @@ def _marked_around(attributes: str) -> bool:
     return False
 
 
+def _marked_around(attributes: str) -> bool:
+    """Whether a class, id or role names what stands around an article."""
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id", "role"):
+            for token in (a or b or c).lower().split():
+                parts = _NAME.findall(token)
+                if not AROUND.isdisjoint(parts) and MODIFIERS.isdisjoint(parts):
+                    return True
+    return False
+
+
 def _step(tag: str, attributes: str) -> str:
     classes: list[str] = []
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
@@ -103,15 +116,40 @@ def _step(tag: str, attributes: str) -> str:
 
 def containers(page: str | None) -> list[Node]:
     """The containers of a page that hold text, in page order. Menus, adverts and the like have
-    no nodes and add no text; white space is one space, blocks are trimmed and not empty."""
+    no nodes and add no text; white space is one space, blocks are trimmed and not empty.
+
+    Names alone do not hide an element that holds most of the page's unlinked text, unless an
+    article or main element with such text stands elsewhere, and they hide nothing on a page that
+    would be empty otherwise.
+    """
     if not page:
         return []
+    nodes, held = _read(page, lambda element: True)
+    named = bool(held)
+    if named and not any(n.tag in ("article", "main") and n.size > n.linked for n in nodes):
+        shown = nodes[0].size - nodes[0].linked if nodes else 0
+        half = (shown + held.pop(-1)) / 2
+        most = {element for element, size in held.items() if size > half}
+        if most:
+            nodes, _ = _read(page, lambda element: element not in most)
+    if named and not nodes:
+        nodes, _ = _read(page, lambda element: False)
+    return nodes
+
+
+def _read(page: str, by_name: Callable[[int], bool]) -> tuple[list[Node], dict[int, int]]:
+    """The containers that hold text, and the unlinked characters below each element that its name
+    hides, by its number, all of them together at -1. `by_name`: whether its name may hide it."""
     root = Node("", "body")
     nodes = [root]
     # open elements: (tag, index of the container they are in or -1, dropped)
     stack: list[tuple[str, bool]] = []
     inside: list[Node] = [root]  # open containers, one for each container in `stack`
     dropped = 0  # open elements that hide their content
+    named: list[int] = []  # those of them that do so by name, while no other does
+    named_at: list[int] = []  # depth of each in `stack`
+    held: dict[int, int] = {}
+    element = 0
     links = 0
     buffer: list[str] = []
     linked = 0
@@ -133,6 +171,9 @@ def containers(page: str | None) -> list[Node]:
         nonlocal dropped, links
         for _ in range(count):
             tag, hides = stack.pop()
+            if named_at and named_at[-1] == len(stack):
+                named_at.pop()
+                named.pop()
             if tag in BLOCKS:
                 flush()
             if hides:
@@ -149,6 +190,10 @@ def containers(page: str | None) -> list[Node]:
             buffer.append(text)
             if links:
                 linked += len(text)
+        elif text and not links and dropped == len(named):
+            size = len(" ".join(text.split()))
+            for n in (-1, *named):
+                held[n] = held.get(n, 0) + size
 
     at, end = 0, len(page)
     while at < end:
@@ -207,7 +252,14 @@ def containers(page: str | None) -> list[Node]:
         if tag in VOID or attributes.endswith("/") and tag in ("svg", "path"):
             continue
         heading = tag == "header" and not any(t in ("article", "main") for t, _ in stack)
-        hides = tag in DROPPED or heading or _marked_around(attributes)
+        hides = tag in DROPPED or heading or _hidden(attributes)
+        element += 1
+        if not hides and tag not in NEVER_BY_NAME and _marked_around(attributes) and by_name(element):
+            hides = True
+            if dropped == len(named):
+                named.append(element)
+                named_at.append(len(stack))
+                held.setdefault(-1, 0)
         if not hides and not dropped and tag in CONTAINERS:
             path = f"{inside[-1].path}/{_step(tag, attributes)}"
             node = Node(path, tag)
@@ -217,7 +269,7 @@ def containers(page: str | None) -> list[Node]:
         dropped += hides
         links += tag == "a"
     flush()
-    return [n for n in nodes if n.size]
+    return [n for n in nodes if n.size], held
 
 
 def best(nodes: list[Node]) -> Node | None:
