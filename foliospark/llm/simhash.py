@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import components, cut_lineage, ship_code, with_group
+from foliospark.llm.common import components, cut_lineage, packed, ship_code, unpacked, with_group
 from foliospark.operators.skew import lookup_join
 
 SEED = 42
@@ -55,19 +55,24 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint of every row as a signed long."""
+def with_fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *extra: Column
+) -> DataFrame:
+    """(doc_id, *extra, fp): the fingerprint of every row as a signed long. `extra` are columns
+    of `docs` or aliased expressions."""
+    slim = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"), *extra)
+    names = slim.columns[1:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [_signed(fingerprint(t.as_py())) for t in batch.column(1)]
+            made = [_signed(fingerprint(t.as_py())) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(made, pa.int64())], ["doc_id", "fp"]
+                [*batch.columns[1:], pa.array(made, pa.int64())], [*names, "fp"]
             )
 
     ship_code(docs)
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return slim.mapInArrow(run, "doc_id long, fp long")
+    kinds = ", ".join(f"{name} {kind}" for name, kind in slim.dtypes[1:])
+    return slim.mapInArrow(run, f"{kinds}, fp long")
 
 
 def ring(k: int = MAX_DISTANCE) -> list[tuple[int, list[tuple[int, int]], list[int]]]:
@@ -105,11 +110,11 @@ def links(fps: DataFrame, k: int = MAX_DISTANCE, pairing_limit: int = PAIRING_LI
 
     Rows of buckets up to `pairing_limit` are paired, with the chain test first. In a larger
     bucket each fingerprint lists its variants of up to k // 2 changed bits outside the key, and
-    those that share a variant are joined in a star: they are at most `k` apart, and for even
-    `k` every two that close share one. (Odd `k` lists one bit more and tests the distance.)
+    those that share a variant are joined in a star: they are at most `k` apart, and every two
+    that close share one. That form is written for two bits, so other `k` are refused.
     """
     if k != 2:
-        pairing_limit = 1 << 62  # the star form below is written for two bits
+        raise ValueError(f"links are made for 2 differing bits, not {k}")
     starts = ring(k)
     keys = F.array(
         *(
@@ -166,6 +171,22 @@ def _all(tests) -> Column:
     return out
 
 
+def _grouped(hashed: DataFrame, k: int) -> DataFrame:
+    """`hashed` (doc_id, fp, more) with `root`, one fingerprint of all those that links connect, and
+    `component_id`, their smallest doc_id. Fingerprints are the nodes, so that rows which repeat a doc_id with
+    unlike texts stay apart. Rows without doc_id link with nothing."""
+    fps = cut_lineage(
+        hashed.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("low"))
+    )
+    reached = components(links(fps.select("fp", F.col("fp").alias("node")), k))
+    rooted = fps.join(reached.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "low", F.coalesce("component", "fp").alias("root")
+    )
+    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    per_fp = lookup_join(rooted, lowest, ["root"], ["fp"]).select("fp", "root", "component_id")
+    return lookup_join(hashed, per_fp, ["fp"], ["doc_id"])
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = MAX_DISTANCE
 ) -> DataFrame:
@@ -174,18 +195,10 @@ def near_duplicates(
     component_id is the smallest doc_id that links of at most `k` differing bits reach. Null,
     empty and blank texts have fingerprint zero and are linked like any other. A row without
     doc_id gets its fingerprint, is linked with nothing and has a null component. Repeated rows
-    stay repeated. Other columns are not read. An empty table gives no rows.
+    stay repeated; unlike texts of one doc_id are not linked by it. Other columns are not read.
+    An empty table gives no rows.
     """
-    hashed = cut_lineage(with_fingerprints(docs, id_col, text_col))
-    fps = (
-        hashed.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("node"))
-    )
-    fps = cut_lineage(fps)
-    reached = components(links(fps, k))
-    per_fp = fps.join(reached, "node", "left").select(
-        "fp", F.coalesce("component", "node").alias("component_id")
-    )
-    out = lookup_join(hashed, per_fp, ["fp"], ["doc_id"])
+    out = _grouped(cut_lineage(with_fingerprints(docs, id_col, text_col)), k)
     return out.select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -195,10 +208,26 @@ def near_duplicates(
 
 def keep_one(docs: DataFrame, k: int = MAX_DISTANCE) -> DataFrame:
     """`docs` without near-duplicates: of each component the row with the smallest doc_id stays,
-    of rows that repeat that doc_id one, with all its columns. Rows without doc_id stay."""
+    with all its columns; of rows that repeat that doc_id within the component the one whose text
+    hashes lowest, once. Rows without doc_id stay, as do unlike texts of one doc_id.
+
+    Texts are shuffled once: repeated rows are made one where they are read, and go by the key
+    that those to be kept are looked up with.
+    """
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    # a null text is an empty one here as in the fingerprint
+    keyed = packed(docs, doc_id=F.col("doc_id").cast("long"), h=key)
+    hashed = cut_lineage(
+        with_fingerprints(docs.where("doc_id IS NOT NULL"), "doc_id", "text", key.alias("h"))
+    )
     first = (
-        near_duplicates(docs, k=k).where("doc_id = component_id").select("doc_id").distinct()
+        _grouped(hashed, k)
+        .groupBy("root")
+        .agg(F.min(F.struct("doc_id", "h")).alias("first"))
+        .select("first.doc_id", "first.h")
     )
-    named = docs.where("doc_id IS NOT NULL").join(first, "doc_id", "left_semi")
-    one = named.dropDuplicates(["doc_id"]).select(*docs.columns)
-    return one.unionByName(docs.where("doc_id IS NULL"))
+    # the least of repeated rows; maps have no order
+    pick = F.first if "map<" in docs.schema.simpleString() else F.min
+    one = keyed.where("doc_id IS NOT NULL").groupBy("doc_id", "h").agg(pick("doc").alias("doc"))
+    kept = one.join(first, ["doc_id", "h"], "left_semi")
+    return unpacked(kept, docs.columns).unionByName(docs.where("doc_id IS NULL"))

@@ -87,6 +87,20 @@ def test_keep_one_of_repeated_rows(docs):
     assert kept == [0, 0, 1, 3, 6, 7]
 
 
+def test_keep_one_keeps_unlike_texts_of_one_id(spark):
+    words = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(words)), (1, " ".join(reversed(words))), (1, " ".join(words)), (2, " ".join(words)), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df = df.withColumns({c: F.lit(7) for c in ("a.b", "h", "fp", "root", "low", "_salt", "doc")})
+    kept = simhash.keep_one(df)
+    assert kept.dtypes == df.dtypes
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted([rows[0], rows[1], (3, "")])
+    assert simhash.keep_one(df.limit(0)).count() == 0
+    # the two texts of document 1 are no link between their own copies
+    got = simhash.near_duplicates(spark.createDataFrame([*rows, (0, rows[1][1])], "doc_id long, text string"))
+    assert sorted(r.component_id for r in got.collect()) == [0, 0, 1, 1, 1, 3]
+
+
 def test_long_text_repeats_itself(docs):
     out = {r.doc_id: r for r in line_dedup.remove_repeats(docs, counted=True).collect()}
     assert out[6].n_lines_deleted == 59 and out[6].text.count("dull day") == 40
