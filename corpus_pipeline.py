@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import line_dedup, mixing, near_copies, sentencepiece_codec, toxicity
+from foliospark.llm import line_dedup, mixing, sentencepiece_codec, simhash, toxicity
 from foliospark.session import shared_folder
 
 
@@ -25,8 +25,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: similarity 0.8 or more by shingles of five words."""
-    return near_copies.keep_one(docs)
+    """One document of each group whose fingerprints over three-word shingles link within two bits."""
+    return simhash.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,12 +52,22 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL: str | None = None
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared storage."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each result is written to the shared folder and read back."""
+    """All stages over `documents`; each result is written to the shared folder and read back,
+    and goes when the next one is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    folder, last = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}", None
     for name, stage in STAGES:
         at = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(at)
         docs = spark.read.parquet(at)
+        if last:
+            remove(spark, last)
+        last = at
     return docs
