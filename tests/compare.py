@@ -15,7 +15,7 @@ def connect(sf):
     return con
 
 
-KINDS = {"VARCHAR": "string", "BIGINT": "bigint", "DOUBLE": "double", "BOOLEAN": "boolean"}
+KINDS = {"VARCHAR": "string", "INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "BOOLEAN": "boolean"}
 
 
 def _cell(v):
