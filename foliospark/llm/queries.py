@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.llm import (
+    filter_audit,
     html_extract,
     lang_id,
     line_dedup,
@@ -217,3 +218,51 @@ def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op3_near_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return near_vectors.near_duplicates(table(spark, sf, "embeddings"))
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+ORACLES["op11_filter_audit"] = """
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+marked AS (
+  SELECT t.doc_id, part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic,
+         CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN t.doc_id > min(t.doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS failed
+  FROM texts t LEFT JOIN (
+    SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+    FROM labels GROUP BY doc_id) l ON t.doc_id = l.doc_id),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+  JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+grouped AS (
+  SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS t
+  FROM marked GROUP BY part, failed),
+met AS (
+  SELECT *, CASE WHEN failed = '' THEN 6
+                 ELSE list_min([strpos(filter_order, f) FOR f IN string_split(failed, '')]) END AS gone
+  FROM grouped, orders),
+steps AS (
+  SELECT part, filter_order, s.step::INT AS step, substr(filter_order, s.step::INT, 1) AS letter,
+         sum(CASE WHEN gone > s.step THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN gone = s.step THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN gone < s.step AND contains(failed, substr(filter_order, s.step::INT, 1)) THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN failed = substr(filter_order, s.step::INT, 1) THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN gone = s.step THEN g ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN gone = s.step THEN t ELSE 0 END)::BIGINT AS toxic_lost
+  FROM met, (SELECT unnest(range(1, 6)) AS step) s
+  GROUP BY part, filter_order, s.step)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley
+FROM steps
+"""

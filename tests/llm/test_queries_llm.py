@@ -28,6 +28,10 @@ COLUMNS = {
         "edited_fingerprint": "string", "near_edited": "double", "near_next": "double",
     },
     "op10_simhash": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
+    "op11_filter_audit": {
+        "part": "string", "filter_order": "string", "step": "int", "kept": "bigint", "removed": "bigint",
+        "redundant": "bigint", "unique_fails": "bigint", "good_lost": "bigint", "toxic_lost": "bigint", "shapley": "bigint",
+    },
 }
 
 
