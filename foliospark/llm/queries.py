@@ -20,6 +20,7 @@ from foliospark.llm import (
     simhash,
     toxicity,
     url_filter,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -266,3 +267,8 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
        sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley
 FROM steps
 """
+
+
+@query
+def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf, "embeddings"))
