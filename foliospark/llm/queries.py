@@ -16,6 +16,7 @@ from foliospark.llm import (
     merkle,
     mixing,
     near_vectors,
+    quality,
     sentencepiece_codec,
     simhash,
     toxicity,
@@ -269,6 +270,18 @@ FROM steps
 """
 
 
+@query
+def op12_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
     return whitening.whiten(table(spark, sf, "embeddings"))

@@ -32,6 +32,11 @@ COLUMNS = {
         "part": "string", "filter_order": "string", "step": "int", "kept": "bigint", "removed": "bigint",
         "redundant": "bigint", "unique_fails": "bigint", "good_lost": "bigint", "toxic_lost": "bigint", "shapley": "bigint",
     },
+    "op12_quality": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op13_whitening": {
+        "vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double",
+        "explained": "double", "identity_error": "double",
+    },
 }
 
 
@@ -48,12 +53,13 @@ def test_query(spark, name):
     if name in queries.ORACLES:
         assert difference(df, connect(SF_SMALL), queries.ORACLES[name]) is None
     else:
-        table = {"op2": "pages", "op7": "pages", "op3": "embeddings"}.get(name.split("_")[0], "documents")
-        assert df.count() == spark.read.parquet(f"{SF_SMALL}/{table}.parquet").count()
+        table = {"op2": "pages", "op7": "pages", "op3": "embeddings", "op13": "embeddings"}.get(name.split("_")[0], "documents")
+        rows = spark.read.parquet(f"{SF_SMALL}/{table}.parquet").count()
+        assert df.count() == rows * (8 if name == "op13_whitening" else 1)
 
 
 def test_held_out_rows(spark):
-    for name, parts, left in (("op1_lang_id", 4, 2), ("op6_toxicity", 3, 1)):
+    for name, parts, left in (("op1_lang_id", 4, 2), ("op6_toxicity", 3, 1), ("op12_quality", 3, 1)):
         for r in queries.QUERIES[name](spark, SF_SMALL).collect():
             assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % parts == left)
 
