@@ -25,6 +25,8 @@ ROWS = 1 << 12
 SEED = 11
 #: Labelled rows of each language, and of all, that the fit may use: a hash decides.
 SAMPLE_PER_LANGUAGE, SAMPLE_TOTAL = 700, 5000
+#: Longer texts, in bytes, are not learned from, so that the sample is bounded in bytes as well.
+LONGEST_LEARNED = 40_000
 AMBIGUOUS_GAP = 0.3
 #: Typical margin of a bit after the fit, which sets how sure scores are.
 MARGIN = 1.5
@@ -157,8 +159,9 @@ def quota(sizes: list[int], per_language: int, total: int) -> int:
 def sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, total: int = SAMPLE_TOTAL) -> DataFrame:
     """(doc_id, lang, text) of the learnable rows that the fit may use: of each language as many
     as its `quota`, those whose id hashes lowest. However unequal the languages are, none is left
-    without a row, and the small ones give all they have before a large one gives more."""
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(~held_out())
+    without a row, and the small ones give all they have before a large one gives more. Texts of
+    more than `LONGEST_LEARNED` bytes are left out, rows that repeat id and language are made one."""
+    known = docs.where(F.col("lang").isNotNull() & (F.octet_length("text") <= LONGEST_LEARNED)).where(~held_out())
     # the draw sees ids only, the texts of those drawn are fetched last
     spread = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 40))
     placed = known.select("doc_id", "lang", spread.alias("spread"))
@@ -174,7 +177,8 @@ def sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, total: int
     ids = few.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
     # bounded by `total`, or by the number of languages
     drawn = F.broadcast(ids.select("doc_id", "lang"))
-    return known.select("doc_id", "lang", "text").join(drawn, ["doc_id", "lang"])
+    rows = known.select("doc_id", "lang", "text").join(drawn, ["doc_id", "lang"])
+    return rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
 
 def train(

@@ -8,19 +8,19 @@ sample of labelled rows) takes the gradient through that window.
 
 from __future__ import annotations
 
-import re
-import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.common import ship_code
 
-WINDOW, STRIDE = 64, 48
+WINDOW, STRIDE = 64, 32
 OVERLAP = WINDOW - STRIDE
 HIDDEN, EMBED, ATTEND = 8, 8, 8
 WORD_ROWS = NGRAM_ROWS = 1 << 15
@@ -28,7 +28,7 @@ NGRAMS = (3, 4)
 WORD_BYTES, PREFIX_BYTES = 20, 11
 #: Longer words enter as pieces of at most so many bytes; two neighbours share at least `SHARED`.
 PIECE_BYTES, SHARED = WORD_BYTES - 2, 6
-EPOCHS, BATCH, SEED = 9, 64, 5
+EPOCHS, BATCH, SEED = 9, 64, 6
 #: A small sample is passed over again until so many batches have been taken.
 LEAST_STEPS = 260
 #: Share of inputs left out while training.
@@ -36,30 +36,38 @@ DROP_WORD, DROP_NGRAM = 0.8, 0.5
 #: Labelled rows the fit may use of each class; those with the smallest hash are taken.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 900, 1600
 THRESHOLD = 0.7
+#: Longer texts, in bytes, are not learned from, so that the sample is bounded in bytes as well.
+LONGEST_LEARNED = 40_000
 #: Distinct words whose inputs a worker remembers.
 CACHE_WORDS = 300_000
 #: Words that are scored at once: a whole number of strides.
-_BLOCK_WORDS = 680 * STRIDE
+_BLOCK_WORDS = 1024 * STRIDE
 
-# lower-case ASCII letters and all bytes of other characters stay, the rest parts words
+# lower-case ASCII letters, digits and all bytes of other characters stay, the rest parts words
 _SPLIT = bytes(
-    c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
+    c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c >= 128 else 32 for c in range(256)
 )
+#: What joins the letters around it: soft hyphen, zero-width joiner and non-joiner.
+_JOINS = "\xad\u200c\u200d"
 
 
-def _parting() -> re.Pattern[str]:
-    """Characters beyond ASCII that part words: all but letters, marks and what joins letters."""
-    joins, runs = {0xAD, 0x200C, 0x200D}, []
-    for c in range(128, sys.maxunicode + 1):
-        if unicodedata.category(chr(c))[0] not in "LM" and c not in joins:
-            if runs and runs[-1][1] == c - 1:
-                runs[-1][1] = c
-            else:
-                runs.append([c, c])
-    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs) + "]+")
+@lru_cache(1 << 16)
+def _parts(char: str) -> bool:
+    """Whether a character beyond ASCII parts words: all do but letters, marks, digits and joins."""
+    if char < "\x80" or char in _JOINS:
+        return False
+    kind = unicodedata.category(char)
+    return kind[0] not in "LM" and kind != "Nd"
 
 
-_PARTING = _parting()
+def _parted(text: str) -> str:
+    """The text with a blank for each character beyond ASCII that parts words."""
+    odd = [c for c in set(text) if _parts(c)]
+    if len(odd) > 24:
+        return text.translate({ord(c): " " for c in odd})
+    for c in odd:
+        text = text.replace(c, " ")
+    return text
 
 
 def _pieces(word: bytes) -> Iterator[bytes]:
@@ -77,12 +85,12 @@ def _pieces(word: bytes) -> Iterator[bytes]:
 
 
 def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased words: runs of letters of any script. Long ones, as of scripts without spaces,
+    """Lower-cased words: runs of letters and digits of any script. Long ones, as of scripts without spaces,
     are given as consecutive pieces."""
     if not text:
         return []
     if not text.isascii():
-        text = _PARTING.sub(" ", text.lower())
+        text = _parted(text.lower())
     words = text.encode("utf-8", "surrogatepass").translate(_SPLIT).split()
     if max(map(len, words), default=0) <= PIECE_BYTES:
         return words
@@ -141,6 +149,14 @@ class Network:
         self.scale, self.shift = 1.0, 0.0
         self.prior = 0.0
 
+    def key(self) -> str:
+        """A digest of all that scores depend on."""
+        state = xxhash.xxh128()
+        for name in sorted(self.p):
+            state.update(self.p[name].tobytes())
+        state.update(repr((self.scale, self.shift, self.prior)).encode())
+        return state.hexdigest()
+
     def embed(self, inputs: tuple) -> tuple[np.ndarray, np.ndarray]:
         word, grams, real = inputs
         share = real / np.sqrt(np.maximum(real.sum(1, keepdims=True), 1))
@@ -354,6 +370,18 @@ class Scorer:
         yield from flush()
 
 
+_SCORERS: dict[tuple[str, int], Scorer] = {}
+
+
+def scorer_of(network: Network, key: str, cache_words: int = CACHE_WORDS) -> Scorer:
+    """The scorer of this process for the network of this key: a worker that runs several tasks
+    remembers its words from one to the next. Only the last network is held."""
+    if (key, cache_words) not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[key, cache_words] = Scorer(network, cache_words)
+    return _SCORERS[key, cache_words]
+
+
 def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = SEED) -> Network:
     """Train on whole texts with labels 0 or 1. With one class only, all scores are its share."""
     net = Network(seed)
@@ -473,9 +501,11 @@ def training_rows(
     learnable,
     most_toxic: int = SAMPLE_TOXIC,
     most_clean: int = SAMPLE_CLEAN,
+    longest: int = LONGEST_LEARNED,
 ) -> DataFrame:
     """(doc_id, text, toxic) of at most so many labelled rows of each class whose doc_id is
-    `learnable`: those with the smallest hash, whatever the size of the tables."""
+    `learnable`: those with the smallest hash, whatever the size of the tables. One row for each
+    doc_id, however often it occurs; texts of more than `longest` bytes are left out."""
     known = (
         labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL")
         .where(learnable)
@@ -485,8 +515,10 @@ def training_rows(
     )
     pick = lambda toxic, n: known.where(F.col("toxic") == toxic).orderBy("h", "doc_id").limit(n)
     chosen = pick(1, most_toxic).union(pick(0, most_clean)).select("doc_id", "toxic")
-    # bounded by the two sizes
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    short = docs.select("doc_id", "text").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= longest)
+    # bounded by the two sizes; rows that repeat an id are made one before they are gathered
+    drawn = short.join(F.broadcast(chosen), "doc_id")
+    return drawn.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def held_out(id_col: str = "doc_id"):
@@ -511,8 +543,10 @@ def score(docs: DataFrame, network: Network, cache_words: int = CACHE_WORDS) ->
     table gives no rows.
     """
 
+    key = network.key()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(network, cache_words)
+        scorer = scorer_of(network, key, cache_words)
         for b in batches:
             made = list(scorer.scores(t.as_py() for t in b.column(1)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.float64())], ["doc_id", "score"])
@@ -527,8 +561,10 @@ def reject(docs: DataFrame, network: Network, threshold: float = THRESHOLD) -> D
     """`docs` without the rows whose score reaches `threshold`: all columns, no shuffle."""
     at = docs.columns.index("text")
 
+    key = network.key()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(network)
+        scorer = scorer_of(network, key)
         for b in batches:
             made = list(scorer.scores(t.as_py() for t in b.column(at)))
             yield b.filter(pa.array([s < threshold for s in made], pa.bool_()))

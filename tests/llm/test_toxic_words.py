@@ -1,7 +1,9 @@
 """Every part of a text reaches the network, whatever parts its words."""
 
+import math
 import random
 
+import numpy as np
 import pytest
 
 from foliospark.llm import toxicity
@@ -14,8 +16,37 @@ def test_marks_beyond_ascii_part_words(mark):
     assert toxicity.words_of(f"something{mark}Idiot") == [b"something", b"idiot"]
 
 
+def test_many_kinds_of_marks_part_words():
+    marks = [chr(c) for c in range(0x2190, 0x2400)]
+    assert toxicity.words_of("a" + "b".join(marks)) == [b"a"] + [b"b"] * (len(marks) - 1)
+
+
+def test_digits_are_part_of_words():
+    assert toxicity.words_of("1d10t 5tup1d, you 4re") == [b"1d10t", b"5tup1d", b"you", b"4re"]
+
+
+def test_scores_equal_plain_windows():
+    """Each window alone through the network's plain forward pass, the highest one counts."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["you", "Idiot!", "river", "für", "4re", "—"]) for _ in range(n)) for n in (1, 5, 63, 64, 65, 96, 97, 500)]
+    net = toxicity.fit(texts * 4, [int("Idiot" in t and i % 3 > 0) for i, t in enumerate(texts * 4)])
+    for text, score in zip(texts, toxicity.Scorer(net).scores(texts)):
+        words, logits, at = toxicity.words_of(text), [], 0
+        while words:
+            window = words[at : at + 64]
+            rows = np.zeros((1, 64, 6 * toxicity.HIDDEN), np.float32)
+            rows[0, : len(window)] = net.projected(window)
+            mask = np.array([[float(i < len(window)) for i in range(64)]], np.float32)
+            logits.append(float(net.forward(rows, mask)[0]))
+            if at + 64 >= len(words):
+                break
+            at += 32
+        want = net.prior if not words else 1 / (1 + math.exp(-(net.scale * max(logits) + net.shift)))
+        assert score == pytest.approx(want, abs=1e-4)
+
+
 def test_letters_and_marks_stay_together():
-    for word in ("für", "हिन्दी", "cafe\u0301"):
+    for word in ("für", "हिन्दी", "cafe\u0301", "١٢٣"):
         assert toxicity.words_of(word) == [word.encode()]
 
 
