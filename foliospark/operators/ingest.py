@@ -70,14 +70,14 @@ def union_roots(listings: Sequence[DataFrame]) -> DataFrame:
 def limit_documents(documents: DataFrame, max_docs: int | None) -> DataFrame:
     """The first `max_docs` documents by root and path, in that order; no limit for 0 or None.
 
-    Positions are given to the keys alone, in range partitions, so that no task sees more than
-    its part however many documents are asked for. A path is unique below its root.
+    Positions come from key ranges, of which only those that begin within the limit are sorted, so
+    that no task sees more than its part however many documents are asked for. A path is unique
+    below its root.
     """
     if not max_docs:
         return documents
     keys = ["root_ord", "path"]
-    first = with_ordinal(documents.select(*keys), keys, "_n").where(F.col("_n") <= max_docs)
-    return documents.join(first.drop("_n"), keys, "left_semi").orderBy(*keys)
+    return with_ordinal(documents, keys, "_n", max_docs).drop("_n").orderBy(*keys)
 
 
 def extractor_route(extension: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliospark.session import cut_lineage
+from foliospark.functions.binding import let
 
 MIN_SALTS = 32
 
@@ -98,28 +98,67 @@ def rows_of_groups(
     return salted.join(copies, [*keys, "_salt"]).drop("_salt")
 
 
-def with_ordinal(df: DataFrame, order_by: Sequence[str | Column], name: str) -> DataFrame:
-    """Number all rows from 1 in a total order, without one task seeing them all.
+#: Keys that are drawn for each range, so that ranges hold about the same number of rows.
+DRAWN_PER_RANGE = 20
 
-    Rows are sorted within range partitions; the offsets come from one count per partition.
-    The placement is fixed by a checkpoint, because both uses must see the same partitions.
+
+def splitters(df: DataFrame, order_by: Sequence[str], ranges: int) -> Column:
+    """A scalar subquery: the sorted keys, as structs, that cut `df` into about `ranges` ranges.
+
+    Of each of `DRAWN_PER_RANGE * ranges` hash cells of the keys that of the lowest hash is drawn: a
+    uniform draw of bounded size, the same one whenever it is computed.
     """
-    at = F.col("_at")
-    placed = cut_lineage(
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("_at", F.monotonically_increasing_id())
+    cells = DRAWN_PER_RANGE * ranges
+    key = F.struct(*order_by)
+    cell = F.pmod(F.xxhash64(*order_by), F.lit(cells))
+    drawn = df.groupBy(cell.alias("_cell")).agg(
+        F.min(F.struct(F.xxhash64(F.lit(1), *order_by).alias("_h"), key.alias("_k")))["_k"].alias("_k")
     )
-    # upper bits of the id: partition; lower 33 bits: position within it
-    placed = placed.withColumns(
-        {"_part": F.shiftright(at, 33), "_pos": at.bitwiseAND(F.lit((1 << 33) - 1))}
-    ).drop("_at")
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    listed = F.sort_array(F.collect_list("_k"))  # one for each cell at most
+    step = F.greatest(F.lit(1), F.floor(F.size(listed) / F.lit(ranges)).cast("int"))
+    return drawn.agg(F.filter(listed, lambda k, i: (i > 0) & (i % step == 0))).scalar()
+
+
+def _range_of(key: Column, cuts: Column, ranges: int) -> Column:
+    """How many of the sorted `cuts` are at or below the key, by way of about every root-th one."""
+    width = max(1, int(ranges**0.5))
+    below = lambda some: F.size(F.filter(some, lambda c: c <= key))
+    coarse = lambda all_: below(F.filter(all_, lambda c, i: i % width == 0))
+    fine = lambda all_, n: F.when(n == 0, 0).otherwise((n - 1) * width + below(F.slice(all_, (n - 1) * width + 1, width)))
+    return let(cuts, lambda all_: let(coarse(all_), lambda n: fine(all_, n)))
+
+
+def with_range(df: DataFrame, order_by: Sequence[str], ranges: int, name: str) -> DataFrame:
+    """Add the number of the key range that a row is in, from 0."""
+    cuts = df.withColumn("_cuts", splitters(df, order_by, ranges))
+    return cuts.withColumn(name, _range_of(F.struct(*order_by), F.col("_cuts"), ranges)).drop("_cuts")
+
+
+def with_running(
+    df: DataFrame, order_by: Sequence[str], value: Column, name: str, upto: int | None = None
+) -> DataFrame:
+    """Add the running sum of `value` (numbers above zero) in the order of unique keys, the row itself
+    included, without one task seeing all rows.
+
+    Rows are cut into key ranges; what lies before a range is the sum of one number for each range
+    before it. Which range a row is in is a function of its key and of `splitters`, so all uses
+    agree, nothing is computed while the frame is built, and a lost task can be run again. `upto`
+    leaves out rows beyond that sum, and does not sort the ranges that hold only such.
+    """
+    ranges = salts_for(df)
+    ranged = with_range(df, order_by, ranges, "_part")
+    sizes = ranged.groupBy("_part").agg(F.sum(value).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition: bounded by the number of shuffle partitions
+    # one row for each range: bounded by the number of shuffle partitions
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_base") + F.col("_pos") + 1)
-        .drop("_part", "_pos", "_base")
-    )
+    placed = ranged.join(F.broadcast(offsets), "_part")
+    if upto is not None:
+        placed = placed.where(F.col("_base") < upto)
+    within = Window.partitionBy("_part").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+    out = placed.withColumn(name, F.col("_base") + F.sum(value).over(within)).drop("_part", "_base")
+    return out if upto is None else out.where(F.col(name) <= upto)
+
+
+def with_ordinal(df: DataFrame, order_by: Sequence[str], name: str, upto: int | None = None) -> DataFrame:
+    """Number all rows from 1 in the order of unique keys; see `with_running`."""
+    return with_running(df, order_by, F.lit(1), name, upto)

@@ -4,7 +4,14 @@ from pyspark.sql import functions as F
 
 from foliospark.operators import analyze as A
 from foliospark.operators import ingest as G
-from foliospark.operators.skew import MIN_SALTS, lookup_join, salts_for, with_ordinal
+from foliospark.operators.skew import (
+    MIN_SALTS,
+    lookup_join,
+    salts_for,
+    with_ordinal,
+    with_range,
+    with_running,
+)
 
 
 def hot_invoices(spark, n=9000):
@@ -96,6 +103,39 @@ def test_ordinal(spark):
     got = {r.x: r.n for r in with_ordinal(df.repartition(7), ["x"], "n").collect()}
     assert got == {x: i for i, x in enumerate(sorted(got), 1)} and len(got) == 5000
     assert with_ordinal(df.limit(0), ["x"], "n").count() == 0
+    assert [r.x for r in with_ordinal(df, ["x"], "n", 7).orderBy("n").collect()] == sorted(got)[:7]
+
+
+def test_running_sum_of_several_keys(spark):
+    df = spark.range(700).select(
+        (F.col("id") % 3).alias("a"), F.concat(F.lit("k"), F.col("id")).alias("b"), (F.col("id") % 5 + 1).alias("v")
+    ).withColumn("a", F.when(F.col("a") > 0, F.col("a")))
+    rows = sorted(df.collect(), key=lambda r: (r.a is not None, r.a or 0, r.b))
+    want, total = {}, 0
+    for r in rows:
+        total += r.v
+        want[r.b] = total
+    out = with_running(df.repartition(5), ["a", "b"], F.col("v"), "s")
+    assert {r.b: r.s for r in out.collect()} == want
+    few = with_running(df, ["a", "b"], F.col("v"), "s", 100)
+    assert {r.b: r.s for r in few.collect()} == {b: s for b, s in want.items() if s <= 100}
+
+
+def test_ordinals_start_no_job_while_they_are_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    try:
+        out = with_ordinal(spark.range(100).withColumnRenamed("id", "x"), ["x"], "n")
+        assert len(tracker.getJobIdsForGroup("building")) == 0
+        assert out.count() == 100 and len(tracker.getJobIdsForGroup("building")) > 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_ranges_are_even(spark):
+    df = spark.range(20_000).select(F.format_string("/a/long/common/prefix/%08d", F.col("id") * 7919 % 20011).alias("x"))
+    sizes = [r["count"] for r in with_range(df, ["x"], 32, "r").groupBy("r").count().collect()]
+    assert 28 <= len(sizes) <= 40 and max(sizes) < 4 * 20_000 / 32
 
 
 def test_reused_text_with_a_popular_stem(spark):
