@@ -90,6 +90,18 @@ SELECT path, method, success, CAST(CASE WHEN success THEN length(text) ELSE 0 EN
   CASE WHEN success THEN '' ELSE coalesce(failure, 'No text extracted') END AS error, md5(text) AS text_md5
 FROM judged"""
 
+ORACLES["first_documents_ingested"] = f"""WITH {_PARTS}, {_REUSE},
+first_ AS (SELECT * FROM parts WHERE extension IN ({SUFFIXES}) ORDER BY path LIMIT 100),
+flow AS (SELECT p.path,
+    CASE WHEN r.reused_path IS NOT NULL THEN 'reused' WHEN extension = '.txt' THEN 'text'
+      WHEN extension = '.pdf' THEN 'pdf' ELSE 'image' END AS method,
+    CASE WHEN r.reused_path IS NOT NULL THEN concat('reused ', c.html) WHEN page_id % 9 = 4 THEN ' ' ELSE p.html END AS text
+  FROM first_ p LEFT JOIN reuse r ON p.root = r.root AND lower(p.document_name_stem) = r.stem_key
+  LEFT JOIN copies c ON c.path = r.reused_path)
+SELECT path, method, text <> ' ' AS success, CAST(CASE WHEN text <> ' ' THEN length(text) ELSE 0 END AS BIGINT) AS text_length,
+  md5(text) AS text_md5
+FROM flow"""
+
 ORACLES["choose_longer_text"] = """WITH t AS (SELECT doc_id,
     CASE WHEN lang = 'en' THEN text ELSE concat(source, ' ', lang, ' ') END AS direct,
     CASE WHEN lang = 'de' THEN lang ELSE concat(text, chr(10)) END AS ocr,

@@ -20,6 +20,7 @@ from foliospark.operators import invoices as I
 from foliospark.operators import organize as O
 from foliospark.operators import report as R
 from foliospark.operators import validate as V
+from foliospark.operators.skew import lookup_join
 from foliospark.plans import ingestion as PG
 from foliospark.plans import invoices as PI
 from foliospark.plans import staged as PS
@@ -102,6 +103,20 @@ def max_docs_limit(spark, sf):
     return G.limit_documents(found, 300).select("root_ord", "path")
 
 
+@query
+def first_documents_ingested(spark, sf):
+    """The limit and the reuse of texts are decided on the listing; only the texts of the files that
+    are then to be read are joined."""
+    copies = X.reuse_listing(spark, sf).where(F.contains("path", F.lit("extracted_text")))
+    files = G.union_roots([X.page_listing(spark, sf).unionByName(copies, allowMissingColumns=True)])
+    chosen = PG.chosen_documents(files.drop("text"), 100).withColumn("file", F.coalesce("source", "path"))
+    blank = F.when(F.col("page_id") % 9 == 4, " ").otherwise(F.col("text"))
+    texts = files.select(F.col("path").alias("file"), blank.alias("text"))
+    read = lookup_join(chosen.drop("length"), texts, ["file"], ["path"], "left", wide=True)
+    out = G.ingestion_outcome(read.select("path", "method", "text"))
+    return out.select("path", "method", "success", "text_length", F.md5("text").alias("text_md5"))
+
+
 @query
 def reuse_index(spark, sf):
     return G.reuse_index(X.reuse_listing(spark, sf).drop("text"))

@@ -85,17 +85,28 @@ def extractor_route(extension: Column) -> Column:
     return F.when(extension == ".txt", "text").when(extension == ".pdf", "pdf").otherwise("image")
 
 
-def reuse_index(listing: DataFrame, root: str | None = "root") -> DataFrame:
-    """Already extracted text files, one per root and lower-cased stem: the last path wins."""
+def _reuse_index(listing: DataFrame, root: str | None) -> DataFrame:
     key = ["root", "stem_key"] if root else ["stem_key"]
     texts = path_parts(listing).where(
         F.col("document_name").endswith(".txt") & _below_root("path", root).rlike(_REUSE_FOLDER)
     )
-    return (
-        texts.withColumn("stem_key", F.lower("document_name_stem"))
-        .groupBy(*key)
-        .agg(F.max("path").alias("reused_path"))
+    return texts.withColumn("stem_key", F.lower("document_name_stem")).groupBy(*key)
+
+
+def reuse_index(listing: DataFrame, root: str | None = "root") -> DataFrame:
+    """Already extracted text files, one per root and lower-cased stem: the last path wins."""
+    return _reuse_index(listing, root).agg(F.max("path").alias("reused_path"))
+
+
+def with_reused_path(documents: DataFrame, listing: DataFrame, root: str | None = "root") -> DataFrame:
+    """Add reused_path and reused_length: the already extracted text of each document, by the
+    listing alone. A popular stem is spread over sub-keys."""
+    key = ["root", "stem_key"] if root else ["stem_key"]
+    index = _reuse_index(listing, root).agg(
+        F.max("path").alias("reused_path"), F.max_by("length", "path").alias("reused_length")
     )
+    docs = documents.withColumn("stem_key", F.lower(T.stem(T.file_name(F.col("path")))))
+    return lookup_join(docs, index, key, ["path"]).drop("stem_key")
 
 
 def attach_reused_text(

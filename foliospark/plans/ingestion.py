@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from foliospark import rules
 from foliospark.operators import ingest as G
-from foliospark.sources import files
+from foliospark.sources import contents, files
 
 
 def ingestion_flow(
@@ -41,17 +41,65 @@ def ingestion_flow(
     return G.ingestion_outcome(documents)
 
 
+def chosen_documents(
+    listing: DataFrame,
+    max_docs: int | None = None,
+    max_size_mb: float | None = rules.MAX_FILE_SIZE_MB,
+    reuse: bool = True,
+) -> DataFrame:
+    """(root, path, method, source, length): which documents are read, and from which file.
+
+    All is decided on the listing: the limit, and the already extracted text that takes the place
+    of a document's own. `source` is NULL for documents that some extractor has to read.
+    """
+    found = G.limit_documents(G.discover_documents(listing, max_size_mb=max_size_mb), max_docs)
+    routed = found.withColumn("method", G.extractor_route(F.col("extension")))
+    if reuse:
+        routed = G.with_reused_path(routed, listing)
+    else:
+        routed = routed.withColumns({"reused_path": F.lit(None).cast("string"), "reused_length": F.lit(0)})
+    reused = F.col("reused_path").isNotNull()
+    return routed.select(
+        "root",
+        "path",
+        F.when(reused, "reused").otherwise(F.col("method")).alias("method"),
+        F.coalesce("reused_path", F.when(F.col("method") == "text", F.col("path"))).alias("source"),
+        F.when(reused, F.col("reused_length")).otherwise(F.col("length")).alias("length"),
+    )
+
+
+def read_documents(chosen: DataFrame, **how) -> DataFrame:
+    """(root, path, method, text, error) of the chosen documents that have a `source`; only those
+    files are opened (see `sources.contents`). `method` is NULL where reading failed."""
+    read = contents.read_contents(chosen.where("source IS NOT NULL"), source="source", **how)
+    return read.select(
+        "root",
+        "path",
+        F.when(F.col("read_error").isNull(), F.col("method")).alias("method"),
+        files.decode_text(F.col("content")).alias("text"),
+        F.col("read_error").alias("error"),
+    )
+
+
 def ingest_files(
     spark: SparkSession,
     roots: Sequence[str],
     extracted: DataFrame | None = None,
     max_docs: int | None = None,
     max_size_mb: float | None = rules.MAX_FILE_SIZE_MB,
+    reuse: bool = True,
+    **how,
 ) -> DataFrame:
-    """The flow over folders. Text files are read here, and only those that the size limit lets
-    through; `extracted` has the texts of other files. Contents of the rest are never read."""
-    texts = files.read_texts_of(spark, roots, max_size_mb)
-    made = texts.select("path", "text")
-    if extracted is not None:
-        made = made.unionByName(extracted, allowMissingColumns=True)
-    return ingestion_flow(files.list_files(spark, roots), made, texts, max_docs, max_size_mb)
+    """The flow over folders: list, choose, and only then open the files that were chosen.
+
+    Text files and already extracted texts are read here, each document from one file at most;
+    `extracted` (path, text and, optionally, ocr_pages and error) has the texts of other documents.
+    Texts are not shuffled. `how` goes to `sources.contents.read_contents`.
+    """
+    chosen = chosen_documents(files.list_files(spark, roots), max_docs, max_size_mb, reuse)
+    others = chosen.where("source IS NULL").select("root", "path", "method")
+    if extracted is None:
+        extracted = spark.createDataFrame([], "path STRING, text STRING")
+    extra = [c for c in ("ocr_pages", "error") if c in extracted.columns]
+    made = others.join(extracted.select("path", "text", *extra), "path", "left")
+    return G.ingestion_outcome(read_documents(chosen, **how).unionByName(made, allowMissingColumns=True))

@@ -10,6 +10,7 @@ from foliospark.operators import organize as O
 from foliospark.operators import report as R
 from foliospark.plans import ingestion as P
 from foliospark.sinks import stages as K
+from foliospark.sources import contents
 from foliospark.sources import files as S
 from foliospark.sources import records as SR
 from foliospark.sources import runs as RUN
@@ -74,6 +75,71 @@ def test_ingestion_flow(spark, folder, tmp_path):
     assert any("| reused | success=True | len=8" in r.value for r in spark.read.text(str(tmp_path / "log")).collect())
 
 
+def _many(tmp_path, n=40):
+    root = tmp_path / "many"
+    for i in range(n):
+        path = root / f"d{i % 3}" / f"doc{i:03}.txt"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(f"text {i}")
+    (root / "old_extracted_text").mkdir()
+    (root / "old_extracted_text" / "DOC003.txt").write_text("reused 3")
+    (root / "d0" / "scan.pdf").write_bytes(b"%PDF")
+    return root
+
+
+def test_only_chosen_files_are_opened(spark, tmp_path):
+    root = _many(tmp_path)
+    paths = sorted(str(p) for p in root.glob("d*/*"))
+    for n in (1, 5, 17, None):
+        opened = spark.sparkContext.accumulator(0)
+        out = P.ingest_files(spark, [str(root)], max_docs=n, opened=opened).collect()
+        assert sorted(r.path for r in out) == paths[:n]
+        # all but the scan, which has no text of its own
+        assert opened.value == sum(p.endswith(".txt") for p in paths[:n])
+        got = {r.document_name: (r.method, r.text, r.success) for r in out}
+        assert got["doc000.txt"] == ("text", "text 0", True)
+        if n is None:
+            assert got["doc003.txt"] == ("reused", "reused 3", True) and got["scan.pdf"] == ("pdf", None, False)
+    opened = spark.sparkContext.accumulator(0)
+    plain = P.ingest_files(spark, [str(root)], max_docs=6, reuse=False, opened=opened)
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("binaryFile")[1]  # the scan lists, it does not read
+    assert {r.method for r in plain.collect()} == {"text"} and opened.value == 6
+
+
+def test_files_that_cannot_be_read_are_data(spark, tmp_path):
+    root = _many(tmp_path, 4)
+
+    def failing(path):
+        if path.endswith("doc001.txt"):
+            raise OSError("gone")
+        return contents.open_uri(path)
+
+    out = {r.document_name: r for r in P.ingest_files(spark, [str(root)], opener=failing).collect()}
+    assert (out["doc001.txt"].method, out["doc001.txt"].success, out["doc001.txt"].error) == ("failed", False, "OSError: gone")
+    assert out["doc002.txt"].text == "text 2"
+
+
+def test_contents_in_small_batches(spark, tmp_path, monkeypatch):
+    root = _many(tmp_path, 30)
+    listed = S.list_files(spark, [str(root)])
+    monkeypatch.setattr(contents, "BATCH_BYTES", 10)
+    read = contents.read_contents(listed).collect()
+    assert {r.path: r.content for r in read} == {str(p): p.read_bytes() for p in root.rglob("*.*")}
+    # shares of one file each go to different partitions
+    dealt = contents.dealt_by_length(listed, share=contents.OPEN_COST).withColumn("p", F.spark_partition_id())
+    counts = [r["count"] for r in dealt.groupBy("p").count().collect()]
+    assert len(counts) == 32 and sum(counts) == 32
+    assert contents.read_contents(listed.limit(0)).count() == 0
+
+
+def test_extracted_texts_join_what_is_read(spark, tmp_path):
+    root = _many(tmp_path, 2)
+    made = spark.createDataFrame([(f"{root}/d0/scan.pdf", "from pdf", 2)], "path STRING, text STRING, ocr_pages INT")
+    out = {r.document_name: (r.method, r.text, r.success) for r in P.ingest_files(spark, [str(root)], made).collect()}
+    assert out["scan.pdf"] == ("pdf", "from pdf", True) and out["doc001.txt"] == ("text", "text 1", True)
+
+
 def test_blank_text_and_failures(spark):
     docs = spark.createDataFrame(
         [("/a.txt", " ", "text", None), ("/b.txt", None, None, "broken"), ("/c.txt", "x", "text", None)],
