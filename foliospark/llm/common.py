@@ -2,39 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.operators.skew import salts_for
-from foliospark.session import cut_lineage
+from foliospark.session import cut_lineage, ship_code
 
 __all__ = ["components", "cut_lineage", "packed", "ship_code", "unpacked", "with_group"]
 
-_SHIPPED: set[str] = set()
-
-
-def ship_code(df: DataFrame) -> None:
-    """Give Python workers this package, as they may not have it on their path."""
-    sc = df.sparkSession.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    at = os.path.join(tempfile.mkdtemp(prefix="code-"), "foliospark_code.zip")
-    with zipfile.ZipFile(at, "w") as z:
-        for folder, _, names in os.walk(root):
-            for name in names:
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
-    sc.addPyFile(at)
-    _SHIPPED.add(sc.applicationId)
-
-
 def with_group(
     df: DataFrame,
     keys: Sequence[str],
