@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.functions.binding import bind
+from foliospark.functions.guards import LOOKED_AT, guarded, with_folded
 
 SEARCH = "(?iduU)"
 SEARCH_LINES = "(?imduU)"
@@ -58,19 +59,20 @@ def with_ranked_search(
 ) -> DataFrame:
     """Add `<field>` (first group of the best-ranked pattern) and `<field>_rank` (from 0).
 
-    Each rank is a projection of its own that only looks at rows the ranks before it left
+    A text is only searched for patterns whose literals it holds (see `guards`). Each rank is a projection of its own that only looks at rows the ranks before it left
     open, so a text is searched once per pattern at most and not at all after a hit.
     """
     def tmp(field: str, rank: int) -> str:
         return f"_{field}_{rank}"
 
     depth = max(len(p) for p in fields.values())
+    df = with_folded(df, text)
     for rank in range(depth):
         found = {}
         for field, patterns in fields.items():
             if rank >= len(patterns):
                 continue
-            hit = search(F.col(text), tame_spaces(patterns[rank]), flags)
+            hit = guarded(patterns[rank], search(F.col(text), tame_spaces(patterns[rank]), flags))
             for earlier in range(rank):
                 hit = F.when(F.col(tmp(field, earlier)) == "", hit).otherwise(F.lit(""))
             found[tmp(field, rank)] = hit
@@ -84,4 +86,4 @@ def with_ranked_search(
             order = F.when(F.col(name) != "", F.lit(rank)).otherwise(order)
         merged[field], merged[f"{field}_rank"] = value, order
     drop = [tmp(f, r) for f, ps in fields.items() for r in range(len(ps))]
-    return bind(df.withColumns(merged).drop(*drop), list(merged))
+    return bind(df.withColumns(merged).drop(*drop, *LOOKED_AT), list(merged))

@@ -10,6 +10,7 @@ from foliospark.functions import json as J
 from foliospark.functions import money as M
 from foliospark.functions import text as T
 from foliospark.functions.binding import bind
+from foliospark.functions.guards import LOOKED_AT, guarded, with_folded
 from foliospark.functions.patterns import commit_to_first_lead, search
 
 Patterns = dict[str, dict[str, str]]
@@ -45,15 +46,15 @@ def rule_values(
 ) -> dict[str, Column]:
     """Raw text per field: first match of the pattern of the row's type; '' when none.
 
-    `linear` uses the form of the patterns whose cost grows with the text only once.
+    `linear` uses the form of the patterns whose cost grows with the text only once, behind
+    their literal guards (the frame is one of `guards.with_folded`).
     """
+    def found(pattern: str) -> Column:
+        return guarded(pattern, search(text, commit_to_first_lead(pattern))) if linear else search(text, pattern)
+
     values = {}
     for field in all_fields({}, patterns):
-        per_type = {
-            t: search(text, commit_to_first_lead(fields[field]) if linear else fields[field])
-            for t, fields in patterns.items()
-            if field in fields
-        }
+        per_type = {t: found(fields[field]) for t, fields in patterns.items() if field in fields}
         values[field] = _by_type(doc_type, per_type)
     return values
 
@@ -70,6 +71,9 @@ def extract_fields(
     Numbers are kept as clean text (no thousands separators).
     """
     raw = rule_values(F.col(doc_type), F.col(text), patterns, linear)
+    # types without patterns are not folded
+    seen = F.when(F.col(doc_type).isin(*patterns), F.col(text))
+    df = with_folded(df.withColumn("_seen", seen), "_seen") if linear else df
     df = df.withColumns({f"_raw_{f}": c for f, c in raw.items()})
     entries = []
     for field in raw:
@@ -85,7 +89,7 @@ def extract_fields(
             )
         )
     found = df.withColumn("rule_fields", F.array_compact(F.array(*entries)))
-    return bind(found.drop(*(f"_raw_{f}" for f in raw)), ["rule_fields"])
+    return bind(found.drop("_seen", *LOOKED_AT, *(f"_raw_{f}" for f in raw)), ["rule_fields"])
 
 
 def field_provenance(df: DataFrame, fields: str = "rule_fields") -> DataFrame:
