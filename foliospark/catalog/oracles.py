@@ -483,6 +483,11 @@ ORACLES["invoice_header_fields"] = f"""WITH {_HEADER}
 SELECT doc_id, {", ".join(f for f, _ in _FIELDS)},
   {", ".join(f"round(1.0::DOUBLE - {r} * 0.1::DOUBLE, 4) AS {f}_confidence" for f, r in _FIELDS)} FROM header"""
 
+ORACLES["invoice_fields_in_prose"] = f"""WITH {_HEADER}
+SELECT d.doc_id, invoice_number, total_amount, round(1.0::DOUBLE - rn * 0.1::DOUBLE, 4) AS invoice_number_confidence,
+  round(1.0::DOUBLE - rt * 0.1::DOUBLE, 4) AS total_amount_confidence
+FROM documents d LEFT JOIN header h ON h.doc_id = d.doc_id"""
+
 _GOODS_TITLE = (
     "concat(CASE l_returnflag WHEN 'A' THEN 'Accepted' WHEN 'R' THEN 'Returned' ELSE 'New' END, "
     "CASE l_linestatus WHEN 'O' THEN ' Open Goods' ELSE ' Final Goods' END)"

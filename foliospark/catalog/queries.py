@@ -12,6 +12,7 @@ from foliospark.catalog import derive as X
 from foliospark.functions import dates as D
 from foliospark.functions import money as M
 from foliospark.functions import text as T
+from foliospark.functions.binding import bind
 from foliospark.operators import analyze as A
 from foliospark.operators import classify as C
 from foliospark.operators import extract as E
@@ -434,6 +435,18 @@ def invoice_header_fields(spark, sf):
     )
 
 
+@query
+def invoice_fields_in_prose(spark, sf):
+    """Invoices that stand between the paragraphs of a long document, and documents without one."""
+    prose = X.table(spark, sf, "documents").selectExpr("doc_id", "text AS prose")
+    texts = prose.join(X.invoice_texts(spark, sf).select("doc_id", "text"), "doc_id", "left")
+    around = bind(texts.withColumn("text", F.concat_ws("\n", "prose", "text", "prose")), ["text"])
+    return I.header_fields(around, this_year=X.THIS_YEAR).select(
+        "doc_id", "invoice_number", "total_amount",
+        *(F.round(f"{f}_confidence", 4).alias(f"{f}_confidence") for f in ("invoice_number", "total_amount")),
+    )
+
+
 @query
 def invoice_line_items(spark, sf):
     items = X.invoice_texts(spark, sf).select(
