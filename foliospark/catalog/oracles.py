@@ -214,6 +214,20 @@ ORACLES["classify_by_content"] = f"""WITH {_FULL}
 SELECT doc_id, CASE WHEN top >= 2 THEN best_type END AS predicted_type, content_conf AS confidence,
   content_method AS method FROM ruled"""
 
+ORACLES["classify_large_rule_set"] = """WITH items AS (
+  SELECT printf('set_%02d', item_id % 12) AS type, regexp_split_to_array(lower(trim(text)), '\\s+') AS words FROM benchmark),
+runs AS (SELECT type, words, unnest(range(1, 6)) AS n FROM items),
+starts AS (SELECT type, words, n, unnest(range(1, greatest(1, len(words) - n + 1) + 1)) AS i FROM runs),
+keywords AS (SELECT DISTINCT type, array_to_string(words[i:i + n - 1], ' ') AS keyword FROM starts),
+lowered AS (SELECT doc_id, lower(text) AS text FROM documents),
+hits AS (SELECT doc_id, type, count(*) AS score FROM lowered, keywords
+  WHERE length(keyword) >= 8 AND contains(text, keyword) GROUP BY doc_id, type),
+best AS (SELECT doc_id, max(score) AS top, arg_min(type, (-score, type)) AS type FROM hits GROUP BY doc_id)
+SELECT doc_id, CASE WHEN top >= 2 THEN type END AS predicted_type,
+  CASE WHEN top >= 3 THEN 0.95::DOUBLE WHEN top = 2 THEN 0.6::DOUBLE END AS confidence,
+  CASE WHEN top >= 3 THEN 'rules_content_high' WHEN top = 2 THEN 'rules_content_low' END AS method
+FROM documents LEFT JOIN best USING (doc_id)"""
+
 ORACLES["classify_cascade"] = f"""WITH {_FULL}
 SELECT doc_id, status, predicted_type, confidence, method, reasoning FROM cascade"""
 

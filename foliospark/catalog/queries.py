@@ -18,6 +18,7 @@ from foliospark.operators import classify as C
 from foliospark.operators import extract as E
 from foliospark.operators import ingest as G
 from foliospark.operators import invoices as I
+from foliospark.operators import keywords as KW
 from foliospark.operators import organize as O
 from foliospark.operators import report as R
 from foliospark.operators import validate as V
@@ -261,6 +262,23 @@ def _ruled(spark, sf, rule_set=rules.FULL_RULES):
     return C.classify_with_rules(X.named_documents(spark, sf), rule_set)
 
 
+@query
+def classify_large_rule_set(spark, sf):
+    """Documents by the passages they hold: every run of up to five words of a reference passage is
+    a keyword, thousands in all."""
+    words = F.split(F.lower(F.trim("text")), "\\s+")
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(5)), lambda n: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - n + 1)),
+        lambda i: F.array_join(F.slice("words", i, n), " "))))
+    items = X.table(spark, sf, "benchmark").select(
+        F.format_string("set_%02d", (F.col("item_id") % 12).cast("int")).alias("type"), words.alias("words")
+    )
+    listed = items.select("type", F.explode(runs).alias("keyword")).where(F.length("keyword") >= 8)
+    rule_set = rules.RuleSet(filename=rules.FULL_RULES.filename, content=KW.keywords_of(listed))
+    typed = C.classify_by_content(X.table(spark, sf, "documents").select("doc_id", "text"), rule_set)
+    return typed.select("doc_id", "predicted_type", "confidence", "method")
+
+
 @query
 def classify_cascade(spark, sf):
     return _ruled(spark, sf).select(

@@ -1,6 +1,7 @@
 """Rule-based document types with request and response tables for an external model.
 
-Rules are compiled to one expression per row: no join and no shuffle. Model answers come
+Rules are compiled to one expression per row, or one pass of an automaton where they are many (see
+`keywords`): no join and no shuffle. Model answers come
 back as a table and are merged with one join on the document key.
 """
 
@@ -15,6 +16,7 @@ from foliospark.functions import text as T
 from foliospark.functions.binding import bind
 from foliospark.functions.money import parse_number
 from foliospark.functions.patterns import search, tame_spaces
+from foliospark.operators import keywords as KW
 from foliospark.rules import Keywords, RuleSet
 
 RESULT_COLUMNS = (
@@ -39,7 +41,7 @@ def filename_type(name_lower: Column, keywords: Keywords) -> Column:
     for doc_type, words in keywords.items():
         hit = _any_contained(name_lower, words)
         chosen = F.when(hit, doc_type) if chosen is None else chosen.when(hit, doc_type)
-    return chosen
+    return F.lit(None).cast("string") if chosen is None else chosen
 
 
 def keyword_scores(text_lower: Column, keywords: Keywords) -> dict[str, Column]:
@@ -60,6 +62,26 @@ def best_score(scores: dict[str, Column]) -> Column:
     return F.array_max(F.array(*entries))
 
 
+def with_filename_type(df: DataFrame, name_lower: str, keywords: Keywords, out: str) -> DataFrame:
+    """Add the type by file name, in the form that suits the number of keywords."""
+    if KW.keyword_count(keywords) <= KW.EXPRESSION_KEYWORDS:
+        return df.withColumn(out, filename_type(F.col(name_lower), keywords))
+    hits = KW.with_hits(df, name_lower, keywords)
+    return hits.withColumn(out, KW.first_hit(F.col("_hits"), keywords)).drop("_hits")
+
+
+def with_best_score(df: DataFrame, text_lower: str, keywords: Keywords, out: str) -> DataFrame:
+    """Add the best score of the text, in the form that suits the number of keywords; NULL for a
+    NULL text."""
+    if not KW.keyword_count(keywords):
+        return df.withColumn(out, F.lit(None).cast("struct<score:int,neg_ord:int,type:string>"))
+    if KW.keyword_count(keywords) <= KW.EXPRESSION_KEYWORDS:
+        best = best_score(keyword_scores(F.col(text_lower), keywords))
+        return df.withColumn(out, F.when(F.col(text_lower).isNotNull(), best))
+    hits = KW.with_hits(df, text_lower, keywords)
+    return hits.withColumn(out, KW.best_hit(F.col("_hits"), keywords)).drop("_hits")
+
+
 def with_lower(df: DataFrame, text: str = "text", name: str = "file_name") -> DataFrame:
     """Lower-case once; the projections after it use the result many times."""
     return df.withColumns({"_text_lower": F.lower(text), "_name_lower": F.lower(name)})
@@ -92,9 +114,8 @@ def classify_by_filename(
     df: DataFrame, rule_set: RuleSet = rules.FULL_RULES, name: str = "file_name"
 ) -> DataFrame:
     """Add predicted_type, confidence and method from the file name alone."""
-    typed = df.withColumn("_name_lower", F.lower(name)).withColumn(
-        "predicted_type", filename_type(F.col("_name_lower"), rule_set.filename)
-    )
+    lowered = df.withColumn("_name_lower", F.lower(name))
+    typed = with_filename_type(lowered, "_name_lower", rule_set.filename, "predicted_type")
     hit = F.col("predicted_type").isNotNull()
     return typed.withColumns(
         {
@@ -108,9 +129,7 @@ def classify_by_content(
     df: DataFrame, rule_set: RuleSet = rules.FULL_RULES, text: str = "text"
 ) -> DataFrame:
     """Add predicted_type, confidence and method from the text alone."""
-    scored = df.withColumn("_text_lower", F.lower(text)).withColumn(
-        "_best", best_score(keyword_scores(F.col("_text_lower"), rule_set.content))
-    )
+    scored = with_best_score(df.withColumn("_text_lower", F.lower(text)), "_text_lower", rule_set.content, "_best")
     scored = bind(scored.drop("_text_lower"), ["_best"])
     doc_type, confidence, method = _content_result(F.col("_best"), rule_set)
     return scored.withColumns(
@@ -130,21 +149,13 @@ def classify_with_rules(
     no model is asked) or `error` (blank text). The texts of documents that their file name
     or blankness decides are not searched.
     """
-    typed = (
-        df.withColumn("_blank", T.is_blank(F.coalesce(F.col(text), F.lit(""))))
-        .withColumn("_by_name", filename_type(F.lower(name), rule_set.filename))
-        .withColumn(
-            "_text_lower", F.when(~F.col("_blank") & F.col("_by_name").isNull(), F.lower(text))
-        )
-        .withColumn(
-            "_best",
-            F.when(
-                F.col("_text_lower").isNotNull(),
-                best_score(keyword_scores(F.col("_text_lower"), rule_set.content)),
-            ),
-        )
-        .drop("_text_lower")
+    typed = df.withColumns(
+        {"_blank": T.is_blank(F.coalesce(F.col(text), F.lit(""))), "_name_lower": F.lower(name)}
     )
+    typed = with_filename_type(typed, "_name_lower", rule_set.filename, "_by_name").drop("_name_lower")
+    open_ = ~F.col("_blank") & F.col("_by_name").isNull()
+    typed = typed.withColumn("_text_lower", F.when(open_, F.lower(text)))
+    typed = with_best_score(typed, "_text_lower", rule_set.content, "_best").drop("_text_lower")
     typed = bind(typed, ["_blank", "_by_name", "_best"])
     blank, by_name = F.col("_blank"), F.col("_by_name")
     doc_type, confidence, method = _content_result(F.col("_best"), rule_set)
