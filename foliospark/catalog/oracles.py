@@ -150,6 +150,20 @@ SELECT concat('Doc_', doc_id, regexp_extract(path, '[.][^.]*$')) AS document_nam
   CASE WHEN success THEN 'SUCCESS' ELSE 'FAILED' END AS status, '01_Ingestion' AS stage, '{RUN_TS}' AS run_ts
 FROM outcome ORDER BY path"""
 
+ORACLES["tracker_of_published_run"] = (
+    ORACLES["tracker_of_run"].replace(RUN_TS, "20240102_000000").replace("FROM outcome ORDER", "FROM outcome WHERE success ORDER")
+)
+
+ORACLES["listing_changes"] = f"""WITH {_PARTS},
+now_ AS (SELECT path, length, page_id % 4 AS modified, page_id FROM parts WHERE extension IN ({SUFFIXES})),
+last_ AS (SELECT CASE WHEN page_id % 11 = 5 THEN path || '.old' ELSE path END AS path,
+    page_id % 5 <> 0 AND page_id % 13 <> 2 AS same, concat('run_', page_id % 3) AS text_run
+  FROM now_ WHERE page_id % 7 <> 3)
+SELECT coalesce(n.path, l.path) AS path,
+  CASE WHEN n.path IS NULL THEN 'gone' WHEN l.path IS NULL THEN 'new' WHEN same THEN 'unchanged' ELSE 'changed' END AS change,
+  CASE WHEN n.path IS NOT NULL AND same THEN text_run END AS text_run
+FROM now_ n FULL JOIN last_ l ON n.path = l.path"""
+
 ORACLES["latest_run_per_stage"] = """SELECT event_type AS stage,
   max(strftime(ts, '%Y%m%d_%H%M%S')) AS run_ts FROM events WHERE value > 20 GROUP BY event_type"""
 

@@ -222,6 +222,33 @@ def tracker_of_run(spark, sf):
     return RUN.tracker_rows(runs, "01_Ingestion", RUN_TS)
 
 
+@query
+def tracker_of_published_run(spark, sf):
+    """The latest run that was published; a later one has rows, but was never finished."""
+    documents = G.ingestion_tracker(_outcome(spark, sf))
+    stages_ = {"20240102_000000": "SUCCESS", "20240103_000000": "FAILED"}
+    runs = [K.with_run(documents.where(F.col("status") == s), "01_Ingestion", ts) for ts, s in stages_.items()]
+    finished = X.runs(spark, sf).select("stage", "run_ts").unionByName(
+        X.table(spark, sf, "region").selectExpr("'01_Ingestion' AS stage", "concat('2024010', r_regionkey % 3, '_000000') AS run_ts")
+    )
+    return RUN.tracker_rows(runs[0].unionByName(runs[1]), "01_Ingestion", published=finished)
+
+
+@query
+def listing_changes(spark, sf):
+    """What a rerun has to read: new, changed, unchanged and gone documents against the last run."""
+    listing = G.discover_documents(X.page_listing(spark, sf)).select(
+        "path", F.col("path").alias("source"), "length", (F.col("page_id") % 4).alias("modified"), "page_id"
+    )
+    last = listing.where("page_id % 7 <> 3").withColumns({
+        "path": F.when(F.col("page_id") % 11 == 5, F.concat("path", F.lit(".old"))).otherwise(F.col("path")),
+        "length": F.when(F.col("page_id") % 5 == 0, F.col("length") + 1).otherwise(F.col("length")),
+        "modified": F.when(F.col("page_id") % 13 == 2, None).otherwise(F.col("modified")),
+        "text_run": F.concat(F.lit("run_"), F.col("page_id") % 3),
+    }).drop("page_id")
+    return G.listing_changes(listing.drop("page_id"), last).select("path", "change", "text_run")
+
+
 @query
 def latest_run_per_stage(spark, sf):
     return RUN.latest_runs(X.runs(spark, sf), "has_text")

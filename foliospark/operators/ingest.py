@@ -99,16 +99,37 @@ def reuse_index(listing: DataFrame, root: str | None = "root") -> DataFrame:
 
 
 def with_reused_path(documents: DataFrame, listing: DataFrame, root: str | None = "root") -> DataFrame:
-    """Add reused_path and reused_length: the already extracted text of each document, by the
-    listing alone. A popular stem is spread over sub-keys."""
+    """Add reused_path, reused_length and, where the listing has it, reused_modified: the already
+    extracted text of each document, by the listing alone. A popular stem is spread over sub-keys."""
     key = ["root", "stem_key"] if root else ["stem_key"]
+    told = [c for c in ("length", "modified") if c in listing.columns]
     index = _reuse_index(listing, root).agg(
-        F.max("path").alias("reused_path"), F.max_by("length", "path").alias("reused_length")
+        F.max("path").alias("reused_path"), *(F.max_by(c, "path").alias(f"reused_{c}") for c in told)
     )
     docs = documents.withColumn("stem_key", F.lower(T.stem(T.file_name(F.col("path")))))
     return lookup_join(docs, index, key, ["path"]).drop("stem_key")
 
 
+def listing_changes(listing: DataFrame, previous: DataFrame, told: Sequence[str] = ("source", "length", "modified")) -> DataFrame:
+    """`listing` (path and `told`) with `change`: new, changed or unchanged against `previous` (path,
+    `told` and more), whose other columns come along, and rows of gone documents, with the path only.
+
+    Paths are unique on either side. NULLs are values like others.
+    """
+    more = [c for c in previous.columns if c not in ("path", *told)]
+    before = previous.select(F.col("path").alias("_path"), *(F.col(c).alias(f"_{c}") for c in told), *more)
+    now = listing.drop(*more)
+    same = F.lit(True)
+    for c in told:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    change = (
+        F.when(F.col("path").isNull(), "gone").when(F.col("_path").isNull(), "new").when(same, "unchanged").otherwise("changed")
+    )
+    joined = now.join(before, F.col("path") == F.col("_path"), "full").withColumn("change", change)
+    carried = [F.when(F.col("change") == "unchanged", F.col(c)).alias(c) for c in more]
+    return joined.select(F.coalesce("path", "_path").alias("path"), *(c for c in now.columns if c != "path"), *carried, "change")
+
+
 def attach_reused_text(
     documents: DataFrame,
     reuse_texts: DataFrame,

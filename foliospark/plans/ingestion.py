@@ -47,17 +47,20 @@ def chosen_documents(
     max_size_mb: float | None = rules.MAX_FILE_SIZE_MB,
     reuse: bool = True,
 ) -> DataFrame:
-    """(root, path, method, source, length): which documents are read, and from which file.
+    """(root, path, method, source, length, modified): which documents are read, and from which file.
 
     All is decided on the listing: the limit, and the already extracted text that takes the place
     of a document's own. `source` is NULL for documents that some extractor has to read.
     """
+    if "modified" not in listing.columns:
+        listing = listing.withColumn("modified", F.lit(None).cast("timestamp"))
     found = G.limit_documents(G.discover_documents(listing, max_size_mb=max_size_mb), max_docs)
     routed = found.withColumn("method", G.extractor_route(F.col("extension")))
     if reuse:
         routed = G.with_reused_path(routed, listing)
     else:
-        routed = routed.withColumns({"reused_path": F.lit(None).cast("string"), "reused_length": F.lit(0)})
+        nothing = {"path": "string", "length": "long", "modified": "timestamp"}
+        routed = routed.withColumns({f"reused_{c}": F.lit(None).cast(t) for c, t in nothing.items()})
     reused = F.col("reused_path").isNotNull()
     return routed.select(
         "root",
@@ -65,22 +68,32 @@ def chosen_documents(
         F.when(reused, "reused").otherwise(F.col("method")).alias("method"),
         F.coalesce("reused_path", F.when(F.col("method") == "text", F.col("path"))).alias("source"),
         F.when(reused, F.col("reused_length")).otherwise(F.col("length")).alias("length"),
+        F.when(reused, F.col("reused_modified")).otherwise(F.col("modified")).alias("modified"),
     )
 
 
 def read_documents(chosen: DataFrame, **how) -> DataFrame:
-    """(root, path, method, text, error) of the chosen documents that have a `source`; only those
-    files are opened (see `sources.contents`). `method` is NULL where reading failed."""
+    """The chosen documents that have a `source`, with text and error; only those files are opened
+    (see `sources.contents`). `method` is NULL where reading failed."""
     read = contents.read_contents(chosen.where("source IS NOT NULL"), source="source", **how)
     return read.select(
-        "root",
-        "path",
+        *(c for c in chosen.columns if c != "method"),
         F.when(F.col("read_error").isNull(), F.col("method")).alias("method"),
         files.decode_text(F.col("content")).alias("text"),
         F.col("read_error").alias("error"),
     )
 
 
+def chosen_outcome(chosen: DataFrame, extracted: DataFrame | None = None, **how) -> DataFrame:
+    """Outcome of chosen documents: text from the file that `source` names, or from `extracted` (path,
+    text and, optionally, ocr_pages and error). Texts that are read are not shuffled."""
+    if extracted is None:
+        extracted = chosen.sparkSession.createDataFrame([], "path STRING, text STRING")
+    extra = [c for c in ("ocr_pages", "error") if c in extracted.columns]
+    made = chosen.where("source IS NULL").join(extracted.select("path", "text", *extra), "path", "left")
+    return G.ingestion_outcome(read_documents(chosen, **how).unionByName(made, allowMissingColumns=True))
+
+
 def ingest_files(
     spark: SparkSession,
     roots: Sequence[str],
@@ -97,9 +110,4 @@ def ingest_files(
     Texts are not shuffled. `how` goes to `sources.contents.read_contents`.
     """
     chosen = chosen_documents(files.list_files(spark, roots), max_docs, max_size_mb, reuse)
-    others = chosen.where("source IS NULL").select("root", "path", "method")
-    if extracted is None:
-        extracted = spark.createDataFrame([], "path STRING, text STRING")
-    extra = [c for c in ("ocr_pages", "error") if c in extracted.columns]
-    made = others.join(extracted.select("path", "text", *extra), "path", "left")
-    return G.ingestion_outcome(read_documents(chosen, **how).unionByName(made, allowMissingColumns=True))
+    return chosen_outcome(chosen, extracted, **how).drop("source", "length", "modified")

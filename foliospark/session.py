@@ -39,6 +39,12 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints").rstrip("/")
 
 
+def make_folder(spark: SparkSession, folder: str) -> None:
+    """Make a folder, in any store that Spark writes to, if it is not there yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))

@@ -6,13 +6,18 @@ is independent of the others.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.operators.extract import extraction_summary_rows
 from foliospark.operators.skew import lookup_join
 from foliospark.functions.text import folder_safe
 
+#: Folder of the finished runs below a stage table; Spark skips it when it reads the table.
+PUBLISHED = "_published"
+
 
 def with_run(df: DataFrame, stage: str, run_ts: str) -> DataFrame:
     return df.withColumns({"stage": F.lit(stage), "run_ts": F.lit(run_ts)})
@@ -25,6 +30,22 @@ def write_stage(df: DataFrame, path: str, stage: str, run_ts: str) -> None:
     df.drop("stage", "run_ts").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
 
 
+def publish_run(spark: SparkSession, path: str, stage: str, run_ts: str, **facts: object) -> None:
+    """Say that a run of the table at `path` is finished: one row (stage, run_ts, facts as JSON text)
+    beside the table, written last. A run without it is never taken for the latest."""
+    row = spark.createDataFrame([(json.dumps(facts, default=str),)], "facts STRING")
+    write_stage(row.coalesce(1), f"{path}/{PUBLISHED}", stage, run_ts)
+
+
+def write_run(df: DataFrame, path: str, stage: str, run_ts: str) -> int:
+    """Write one run of one stage and publish it, with the number of its rows, which is counted in the
+    same pass. Whatever fails before the end leaves a run that no reader sees."""
+    seen = Observation()
+    write_stage(df.observe(seen, F.count(F.lit(1)).alias("n")), path, stage, run_ts)
+    publish_run(df.sparkSession, path, stage, run_ts, rows=seen.get["n"])
+    return seen.get["n"]
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(header=True, escape='"').csv(path)
 

@@ -50,16 +50,16 @@ def _spelled(root: str) -> str:
 
 
 def list_files(spark: SparkSession, roots: Sequence[str], glob: str | None = None) -> DataFrame:
-    """Listing (root, path, length, root_ord) of all files below the roots; contents are not read.
+    """Listing (root, path, length, modified, root_ord) of all files below the roots; contents are not read.
 
     Missing roots are skipped. `glob="*.pdf"` restricts the listing to one kind of file.
     """
     found = [(r, _scan(spark, r, glob)) for r in roots]
     listings = [
-        _with_root(scan, r).select("root", "path", "length") for r, scan in found if scan is not None
+        _with_root(scan, r).select("root", "path", "length", F.col("modificationTime").alias("modified")) for r, scan in found if scan is not None
     ]
     if not listings:
-        return spark.createDataFrame([], schemas.LISTING + ", root_ord INT")
+        return spark.createDataFrame([], schemas.LISTING + ", modified TIMESTAMP, root_ord INT")
     return union_roots(listings)
 
 
