@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from foliospark import rules
 from foliospark.functions import dates as D
+from foliospark.functions import exact as X
 from foliospark.functions import money as M
 from foliospark.functions import text as T
 from foliospark.functions.binding import bind
@@ -134,29 +135,46 @@ def unparsable_dates(records: DataFrame) -> DataFrame:
     )
 
 
-def vendor_net_spend(records: DataFrame) -> DataFrame:
-    """Spend per vendor, credit notes subtracted, largest first.
-
-    Every amount above zero counts. Sums are exact decimals; amounts too large or too fine for
-    them are added as doubles.
-    """
+def _spend_amounts(records: DataFrame) -> DataFrame:
+    """(vendor_name, _sign, _exact, _rest) of the records whose amount counts: the amount as a decimal,
+    or, where that does not hold it, as a double."""
     total = F.col("total_amount")
     sign = F.when(F.col("document_type") == "credit_note", -1).otherwise(1)
-    exact, rest = F.sum(F.col("_exact") * F.col("_sign")), F.sum(F.col("_rest") * F.col("_sign"))
-    spend = F.when(rest.isNull(), F.round(exact, 2).cast("double")).otherwise(
-        F.round(F.coalesce(exact.cast("double"), F.lit(0.0)) + rest, 2)
-    )
     amounts = records.where(F.col("document_type").isin(*rules.SPEND_TYPES) & succeeded()).select(
         "vendor_name",
         sign.alias("_sign"),
         M.parse_money(total).alias("_amount"),
         M.parse_money_exact(total).alias("_exact"),
     )
+    kept = amounts.where((F.coalesce("vendor_name", F.lit("")) != "") & (F.col("_amount") > 0))
+    return kept.withColumn("_rest", F.when(F.col("_exact").isNull(), F.col("_amount")))
+
+
+def vendor_net_spend(records: DataFrame) -> DataFrame:
+    """Spend per vendor, credit notes subtracted, largest first.
+
+    Every amount above zero counts. Sums are exact, whatever the order of the rows: decimals, and
+    for amounts too large or too fine for them, limbs of doubles (see `functions.exact`).
+    """
+    nothing = F.array(F.lit(None).cast(X.LIMB))
+    limbs = F.when(F.col("_rest").isNull(), nothing).otherwise(
+        F.array_append(X.limbs_of(F.col("_rest") * F.col("_sign")), F.lit(None).cast(X.LIMB))
+    )
+    # one row for the amount itself, which is counted, and one for each limb
+    rows = _spend_amounts(records).select("vendor_name", (F.col("_exact") * F.col("_sign")).alias("_exact"), F.explode(limbs).alias("_l"))
+    sums = rows.groupBy("vendor_name", F.col("_l.place").alias("place")).agg(
+        F.sum("_l.limb").alias("limb"),
+        F.sum(F.when(F.col("_l").isNull(), F.col("_exact"))).alias("_exact"),
+        F.count_if(F.col("_l").isNull()).alias("_n"),
+    )
+    rest = F.collect_list(F.when(F.col("place").isNotNull(), F.struct("place", "limb")))
+    exact = F.sum("_exact")
+    spend = F.when(F.size(rest) == 0, F.round(exact, 2).cast("double")).otherwise(
+        F.round(F.coalesce(exact.cast("double"), F.lit(0.0)) + X.from_limbs(rest), 2)
+    )
     return (
-        amounts.where((F.coalesce("vendor_name", F.lit("")) != "") & (F.col("_amount") > 0))
-        .withColumn("_rest", F.when(F.col("_exact").isNull(), F.col("_amount")))
-        .groupBy("vendor_name")
-        .agg(spend.alias("net_spend"), F.count(F.lit(1)).alias("doc_count"))
+        sums.groupBy("vendor_name")
+        .agg(spend.alias("net_spend"), F.sum("_n").alias("doc_count"))
         .orderBy(F.desc("net_spend"), "vendor_name")
     )
 
