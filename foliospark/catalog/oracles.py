@@ -724,6 +724,8 @@ SELECT facts, concat({text(R.SUMMARY_INSTRUCTION)}, facts) AS request FROM facts
 
 # --- scalar functions -------------------------------------------------------------------
 
+ORACLES["date_among_words"] = f"""SELECT o_orderkey, CASE WHEN o_orderkey % 8 < 7 THEN {X.DAY} END AS day FROM orders"""
+
 ORACLES["date_normalize"] = f"""SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 6 THEN NULL ELSE {X.DAY} END AS day FROM orders"""
 
 
@@ -763,3 +765,8 @@ SELECT path, document_name_stem, predicted_type, folder FROM manifest"""
 ORACLES["organize_summary"] = f"""WITH {_MANIFEST}, there AS (SELECT {X.PAGE_PATH} AS path FROM pages WHERE NOT contains(url, '#'))
 SELECT CAST(count(*) FILTER (path IN (SELECT path FROM there)) AS BIGINT) AS copied,
   CAST(count(*) FILTER (path NOT IN (SELECT path FROM there)) AS BIGINT) AS failed FROM manifest"""
+
+ORACLES["files_by_bytes"] = """SELECT source, CAST(count(*) AS BIGINT) AS documents,
+  CAST(sum(coalesce(strlen(text), 0) + coalesce(strlen(lang), 0) + coalesce(strlen(source), 0) + 16) AS BIGINT) AS bytes,
+  true AS none_too_large, true AS none_too_many
+FROM documents GROUP BY source"""

@@ -716,6 +716,23 @@ def date_normalize(spark, sf):
     )
 
 
+@query
+def date_among_words(spark, sf):
+    """Order dates with weekdays, ordinals, times and words around them, and as week dates."""
+    d, m, y = "day(o_orderdate)", "month(o_orderdate)", "year(o_orderdate)"
+    ending = f"CASE WHEN {d} IN (1, 21, 31) THEN 'st' WHEN {d} IN (2, 22) THEN 'nd' WHEN {d} IN (3, 23) THEN 'rd' ELSE 'th' END"
+    weekday = "element_at(array('Monday','Tuesday','Wednesday','Thursday','Friday','Saturday','Sunday'), weekday(o_orderdate) + 1)"
+    week = "extract(YEAROFWEEK FROM o_orderdate), '-W', lpad(CAST(weekofyear(o_orderdate) AS STRING), 2, '0')"
+    text = f"""CASE o_orderkey % 8 WHEN 0 THEN concat({weekday}, ', ', {d}, ' ', {X._MON}, ' ', {y})
+      WHEN 1 THEN concat('the ', {d}, {ending}, ' of ', {X._MON}, ', ', {y}) WHEN 2 THEN concat('due on ', {X.DAY}, 'T10:30:00')
+      WHEN 3 THEN concat({week}, '-', weekday(o_orderdate) + 1) WHEN 4 THEN concat('(', {m}, '/', {d}, '/', {y}, ', 8:05 pm)')
+      WHEN 5 THEN concat({y}, ' ', {X._MON}, ' ', {d}) WHEN 6 THEN replace({X.DAY}, '-', '')
+      ELSE concat('order ', o_orderkey, ' of ', {d}, ' ', {X._MON}, ' ', {y}) END"""
+    return X.table(spark, sf, "orders").selectExpr("o_orderkey", f"{text} AS s").select(
+        "o_orderkey", D.loose_date(F.col("s"), X.THIS_YEAR).alias("day")
+    )
+
+
 @query
 def title_case(spark, sf):
     text = "concat('o''', upper(p_name), '-', lower(p_type), ' 3d & ', p_brand)"
@@ -779,3 +796,20 @@ def organize_summary(spark, sf):
         f"{X.PAGE_PATH} AS path"
     )
     return O.organize_summary(O.with_presence(_manifest(spark, sf), still_there))
+
+
+@query
+def files_by_bytes(spark, sf):
+    """How the documents of each source fill files of 64 kB: none beyond that and the row that fills
+    it, none but the first and last of a source below it."""
+    docs, limit = X.table(spark, sf, "documents"), 65536
+    packed = K.packed_by_bytes(docs, "source", limit).withColumn("bytes", K.row_bytes(docs))
+    files = packed.groupBy("source", "part").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"), F.max("bytes").alias("widest")
+    )
+    return files.groupBy("source").agg(
+        F.sum("n").alias("documents"),
+        F.sum("bytes").alias("bytes"),
+        F.bool_and(F.col("bytes") <= limit + F.col("widest")).alias("none_too_large"),
+        (F.count(F.lit(1)) <= F.ceil(F.sum("bytes") / limit) + 1).alias("none_too_many"),
+    )

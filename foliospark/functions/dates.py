@@ -53,13 +53,13 @@ def _month_number(word: Column) -> Column:
 
 def _full_year(y: Column, this_year: int) -> Column:
     """Two-digit years fall within fifty years of `this_year`."""
-    base = y.cast("int") + this_year // 100 * 100
+    base = y.try_cast("int") + this_year // 100 * 100
     near = (
         F.when(base >= this_year + 50, base - 100)
         .when(base < this_year - 50, base + 100)
         .otherwise(base)
     )
-    return F.when(F.length(y) > 2, y.cast("int")).otherwise(near)
+    return F.when(F.length(y) > 2, y.try_cast("int")).otherwise(near)
 
 
 def _date(year: Column, month: Column, day: Column) -> Column:
@@ -70,35 +70,88 @@ def _date(year: Column, month: Column, day: Column) -> Column:
     text = F.concat(
         F.lpad(year.cast("string"), 4, "0"), F.lit("-"), two(month), F.lit("-"), two(day)
     )
-    return text.try_cast("date").cast("string")
+    return F.when(year.try_cast("int").between(1, 9999), text.try_cast("date").cast("string"))
+
+
+_CLOCK = r"[0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:[.][0-9]+)?)?(?:\s*[ap][.]?m\b[.]?)?"
+_WEEK = r"(?<![0-9a-z])([0-9]{4})-?w([0-9]{2})(?:-?([1-7]))?(?![0-9a-z])"
+_TOKEN = "([0-9]+|[a-z]+)"
+
+
+def _week_date(year: Column, week: Column, day: Column) -> Column:
+    """The date of an ISO week and day, Monday if none is given; NULL if the year has no such week."""
+    fourth = F.make_date(year.cast("int"), F.lit(1), F.lit(4))  # always in week 1
+    monday = F.date_sub(fourth, F.weekday(fourth))
+    days = (week.cast("int") - 1) * 7 + F.coalesce(F.nullif(day, F.lit("")).cast("int"), F.lit(1)) - 1
+    there = F.date_add(monday, days)
+    # a date and its week have the year of the Thursday between them
+    thursday = F.date_add(there, 3 - F.weekday(there))
+    valid = (week.cast("int") >= 1) & (F.year(thursday) == year.cast("int"))
+    return F.when(valid, there.cast("string"))
+
+
+def _date_parts(c: Column) -> Column:
+    """Array of (text, month): numbers, and names of months, in order. All other words are passed
+    over, weekdays and endings of ordinals among them, and times of day. A run of eight digits
+    stands for year, month and day."""
+    plain = F.regexp_replace(F.lower(c), _CLOCK, " ")
+    plain = F.regexp_replace(plain, r"(?<![0-9])([0-9]{4})([0-9]{2})([0-9]{2})(?![0-9])", "$1 $2 $3")
+    tokens = F.regexp_extract_all(plain, F.lit(_TOKEN), F.lit(1))
+    parts = F.transform(
+        tokens,
+        lambda t: F.struct(
+            F.when(t < "a", t).alias("text"), F.when(t >= "a", _month_number(t)).alias("month")
+        ),
+    )
+    return F.filter(parts, lambda p: p["text"].isNotNull() | p["month"].isNotNull())
 
 
-_LAYOUTS = (
-    r"(?U)^(?:[0-9]{1,4}[/\-.][0-9]{1,2}[/\-.][0-9]{1,4}"
-    r"|[0-9]{1,2}\s[A-Za-z]+\s[0-9]{4}"
-    r"|[A-Za-z]+\s+[0-9]{1,2},?\s+[0-9]{4})$"
-)
+def _resolved(parts: Column, this_year: int) -> Column:
+    """The date that three parts make, by what each of them can be."""
+    a, b, c = (F.get(parts, F.lit(i)) for i in range(3))
 
+    def number(p: Column) -> Column:
+        return p["text"].try_cast("int")
 
-def loose_date(c: Column, this_year: int) -> Column:
-    """`YYYY-MM-DD` from day, month and year in any of the usual orders.
+    def year(p: Column) -> Column:
+        return _full_year(p["text"], this_year)
 
-    Month comes first unless that is impossible (`25/12/2024`); a four-digit or
-    larger-than-31 leading number is the year. `this_year` decides two-digit years.
-    """
-    def from_parts(parts: Column) -> Column:
-        a, b, z = (F.get(parts, i) for i in range(3))
-        first = a.cast("int")
-        return (  # letters sort after digits, so this asks for the month's name
-            F.when(a > "9~", _date(z, _month_number(a), b))
-            .when(b > "9~", _date(z, _month_number(b), a))
-            .when(first > 31, _date(_full_year(a, this_year), b, z))
-            .when(first > 12, _date(_full_year(z, this_year), b, a))
-            .otherwise(_date(_full_year(z, this_year), a, b))
+    def named(name: Column, one: Column, two: Column) -> Column:
+        """One of the numbers is the year: the one that can be no day, else the later."""
+        first = (F.length(one["text"]) > 2) | (number(one) > 31)
+        return F.when(first, _date(year(one), name["month"], number(two))).otherwise(
+            _date(year(two), name["month"], number(one))
         )
 
-    words = F.regexp_extract_all(c, F.lit("([0-9]+|[A-Za-z]+)"), F.lit(1))
-    return F.when(c.rlike(_LAYOUTS), let(words, from_parts))
+    months = F.size(F.filter(parts, lambda p: p["month"].isNotNull()))
+    numbers = (
+        F.when((number(a) > 31) | (F.length(a["text"]) > 2), _date(year(a), number(b), number(c)))
+        # the month comes first unless that is impossible
+        .when(number(a) > 12, _date(year(c), number(b), number(a)))
+        .otherwise(_date(year(c), number(a), number(b)))
+    )
+    return (
+        F.when(months == 0, numbers)
+        .when(months != 1, None)
+        .when(a["month"].isNotNull(), named(a, b, c))
+        .when(b["month"].isNotNull(), named(b, a, c))
+        .otherwise(named(c, a, b))
+    )
+
+
+def loose_date(c: Column, this_year: int) -> Column:
+    """`YYYY-MM-DD` of a date written in any usual way, with other words around it.
+
+    The text is split into numbers and words; names of months are read, other words are passed over,
+    so weekdays, ordinals (`the 5th of January, 2024`) and labels do no harm. Three parts make a
+    date: a year that is told by its length or size, else month first unless that is impossible
+    (`25/12/2024`). ISO weeks (`2024-W01-1`) are read as well. NULL where parts are missing, where
+    there are more than three, and where they are no date; `this_year` decides two-digit years.
+    """
+    week = F.split(F.regexp_replace(F.regexp_extract(F.lower(c), _WEEK, 0), _WEEK, "$1|$2|$3"), "[|]")
+    in_week = let(week, lambda w: _week_date(F.get(w, F.lit(0)), F.get(w, F.lit(1)), F.get(w, F.lit(2))))
+    three = let(_date_parts(c), lambda p: F.when(F.size(p) == 3, _resolved(p, this_year)))
+    return F.when(F.lower(c).rlike(_WEEK), in_week).otherwise(three)
 
 
 def compact_stamp(ts: Column) -> Column:

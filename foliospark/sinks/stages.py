@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.operators.extract import extraction_summary_rows
-from foliospark.operators.skew import lookup_join
+from foliospark.operators.skew import with_running
 from foliospark.functions.text import folder_safe
 
 #: Folder of the finished runs below a stage table; Spark skips it when it reads the table.
@@ -79,29 +79,47 @@ def write_report(tables: dict[str, DataFrame], path: str) -> list[str]:
     ]
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About what a row takes up before compression: its texts, and eight bytes for each other value."""
+    sizes = [
+        F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) if kind in ("string", "binary") else F.lit(8)
+        for c, kind in df.dtypes
+    ]
+    return sum(sizes[1:], sizes[0]).cast("bigint") if sizes else F.lit(1).cast("bigint")
+
+
+def packed_by_bytes(df: DataFrame, folder: str, bytes_per_file: int, name: str = "part") -> DataFrame:
+    """Add the number of the file of its folder that a row belongs to: files of a folder are filled one
+    after another, so that none holds more than `bytes_per_file` and the row that fills it.
+
+    Rows follow the hash of all their columns, whatever any one of them holds; the running sum over
+    them is taken in ranges (see `skew.with_running`), so a folder may hold any share of the rows.
+    """
+    hashed = df.withColumns({"_bytes": F.greatest(row_bytes(df), F.lit(1)), "_hash": F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))})
+    summed = with_running(hashed, [folder, "_hash"], F.col("_bytes"), "_upto")
+    # the running sum goes on from folder to folder, so a folder may begin amid a number
+    return summed.withColumn(name, F.floor((F.col("_upto") - 1) / F.lit(bytes_per_file))).drop("_bytes", "_hash", "_upto")
+
+
 def write_by_type(
     documents: DataFrame,
     path: str,
     run_ts: str,
     doc_type: Column | str = "predicted_type",
-    rows_per_file: int = 100_000,
+    bytes_per_file: int = 256 << 20,
 ) -> None:
     """Place documents in one folder per type below the folder of the run, replacing that run.
 
-    Rows are clustered by type and a hash bucket of the type's size, so a type has about one file
-    for each `rows_per_file` rows, and a large one is written by many tasks.
+    Below the folder of a type there is one file for each part of about `bytes_per_file` (texts as
+    they are, before compression), so a large type is written by many tasks and a file's size does
+    not depend on how long its documents are.
     """
     column = F.col(doc_type) if isinstance(doc_type, str) else doc_type
-    placed = documents.withColumn("folder", folder_safe(column))
-    sizes = placed.groupBy("folder").agg(F.count(F.lit(1)).alias("_n"))
-    sized = lookup_join(placed, sizes, ["folder"], documents.columns[:1])
-    bucket = F.pmod(F.xxhash64(documents.columns[0]), F.ceil(F.col("_n") / rows_per_file))
+    placed = packed_by_bytes(documents.withColumn("folder", folder_safe(column)), "folder", bytes_per_file)
     (
-        sized.repartition("folder", bucket)
-        .drop("_n")
+        placed.repartition("folder", "part")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
-        .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy("folder")
+        .partitionBy("folder", "part")
         .parquet(f"{path}/run_ts={run_ts}")
     )

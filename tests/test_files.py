@@ -196,10 +196,28 @@ def test_organize(spark, tmp_path):
     K.write_by_type(manifest.withColumn("predicted_type", F.lit("invoice")), placed, "r1")
     assert os.listdir(f"{placed}/run_ts=r1").count("folder=invoice") == 1
     assert spark.read.parquet(placed).count() == 2 and not os.path.isdir(f"{placed}/run_ts=r1/folder=a_b_c")
-    many = spark.range(1000).select(F.col("id").alias("path"), F.lit("big").alias("predicted_type"))
-    K.write_by_type(many, placed, "r2", rows_per_file=100)
-    files = [f for f in os.listdir(f"{placed}/run_ts=r2/folder=big") if f.endswith(".parquet")]
-    assert 5 <= len(files) <= 20
+
+
+def test_files_are_filled_by_bytes(spark, tmp_path):
+    """Whatever the first column holds, and however unlike the lengths of texts are."""
+    many = spark.range(3000).select(
+        F.lit("same").alias("constant"), F.col("id").alias("path"),
+        F.expr("repeat('x', CAST(CASE WHEN id % 300 = 0 THEN 50000 ELSE id % 400 END AS INT))").alias("text"),
+        F.when(F.col("id") % 10 < 8, "big").when(F.col("id") % 10 < 9, "small").alias("predicted_type"),
+    )
+    limit = 100_000
+    packed = K.packed_by_bytes(many, "predicted_type", limit).withColumn("bytes", K.row_bytes(many))
+    files = packed.groupBy("predicted_type", "part").agg(F.sum("bytes").alias("bytes"), F.max("bytes").alias("widest")).collect()
+    assert all(f.bytes <= limit + f.widest for f in files)
+    total = packed.agg(F.sum("bytes")).first()[0]
+    assert total / limit <= len(files) <= total / limit + 4
+    K.write_by_type(many, str(tmp_path / "placed"), "r1", bytes_per_file=limit)
+    back = spark.read.parquet(str(tmp_path / "placed"))
+    assert back.count() == 3000 and back.where("folder = 'big'").count() == 2400
+    for f in files:  # one file for each part
+        if f.predicted_type:
+            folder = tmp_path / "placed" / "run_ts=r1" / f"folder={f.predicted_type}" / f"part={f.part}"
+            assert len([x for x in os.listdir(folder) if x.endswith(".parquet")]) == 1
 
 
 def test_stage_reruns(spark, tmp_path):

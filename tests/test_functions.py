@@ -126,6 +126,26 @@ def test_loose_date(spark):
     assert dict(zip(cases, got)) == cases
 
 
+def test_dates_among_words(spark):
+    cases = {
+        "Friday, 5 Jan 2024": "2024-01-05", "the 5th of January, 2024": "2024-01-05", "2nd Feb. 2024": "2024-02-02",
+        "January 5th 2024 at 10:30 p.m.": "2024-01-05", "issued 2024-01-05T10:30:00": "2024-01-05", "due: 20240105": "2024-01-05",
+        "12 2024 Feb": "2024-02-12", "2024 5 Mar": "2024-03-05", "Dec 24 '99": "1999-12-24", "Sun 03.04.24 8:05": "2024-03-04",
+        "25.12.2024 (Wed)": "2024-12-25", "Invoice 55 of 5 Jan 2024": None, "Jan 2024": None, "5/6": None, "": None, None: None,
+        "words only": None, "5 Jan 2024 or 6 Jan 2024": None, "99999999999999 1 2": None, "1 2 99999999999": None,
+        "2024-W01-1": "2024-01-01", "week 2020w537": "2021-01-03", "2024-w10": "2024-03-04", "2021-W53-1": None, "2024-W00-1": None,
+        "2020-W53-7 (Sunday)": "2021-01-03", "2024-W54": None,
+    }
+    got = evaluate(spark, list(cases), lambda c: D.loose_date(c, 2024))
+    assert dict(zip(cases, got)) == cases
+
+
+def test_week_dates_equal_the_calendar(spark):
+    days = [datetime.date(1999, 1, 1) + datetime.timedelta(days=13 * i) for i in range(1200)]
+    texts = ["{}-W{:02}-{}".format(*d.isocalendar()) for d in days]
+    assert evaluate(spark, texts, lambda c: D.loose_date(c, 2024)) == [d.isoformat() for d in days]
+
+
 TOKENS = [
     "invoice", "INVOICE", "no", "number", "num", "#", ".", "-", "_", " ", "\n", "total", "balance",
     "amount", "due", "date", "vat", "registration", "$", "1,234.50", "7.00", "2024-05-06", "3/4/24",
