@@ -594,7 +594,7 @@ SELECT c.description, c.quantity, c.unit_price,
 FROM valid v JOIN checked c ON v.doc_id = c.doc_id WHERE v.passed AND q_ok AND p_ok"""
 
 ORACLES["consolidation_summary"] = f"""WITH {_CONF}
-SELECT CAST(count(*) AS BIGINT) AS total_files_found,
+SELECT '{X.TODAY.replace(" ", "T")}' AS processing_time, CAST(count(*) AS BIGINT) AS total_files_found,
   CAST(count(*) FILTER (NOT credit AND overall >= 0.5) AS BIGINT) AS total_files_processed,
   (SELECT CAST(count(*) FILTER (passed) AS BIGINT) FROM valid) AS successful_invoices,
   (SELECT CAST(count(*) FILTER (NOT passed) AS BIGINT) FROM valid) AS failed_or_skipped_invoices,

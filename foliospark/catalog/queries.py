@@ -584,7 +584,8 @@ def consolidated_line_items(spark, sf):
 
 @query
 def consolidation_summary(spark, sf):
-    return R.consolidation_summary(PI.invoice_outcomes(X.invoice_texts(spark, sf), X.THIS_YEAR))
+    outcomes = PI.invoice_outcomes(X.invoice_texts(spark, sf), X.THIS_YEAR)
+    return R.consolidation_summary(outcomes, F.lit(X.TODAY).cast("timestamp_ntz"))
 
 
 # --- joins between stages ---------------------------------------------------------------

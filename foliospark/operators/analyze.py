@@ -28,26 +28,35 @@ def succeeded(status: str = "extraction_status") -> Column:
     return F.coalesce(F.col(status).startswith("success"), F.lit(False))
 
 
+def _fingerprint() -> dict[str, Column]:
+    """What invoices are compared by: vendor and number without case and outer blanks, and amount."""
+    def clean(name: str) -> Column:
+        return F.lower(T.strip(F.col(name)))
+
+    return {
+        "vendor_name": clean("vendor_name"),
+        "invoice_number": clean("invoice_number"),
+        "amount": M.parse_money(F.col("total_amount")),
+    }
+
+
+def _is_invoice() -> Column:
+    return (F.col("document_type") == "invoice") & succeeded()
+
+
+def _usable(key: dict[str, Column]) -> Column:
+    return (key["vendor_name"] != "unknown") & (key["invoice_number"] != "unknown") & (key["amount"] > 0)
+
+
 def invoice_fingerprints(records: DataFrame) -> DataFrame:
     """Successful invoices with a usable fingerprint: known vendor and number, amount > 0.
 
     Vendor and number are compared without case and outer blanks.
     """
-    def clean(name: str) -> Column:
-        return F.lower(T.strip(F.col(name)))
-
-    keyed = records.where((F.col("document_type") == "invoice") & succeeded()).select(
-        "doc_id",
-        "document_name",
-        clean("vendor_name").alias("vendor_name"),
-        clean("invoice_number").alias("invoice_number"),
-        M.parse_money(F.col("total_amount")).alias("amount"),
-    )
-    return bind(keyed, list(GROUP_KEYS)).where(
-        (F.col("vendor_name") != "unknown")
-        & (F.col("invoice_number") != "unknown")
-        & (F.col("amount") > 0)
+    keyed = records.where(_is_invoice()).select(
+        "doc_id", "document_name", *(c.alias(name) for name, c in _fingerprint().items())
     )
+    return bind(keyed, list(GROUP_KEYS)).where(_usable({k: F.col(k) for k in GROUP_KEYS}))
 
 
 def duplicate_groups(records: DataFrame) -> DataFrame:
@@ -249,12 +258,52 @@ def finding_counts(
     days: int = rules.CONTRACT_EXPIRY_DAYS,
     quality_rules: Sequence[QualityRule] = QUALITY_RULES,
 ) -> DataFrame:
-    """One row: how many contracts expire and how many flags are raised, in one pass."""
+    """One row: duplicates (groups of them), expiring contracts, flags and vendors with spend, from one
+    pass over the records.
+
+    Each record lists what it counts for, with the key it counts by; keys are combined before they
+    are shuffled, so a popular one costs one row per task.
+    """
     left = D.days_between(F.lit(as_of).cast("timestamp_ntz"), D.iso_timestamp(F.col("termination_date")))
     contract = (
         (F.col("document_type") == "contract") & succeeded() & (F.coalesce("termination_date", F.lit("")) != "")
     )
-    return records.agg(
-        F.count_if(F.when(contract, left.between(0, days))).alias("expiring"),
-        F.coalesce(F.sum(F.size(_flags(quality_rules))), F.lit(0)).cast("bigint").alias("flags"),
+    spender = (
+        F.col("document_type").isin(*rules.SPEND_TYPES) & succeeded() & (F.coalesce("vendor_name", F.lit("")) != "")
+    )
+    key = _fingerprint()
+    seen = records.select(
+        "vendor_name",
+        F.when(_is_invoice(), F.struct(*(c.alias(name) for name, c in key.items()))).alias("_print"),
+        (spender & (key["amount"] > 0)).alias("_spends"),
+        F.when(contract, left.between(0, days)).alias("_expires"),
+        F.size(_flags(quality_rules)).alias("_flags"),
+    )
+    seen = bind(seen, ["_print", "_spends", "_expires", "_flags"])
+    usable = _usable({k: F.col("_print")[k] for k in GROUP_KEYS})
+    nothing = F.lit(None).cast(seen.schema["_print"].dataType)
+    name = F.lit(None).cast("string")
+
+    def entry(kind: str, fingerprint: Column, vendor: Column, value: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), fingerprint.alias("print"), vendor.alias("vendor"), value.cast("bigint").alias("value")
+        )
+
+    entries = F.array(
+        F.when(usable, entry("duplicates", F.col("_print"), name, F.lit(1))),
+        F.when(F.col("_spends"), entry("vendors", nothing, F.col("vendor_name"), F.lit(1))),
+        F.when(F.col("_expires"), entry("expiring", nothing, name, F.lit(1))),
+        F.when(F.col("_flags") > 0, entry("flags", nothing, name, F.col("_flags"))),
+    )
+    by_key = (
+        seen.select(F.inline(F.array_compact(entries)))
+        .groupBy("kind", "print", "vendor")
+        .agg(F.sum("value").alias("value"))
+    )
+    kind, value = F.col("kind"), F.col("value")
+    return by_key.agg(
+        F.count_if((kind == "duplicates") & (value > 1)).alias("duplicates"),
+        F.coalesce(F.sum(F.when(kind == "expiring", value)), F.lit(0)).alias("expiring"),
+        F.coalesce(F.sum(F.when(kind == "flags", value)), F.lit(0)).alias("flags"),
+        F.count_if(kind == "vendors").alias("vendors"),
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,15 +98,19 @@ def classify_route_counts(classified: DataFrame) -> DataFrame:
     return counts_by(classified, "status", "docs")
 
 
-def consolidation_summary(outcomes: DataFrame) -> DataFrame:
-    """One row of counters over `outcome` (see `plans.invoices.invoice_outcomes`).
+def consolidation_summary(outcomes: DataFrame, processing_time: Column | None = None) -> DataFrame:
+    """One row: when it was processed (ISO text; the present by default), and counters over `outcome`
+    (see `plans.invoices.invoice_outcomes`).
 
     Documents that never reached validation are counted on their own.
     """
+    at = F.current_timestamp() if processing_time is None else processing_time
+
     def count(*values: str) -> Column:
         return F.count_if(F.col("outcome").isin(*values))
 
     return outcomes.agg(
+        iso_stamp(at).alias("processing_time"),
         F.count(F.lit(1)).alias("total_files_found"),
         count("valid", "invalid").alias("total_files_processed"),
         count("valid").alias("successful_invoices"),
@@ -132,19 +134,9 @@ def top_vendor(spend: DataFrame) -> DataFrame:
 def dashboard_kpis(
     records: DataFrame, as_of: str, labels: dict[str, str] | None = None
 ) -> DataFrame:
-    """Four (metric, value) rows, counted where the data are: groups, findings and vendors take one
-    pass each."""
+    """Four (metric, value) rows, counted where the data are, in one pass over the records."""
     labels = labels or rules.KPI_LABELS
-    count = F.count(F.lit(1)).alias("value")
-    found = A.finding_counts(records, as_of)
-    both = F.map_from_entries(
-        F.array(*(F.struct(F.lit(k).alias("k"), F.col(k).alias("v")) for k in ("expiring", "flags")))
+    entries = F.array(
+        *(F.struct(F.lit(label).alias("metric"), F.col(k).alias("value")) for k, label in labels.items())
     )
-    rows = [
-        A.duplicate_groups(records).agg(count).select(F.lit("duplicates").alias("k"), "value"),
-        found.select(F.explode(both).alias("k", "value")),
-        A.vendor_net_spend(records).agg(count).select(F.lit("vendors").alias("k"), "value"),
-    ]
-    counts = reduce(DataFrame.unionByName, rows).where(F.col("k").isin(*labels))
-    names = F.create_map(*(F.lit(x) for pair in labels.items() for x in pair))
-    return counts.select(F.element_at(names, F.col("k")).alias("metric"), "value")
+    return A.finding_counts(records, as_of).select(F.inline(entries))

@@ -35,9 +35,42 @@ def extract_records(classified_texts: DataFrame, answers: DataFrame) -> DataFram
     the latest counts (see `latest_answers`). Texts end where the patterns have read them: the
     join with the answers sees whether there was one.
     """
-    ruled = E.with_has_text(E.extract_fields(classified_texts)).drop("text")
+    return _merged(E.with_has_text(E.extract_fields(classified_texts)).drop("text"), answers)
+
+
+def _merged(slim: DataFrame, answers: DataFrame) -> DataFrame:
+    """Status and merged fields of rows whose patterns have been read; no texts any more."""
     renamed = C.latest_answers(answers, "doc_id").withColumnRenamed("error", "response_error")
-    return E.merge_gap_fill(E.extraction_status(ruled.join(renamed, "doc_id", "left")))
+    return E.merge_gap_fill(E.extraction_status(slim.join(renamed, "doc_id", "left")))
+
+
+def records_of_texts(
+    texts: DataFrame,
+    type_answers: DataFrame,
+    field_answers: DataFrame,
+    rule_set: RuleSet = rules.FULL_RULES,
+    patterns: E.Patterns = rules.FIELD_PATTERNS,
+    origin: str = "llm",
+) -> DataFrame:
+    """`classify_documents` and then `extract_records` over (doc_id, document_name, file_name, text),
+    in one pass over the texts and without moving them.
+
+    A document that the rules leave open gets its type from an answer, by a join. Its patterns are
+    read before that, for each type that has patterns, and the join picks the row of the type that
+    was answered: what is shuffled is slim.
+    """
+    kinds = list(patterns)
+    open_, answered = F.col("status") == "unresolved", F.col("predicted_type")
+    none = F.lit(None).cast("string")
+    candidates = F.when(open_, F.array(none, *(F.lit(k) for k in kinds))).otherwise(F.array("predicted_type"))
+    ruled = C.classify_with_rules(texts, rule_set).withColumn("document_type", F.explode(candidates))
+    slim = E.with_has_text(E.extract_fields(ruled, patterns)).drop("text", "file_name")
+    typed = C.apply_fallback(slim, type_answers, origin=origin)
+    # of an open document, the row of its type, or the one without patterns
+    wanted = F.when(answered.isin(*kinds), answered)
+    chosen = typed.where(~open_ | F.col("document_type").eqNullSafe(wanted))
+    chosen = chosen.withColumn("document_type", answered).drop("status", *C.RESULT_COLUMNS)
+    return _merged(chosen, field_answers)
 
 
 def analyze_records(records: DataFrame, as_of: str) -> dict[str, DataFrame]:

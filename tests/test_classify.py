@@ -1,8 +1,11 @@
+import re
+
 from pyspark.sql import functions as F
 
 from foliospark import rules
 from foliospark.operators import classify as C
-from foliospark.plans.staged import classify_documents
+from foliospark.operators import extract as E
+from foliospark.plans.staged import classify_documents, extract_records, records_of_texts
 
 FIELDS = ("status", "predicted_type", "confidence", "method")
 
@@ -117,3 +120,36 @@ def test_rules_accept_a_stream(spark, tmp_path):
     q.awaitTermination()
     got = {r.doc_id: r.predicted_type for r in spark.table("typed_docs").collect()}
     assert got == {1: "invoice", 2: "bill_of_lading"}
+
+
+def _flow_inputs(spark):
+    words = ["Invoice no: INV-77777", "total due 12.50", "receipt 01/02/2024", "nothing at all", "shipper", "vat 4123456789", ""]
+    rows = [(i, f"d{i}", ["a.txt", "invoice.txt", "receipt 1.txt", None][i % 4], " ".join(words[i % 7 : i % 7 + 1 + i % 3])) for i in range(60)]
+    rows.append((60, "none", "x.txt", None))
+    texts = spark.createDataFrame(rows, "doc_id INT, document_name STRING, file_name STRING, text STRING")
+    kinds = ["invoice", "Receipt", "Letter", "contract", None]
+    answers = [(i, None if i % 6 == 5 else f'{{"predicted_type":"{kinds[i % 5]}","confidence":0.5}}') for i in range(0, 60, 1) if i % 9]
+    fields = [(i, f'{{"vendor_name":"V{i}","total_amount":"{i}.5"}}') for i in range(0, 60, 2)]
+    shape = "doc_id INT, response STRING"
+    return texts, spark.createDataFrame(answers, shape), spark.createDataFrame(fields, shape)
+
+
+def test_records_of_texts_equal_the_stages_one_by_one(spark):
+    texts, answers, fields = _flow_inputs(spark)
+    typed = classify_documents(texts, answers).select("doc_id", "document_name", F.col("predicted_type").alias("document_type"), "text")
+    want = E.record_wide(extract_records(typed, fields)).orderBy("doc_id").collect()
+    got = E.record_wide(records_of_texts(texts, answers, fields)).orderBy("doc_id").collect()
+    assert got == want and len(got) == 61
+    assert len({r.document_type for r in got}) > 4 and len({r.extraction_status for r in got}) > 3
+
+
+def test_no_text_below_a_join(spark):
+    texts, answers, fields = _flow_inputs(spark)
+    plan = records_of_texts(texts, answers, fields)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    joins = [i for i, line in enumerate(lines) if re.search(r"\bJoin\b", line)]
+    assert len(joins) == 2
+    # what a join reads is what the nodes right below it hand on
+    for i in joins:
+        below = next(line for line in lines[i + 1 :] if re.search(r"(Project|Generate|Join|Aggregate)", line))
+        assert not re.search(r"\btext#", below), below

@@ -141,7 +141,7 @@ def test_dates_among_words(spark):
 
 
 def test_week_dates_equal_the_calendar(spark):
-    days = [datetime.date(1999, 1, 1) + datetime.timedelta(days=13 * i) for i in range(1200)]
+    days = [dt.date(1999, 1, 1) + dt.timedelta(days=13 * i) for i in range(1200)]
     texts = ["{}-W{:02}-{}".format(*d.isocalendar()) for d in days]
     assert evaluate(spark, texts, lambda c: D.loose_date(c, 2024)) == [d.isoformat() for d in days]
 
