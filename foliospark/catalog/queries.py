@@ -201,14 +201,14 @@ def stage_tracker(spark, sf):
     one = K.with_run(G.ingestion_tracker(_outcome(spark, sf)), "01_Ingestion", RUN_TS)
     typed = C.classify_with_rules(X.named_documents(spark, sf))
     two = K.with_run(C.classification_tracker(typed), "02_Classification", RUN_TS)
-    three = K.with_run(R.extraction_tracker(_extracted(spark, sf)), "03_Extraction", RUN_TS)
+    three = K.with_run(R.extraction_tracker(_states(spark, sf)), "03_Extraction", RUN_TS)
     return one.unionByName(two, allowMissingColumns=True).unionByName(three, allowMissingColumns=True)
 
 
 @query
 def stage_run_summaries(spark, sf):
     return R.stage_run_summaries(
-        _outcome(spark, sf), _classified(spark, sf), _extracted(spark, sf), F.lit(X.TODAY).cast("timestamp_ntz")
+        _outcome(spark, sf), _classified(spark, sf), _states(spark, sf), F.lit(X.TODAY).cast("timestamp_ntz")
     )
 
 
@@ -430,13 +430,17 @@ def gap_fill_requests(spark, sf):
     )
 
 
+def _states(spark, sf):
+    return PS.extract_states(X.typed_texts(spark, sf), X.extraction_answers(spark, sf))
+
+
 def _extracted(spark, sf):
     return PS.extract_records(X.typed_texts(spark, sf), X.extraction_answers(spark, sf))
 
 
 @query
 def extraction_status(spark, sf):
-    return _extracted(spark, sf).select("document_name", "extraction_status", "error", "reason")
+    return _states(spark, sf).select("document_name", "extraction_status", "error", "reason")
 
 
 @query

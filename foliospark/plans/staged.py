@@ -38,10 +38,19 @@ def extract_records(classified_texts: DataFrame, answers: DataFrame) -> DataFram
     return _merged(E.with_has_text(E.extract_fields(classified_texts)).drop("text"), answers)
 
 
-def _merged(slim: DataFrame, answers: DataFrame) -> DataFrame:
-    """Status and merged fields of rows whose patterns have been read; no texts any more."""
+def extract_states(classified_texts: DataFrame, answers: DataFrame) -> DataFrame:
+    """Status, error and reason of `extract_records`, for trackers and summaries: no field is merged."""
+    return _stated(E.with_has_text(E.extract_fields(classified_texts)).drop("text"), answers)
+
+
+def _stated(slim: DataFrame, answers: DataFrame) -> DataFrame:
+    """Status of rows whose patterns have been read; no texts any more."""
     renamed = C.latest_answers(answers, "doc_id").withColumnRenamed("error", "response_error")
-    return E.merge_gap_fill(E.extraction_status(slim.join(renamed, "doc_id", "left")))
+    return E.extraction_status(slim.join(renamed, "doc_id", "left"))
+
+
+def _merged(slim: DataFrame, answers: DataFrame) -> DataFrame:
+    return E.merge_gap_fill(_stated(slim, answers))
 
 
 def records_of_texts(
