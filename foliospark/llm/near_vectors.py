@@ -31,13 +31,17 @@ class Settings:
     #: Vectors the centroids are fitted on: those with the smallest hash. All are indexed.
     sample: int = 20_000
     shard_size: int = 2_000
-    most_shards: int = 1_024
+    #: More shards than this are made in two levels: cells, and shards within each cell.
+    most_cells: int = 1_024
     #: A shard above this is split by a hash; queries go to all its parts.
     part_size: int = 4_096
     query_block: int = 4_096
     overlap: int = 2
-    #: A query enters every shard whose centroid is at most so much less similar than its best.
-    margin: float = 0.08
+    #: How far beyond a border a query looks: a partner lies off in a direction that is random, so
+    #: many standard deviations of it count; in few dimensions that is all directions.
+    reach: float = 2.5
+    #: Of how many of its nearest centroids a query looks at the borders.
+    borders: int = 4
     degree: int = 24
     candidates: int = 64
     alpha: float = 1.2
@@ -232,59 +236,130 @@ def distinct_vectors(rows: DataFrame) -> DataFrame:
     )
 
 
-def _fit_centroids(vectors: DataFrame, count: int, s: Settings) -> np.ndarray:
-    sample = vectors.orderBy(F.xxhash64(F.lit(SEED), "node"), "node").limit(s.sample).select("vector")
-    x = normalized(np.array([r.vector for r in sample.collect()], np.float64))
-    return centroids(x, min(s.most_shards, -(-count // s.shard_size)))
+def entered(x: np.ndarray, c: np.ndarray, s: Settings) -> np.ndarray:
+    """Which cells each unit vector has to look into (rows by cells, its own among them).
+
+    A partner at the threshold's angle t belongs to cell c rather than to a nearer one b only if it
+    lies beyond the border between them. The border is the sine of an angle away, (x.b - x.c) / |b - c|,
+    and a partner gets sin(t) towards it at most; or tan(t) / sqrt(dimensions - 1) times a standard
+    normal number, if its direction is random.
+    """
+    sine = np.sqrt(max(0.0, 1 - s.threshold**2))
+    limit = min(sine, sine / s.threshold * s.reach / np.sqrt(max(x.shape[1] - 1, 1)))
+    sim = x @ c.T
+    out = np.ones(sim.shape, bool)
+    few = min(s.borders, len(c))
+    best = np.argpartition(-sim, few - 1, axis=1)[:, :few]
+    apart = np.sqrt(np.maximum(((c[:, None] - c[None, :]) ** 2).sum(2) if len(c) <= 64 else 2 * (1 - c @ c.T), 1e-12))
+    for i in range(few):
+        b = best[:, i]
+        out &= sim[np.arange(len(x)), b][:, None] - sim <= limit * apart[b] + 1e-9
+    return out
 
 
-def _assign(vectors: DataFrame, c: np.ndarray, s: Settings) -> DataFrame:
-    """With the unit vector, the shards that index it (its home first) and those it searches."""
+def _nearest(x: np.ndarray, c: np.ndarray, count: int) -> np.ndarray:
+    return np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :count]
+
+
+_PLACED = "node long, copies long, unit array<double>, shards array<long>, enters array<long>"
+
+
+def _assign(vectors: DataFrame, count: int, s: Settings) -> DataFrame:
+    """(node, copies, unit, shards, enters): with the unit vector, the shards that index it and those
+    it searches. Shards grow in number with the table, not in size."""
+    shards = -(-count // s.shard_size)
+    cells = shards if shards <= s.most_cells else int(np.ceil(np.sqrt(shards)))
+    sample = vectors.orderBy(F.xxhash64(F.lit(SEED), "node"), "node").limit(s.sample).select("vector")
+    c = centroids(normalized(np.array([r.vector for r in sample.collect()], np.float64)), cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not len(b):
-                continue
-            x = normalized(np.array(b.column(2).to_pylist(), np.float64))
-            sim = x @ c.T
-            order = np.argsort(-sim, axis=1, kind="stable")[:, : s.overlap]
-            enters = sim >= sim.max(1, keepdims=True) - s.margin
-            yield pa.RecordBatch.from_arrays(
-                [
-                    b.column(0),
-                    b.column(1),
-                    pa.array(list(x), pa.list_(pa.float64())),
-                    pa.array(order.tolist(), pa.list_(pa.int32())),
-                    pa.array([np.nonzero(e)[0].tolist() for e in enters], pa.list_(pa.int32())),
-                ],
-                ["node", "copies", "unit", "shards", "enters"],
-            )
+            for at in range(0, len(b), 512):
+                part = b.slice(at, 512)
+                x = normalized(np.array(part.column(2).to_pylist(), np.float64))
+                enters = [np.flatnonzero(e) for e in entered(x, c, s)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        part.column(1),
+                        pa.array(list(x), pa.list_(pa.float64())),
+                        pa.array(list(_nearest(x, c, s.overlap)), pa.list_(pa.int64())),
+                        pa.array(enters, pa.list_(pa.int64())),
+                    ],
+                    ["node", "copies", "unit", "shards", "enters"],
+                )
+
+    placed = cut_lineage(vectors.select("node", "copies", "vector").mapInArrow(run, _PLACED))
+    return placed if shards <= s.most_cells else _within_cells(placed, len(c), -(-shards // len(c)), s)
+
+
+def _sizes(df: DataFrame, column: str) -> dict[int, int]:
+    """How many rows name each element of an array column."""
+    each = df.select(F.explode(column).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    return {r.k: r.n for r in each.collect()}
+
+
+def _within_cells(placed: DataFrame, cells: int, leaves: int, s: Settings) -> DataFrame:
+    """The second level: each cell's own centroids, fitted on a bounded draw of its vectors, and for
+    each vector its nearest of them in each of its cells, and those it looks into in each it enters."""
+    home = F.col("shards")[0].alias("cell")
+    sizes = {r.cell: r["count"] for r in placed.groupBy(home).count().collect()}  # one number for each cell
+    wanted = min(s.sample, 40 * leaves)
+    rate = F.get(F.array(*(F.lit(min(1.0, wanted / max(sizes.get(i, 0), 1))) for i in range(cells))), F.col("cell"))
+    drawn = placed.select(home, "node", "unit").where(
+        F.pmod(F.xxhash64(F.lit(SEED), "node"), F.lit(1 << 20)) < F.greatest(rate * (1 << 20), F.lit(1))
+    )
 
-    return vectors.select("node", "copies", "vector").mapInArrow(
-        run, "node long, copies long, unit array<double>, shards array<int>, enters array<int>"
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = centroids(np.stack(pdf.sort_values("node")["unit"].to_numpy()), leaves)
+        return pd.DataFrame({"cell": pdf["cell"].iloc[0], "leaf": np.arange(len(own)), "centre": list(own)})
+
+    fitted = cut_lineage(drawn.groupBy("cell").applyInPandas(fit, "cell long, leaf long, centre array<double>"))
+    # a cell without a draw has one leaf, its whole
+    looked = placed.select("node", "unit", "shards", F.explode(F.array_union("enters", "shards")).alias("cell"))
+    many = {r.cell: r["count"] for r in looked.groupBy("cell").count().collect()}
+    blocks = F.get(F.array(*(F.lit(max(1, -(-many.get(i, 0) // s.query_block))) for i in range(cells))), F.col("cell"))
+    rows = looked.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    centres = fitted.withColumn("block", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
+
+    def place(key: tuple, q: pd.DataFrame, leaf: pd.DataFrame) -> pd.DataFrame:
+        if not len(q):
+            return pd.DataFrame({"node": [], "own": [], "looks": []})
+        base = key[0] * (leaves + 1)
+        x = np.stack(q["unit"].to_numpy())
+        if len(leaf):
+            c = np.stack(leaf.sort_values("leaf")["centre"].to_numpy())
+            nearest, looks = _nearest(x, c, 1)[:, 0], [np.flatnonzero(e) + base for e in entered(x, c, s)]
+        else:
+            nearest, looks = np.zeros(len(x), np.int64), [np.array([base])] * len(x)
+        own = [[base + int(n)] if key[0] in cells_ else [] for n, cells_ in zip(nearest, q["shards"])]
+        return pd.DataFrame({"node": q["node"], "own": own, "looks": looks})
+
+    each = rows.groupBy("cell", "block").cogroup(centres.groupBy("cell", "block"))
+    # as many rows for a vector as it has cells
+    lists = each.applyInPandas(place, "node long, own array<long>, looks array<long>").groupBy("node").agg(
+        F.flatten(F.collect_list("own")).alias("shards"), F.flatten(F.collect_list("looks")).alias("enters")
     )
+    return cut_lineage(placed.select("node", "copies", "unit").join(lists, "node").select("node", "copies", "unit", "shards", "enters"))
 
 
-def _per_shard(df: DataFrame, column: str, shards: int, most: int) -> Column:
-    """How many groups of at most about `most` rows each shard is cut into: one value for
-    each shard, as a lookup by the column `shard`."""
-    sizes = dict(
-        df.select(F.explode(column).alias("shard")).groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()
-    )
-    return F.get(F.array(*(F.lit(max(1, -(-sizes.get(i, 0) // most))) for i in range(shards))), F.col("shard"))
+def _grouped(df: DataFrame, column: str, most: int) -> DataFrame:
+    """(shard, groups): how many groups of about `most` rows each shard of an array column is cut into."""
+    each = df.select(F.explode(column).alias("shard")).groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+    return each.select("shard", F.ceil(F.col("n") / most).cast("int").alias("groups"))
 
 
 def _linked(vectors: DataFrame, s: Settings) -> DataFrame:
     """(a, b, n): rows with b name an edge, rows without it n found copies near a. For vectors of
     one dimension."""
-    count = vectors.count()
-    c = _fit_centroids(vectors, count, s)
-    placed = cut_lineage(_assign(vectors, c, s))
-    parts = _per_shard(placed, "shards", len(c), s.part_size)
-    blocks = _per_shard(placed, "enters", len(c), s.query_block)
-    members = placed.select(
-        "node", "copies", "unit", F.col("shards")[0].alias("home"), F.explode("shards").alias("shard")
-    ).withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
+    placed = _assign(vectors, vectors.count(), s)
+    # one small row for each shard
+    parts = _grouped(placed, "shards", s.part_size).withColumnRenamed("groups", "parts")
+    blocks = _grouped(placed, "enters", s.query_block).withColumnRenamed("groups", "blocks")
+    cut = cut_lineage(parts.join(blocks, "shard", "left").select("shard", "parts", F.coalesce("blocks", F.lit(1)).alias("blocks")))
+    members = lookup_join(
+        placed.select("node", "copies", "unit", "shards", F.explode("shards").alias("shard")), cut, ["shard"], ["node"], "inner"
+    ).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         graph = pruned_graph(np.stack(pdf["unit"].to_numpy()), s)
@@ -298,11 +373,15 @@ def _linked(vectors: DataFrame, s: Settings) -> DataFrame:
         # one list from each of the few shards that hold the vector
         .agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     )
-    indexed = members.join(lists, "node").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    indexed = members.join(lists, "node").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    looking = placed.select(
+        F.col("node").alias("asked"), F.col("unit").alias("look"), "enters", F.explode("enters").alias("shard")
+    )
+    # a shard that is entered and holds nothing has no parts
     queries = (
-        placed.select(F.col("node").alias("asked"), F.col("unit").alias("look"), F.explode("enters").alias("shard"))
-        .withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "asked"), blocks).cast("int"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        lookup_join(looking, cut, ["shard"], ["asked"], "inner")
+        .withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "asked"), F.col("blocks")).cast("int"))
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     )
 
     def find(key: tuple, m: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
@@ -310,7 +389,10 @@ def _linked(vectors: DataFrame, s: Settings) -> DataFrame:
         if not len(m) or not len(q):
             return none
         m = m.sort_values("node")
-        node, home = m["node"].to_numpy(), m["home"].to_numpy() == key[0]
+        node, shard = m["node"].to_numpy(), key[0]
+        # the lowest other shard that has the member, if it is below this one
+        lower = np.array([min((k for k in ks if k < shard), default=-1) for ks in m["shards"]], np.int64)
+        several = np.array([sum(k < shard for k in ks) > 1 for ks in m["shards"]], bool)
         copies, x = m["copies"].to_numpy(), np.stack(m["unit"].to_numpy())
         width = max(map(len, m["near"]), default=1) or 1
         graph = np.full((len(m), width), -1, np.int64)
@@ -319,14 +401,34 @@ def _linked(vectors: DataFrame, s: Settings) -> DataFrame:
             at = np.searchsorted(node, near)
             at = at[(at < len(node)) & (node[np.minimum(at, len(node) - 1)] == near)]
             graph[i, : len(at)] = at
-        asked = q["asked"].to_numpy()
+        asked, enters = q["asked"].to_numpy(), q["enters"].to_numpy()
         found = np.zeros(len(q), np.int64)
+
+        # (query, shard) of all shards that the queries look into
+        wide = 1 + max([int(shard), *(int(max(e, default=0)) for e in enters)])
+        at = np.repeat(np.arange(len(q)), [len(e) for e in enters])
+        looked = np.sort(at * wide + np.concatenate([*enters, np.zeros(0, np.int64)]).astype(np.int64))
+
+        def looks(a: np.ndarray, k: np.ndarray) -> np.ndarray:
+            at = np.searchsorted(looked, a * wide + k)
+            return (at < len(looked)) & (looked[np.minimum(at, len(looked) - 1)] == a * wide + k)
+
+        def counted(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            """Whether this is the lowest of the shards that have the member and are searched."""
+            out = np.ones(len(a), bool)
+            one = np.flatnonzero((lower[b] >= 0) & ~several[b])
+            out[one] = ~looks(a[one], lower[b[one]])
+            for i in np.flatnonzero(several[b]):
+                below = np.array([k for k in m["shards"].iloc[b[i]] if k < shard])
+                out[i] = not looks(np.full(len(below), a[i]), below).any()
+            return out
+
         ends: list[tuple[np.ndarray, np.ndarray]] = []
         for a, b in search(x, graph, np.stack(q["look"].to_numpy()), s):
             other = asked[a] != node[b]
             a, b = a[other], b[other]
-            # a vector counts in its home only, so that no link counts twice
-            np.add.at(found, a[home[b]], copies[b[home[b]]])
+            once = counted(a, b)  # no link counts twice
+            np.add.at(found, a[once], copies[b[once]])
             ends.append(forest(asked[a], node[b]))
         u, v = forest(np.concatenate([e[0] for e in ends]), np.concatenate([e[1] for e in ends]))
         some = found > 0
@@ -338,6 +440,8 @@ def _linked(vectors: DataFrame, s: Settings) -> DataFrame:
         ).astype("Int64")
 
     keys = ["shard", "part", "block"]
+    indexed = indexed.select(*keys, "node", "copies", "unit", "shards", "near")
+    queries = queries.select(*keys, "asked", "look", "enters")
     return indexed.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(find, "a long, b long, n long")
 
 
