@@ -9,14 +9,16 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import ship_code
+from foliospark.llm.common import cut_lineage, ship_code
 from foliospark.llm.url_filter import url_parts
 from foliospark.operators.skew import lookup_join
 
@@ -37,6 +39,16 @@ AROUND = frozenset(
     " disqus newsletter subscribe signup login breadcrumb breadcrumbs pagination pager widget"
     " masthead skip toolbar search complementary contentinfo".split()
 )
+#: Those of them that may be about the content as well, and words that say nothing about it.
+AMBIGUOUS = frozenset(
+    "share sharing social alert notice notices promotion related recommended search discussion"
+    " respond reply replies skip banner dialog consent menu login subscribe signup toolbar".split()
+)
+STRUCTURE = frozenset(
+    "bar bars block blocks box boxes btn button buttons col container content group area inner item items"
+    " left link links list lists main module outer page panel post posts right row section site small"
+    " top bottom wrap wrapper wrappers x".split()
+)
 #: A name with one of these parts tells of its element's surroundings, not of its content.
 MODIFIERS = frozenset("has have no not non with without is js hide show enable enabled disable disabled".split())
 #: Elements that no name hides.
@@ -70,21 +82,62 @@ _DIGITS = re.compile(r"\d+")
 _NAME = re.compile(r"[a-z]+")
 
 
+#: A generalised path beyond so many characters is told by a digest of its beginning.
+PATH_LENGTH = 200
+#: So many hosts' paths go to every task, with their names at most 50 MB.
+MOST_HOSTS = 100_000
+
+
 @dataclass(slots=True)
 class Node:
-    """A container: its generalised path, its own blocks and those below, in page order."""
+    """A container: its generalised path, and its blocks as a range of the page's."""
 
     path: str
     tag: str
-    blocks: list[tuple[str, int]] = field(default_factory=list)  # text, characters in links
-    size: int = 0
-    linked: int = 0
+    page: Page
+    first: int  # block
+    last: int = 0
+    after: int = 0  # the first node that is not inside
+    below: int = 0  # characters that names hide inside it
+
+    @property
+    def blocks(self) -> list[tuple[str, int]]:
+        """(text, characters in links) in page order."""
+        return self.page.blocks[self.first : self.last]
+
+    @property
+    def size(self) -> int:
+        return self.page.sizes[self.last] - self.page.sizes[self.first]
+
+    @property
+    def linked(self) -> int:
+        return self.page.links[self.last] - self.page.links[self.first]
 
     @property
     def score(self) -> float:
         return (self.size - self.linked) * PREFERENCE.get(self.tag, 1.0)
 
 
+@dataclass(slots=True)
+class Page:
+    """What is read off a page: each block once, with running sums, and the containers."""
+
+    blocks: list[tuple[str, int]] = field(default_factory=list)
+    sizes: list[int] = field(default_factory=lambda: [0])
+    links: list[int] = field(default_factory=lambda: [0])
+    nodes: list[Node] = field(default_factory=list)
+    #: Elements that their names hide: characters outside links, by the element's number, and the
+    #: nearest article or main around each, by its place among the nodes (or -1).
+    named: dict[int, tuple[int, int]] = field(default_factory=dict)
+    #: All of those characters, those of nested elements once.
+    hidden: int = 0
+
+
+def _joined(path: str, step: str) -> str:
+    whole = f"{path}/{step}"
+    return whole if len(whole) <= PATH_LENGTH else "/#" + xxhash.xxh128_hexdigest(whole)
+
+
 def _hidden(attributes: str) -> bool:
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
@@ -95,14 +148,21 @@ def _hidden(attributes: str) -> bool:
     return False
 
 
+def _marks(token: str) -> bool:
+    """Whether one class, id or role names what stands around an article. A word that may as well be
+    about the content (`share-price`) does so alone or beside words that say nothing else."""
+    parts = _NAME.findall(token)
+    if AROUND.isdisjoint(parts) or not MODIFIERS.isdisjoint(parts):
+        return False
+    sure = any(p in AROUND and p not in AMBIGUOUS for p in parts)
+    return sure or all(p in AROUND or p in STRUCTURE for p in parts)
+
+
 def _marked_around(attributes: str) -> bool:
     """Whether a class, id or role names what stands around an article."""
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        if name.lower() in ("class", "id", "role"):
-            for token in (a or b or c).lower().split():
-                parts = _NAME.findall(token)
-                if not AROUND.isdisjoint(parts) and MODIFIERS.isdisjoint(parts):
-                    return True
+        if name.lower() in ("class", "id", "role") and any(map(_marks, (a or b or c).lower().split())):
+            return True
     return False
 
 
@@ -118,37 +178,42 @@ def containers(page: str | None) -> list[Node]:
     """The containers of a page that hold text, in page order. Menus, adverts and the like have
     no nodes and add no text; white space is one space, blocks are trimmed and not empty.
 
-    Names alone do not hide an element that holds most of the page's unlinked text, unless an
-    article or main element with such text stands elsewhere, and they hide nothing on a page that
-    would be empty otherwise.
+    Names alone do not hide an element that holds most of the unlinked text of the article or main
+    around it; nor one that holds most of the page's, unless an article or main with such text stands
+    elsewhere; and they hide nothing on a page that would be empty otherwise.
     """
     if not page:
         return []
-    nodes, held = _read(page, lambda element: True)
-    named = bool(held)
-    if named and not any(n.tag in ("article", "main") and n.size > n.linked for n in nodes):
-        shown = nodes[0].size - nodes[0].linked if nodes else 0
-        half = (shown + held.pop(-1)) / 2
-        most = {element for element, size in held.items() if size > half}
-        if most:
-            nodes, _ = _read(page, lambda element: element not in most)
-    if named and not nodes:
-        nodes, _ = _read(page, lambda element: False)
-    return nodes
-
-
-def _read(page: str, by_name: Callable[[int], bool]) -> tuple[list[Node], dict[int, int]]:
-    """The containers that hold text, and the unlinked characters below each element that its name
-    hides, by its number, all of them together at -1. `by_name`: whether its name may hide it."""
-    root = Node("", "body")
-    nodes = [root]
-    # open elements: (tag, index of the container they are in or -1, dropped)
-    stack: list[tuple[str, bool]] = []
-    inside: list[Node] = [root]  # open containers, one for each container in `stack`
+    read = _read(page, lambda element: True)
+    if not read.named:
+        return [n for n in read.nodes if n.size]
+    shown: set[int] = set()
+    articles = any(n.tag in ("article", "main") and n.size > n.linked for n in read.nodes)
+    whole = read.nodes[0]
+    for element, (size, around) in read.named.items():
+        holder = read.nodes[around] if around >= 0 else None if articles else whole
+        if holder and 2 * size > holder.size - holder.linked + holder.below:
+            shown.add(element)
+    if shown:
+        read = _read(page, lambda element: element not in shown)
+    nodes = [n for n in read.nodes if n.size]
+    return nodes or [n for n in _read(page, lambda element: False).nodes if n.size]
+
+
+def _read(text: str, by_name: Callable[[int], bool]) -> Page:
+    """The page, in time and space that grow with its length, however it is nested. `by_name`: whether
+    the name of the element of that number may hide it."""
+    page = Page()
+    root = Node("", "body", page, 0)
+    page.nodes.append(root)
+    stack: list[tuple[str, bool, int]] = []  # open elements: tag, whether it hides, number if its name does
+    places: dict[str, list[int]] = {}  # of the open elements of each tag, in `stack`
+    open_blocks: list[int] = []  # places of open block elements
+    inside: list[int] = [0]  # open containers
+    articles: list[int] = []  # those of them that are an article or main
+    begun: list[tuple[int, int]] = []  # of open elements that names hide: characters hidden before
     dropped = 0  # open elements that hide their content
-    named: list[int] = []  # those of them that do so by name, while no other does
-    named_at: list[int] = []  # depth of each in `stack`
-    held: dict[int, int] = {}
+    named = 0  # those of them that do so by name, while no other does
     element = 0
     links = 0
     buffer: list[str] = []
@@ -157,126 +222,140 @@ def _read(page: str, by_name: Callable[[int], bool]) -> tuple[list[Node], dict[i
     def flush() -> None:
         nonlocal linked
         if buffer:
-            text = " ".join("".join(buffer).split())
-            if text:
-                for n in inside:
-                    n.blocks.append((text, min(linked, len(text))))
-                    n.size += len(text)
-                    n.linked += min(linked, len(text))
+            block = " ".join("".join(buffer).split())
+            if block:
+                page.blocks.append((block, min(linked, len(block))))
+                page.sizes.append(page.sizes[-1] + len(block))
+                page.links.append(page.links[-1] + min(linked, len(block)))
             buffer.clear()
         linked = 0
 
-    def close(count: int) -> None:
-        """Close the `count` innermost open elements."""
-        nonlocal dropped, links
-        for _ in range(count):
-            tag, hides = stack.pop()
-            if named_at and named_at[-1] == len(stack):
-                named_at.pop()
-                named.pop()
+    def end_node(at: int) -> None:
+        node = page.nodes[at]
+        node.last, node.after = len(page.blocks), len(page.nodes)
+        node.below = page.hidden - node.below
+        if articles and articles[-1] == at:
+            articles.pop()
+
+    def close(to: int) -> None:
+        """Close the innermost open elements, down to the one at this place of the stack."""
+        nonlocal dropped, links, named
+        while len(stack) > to:
+            tag, hides, number = stack.pop()
+            places[tag].pop()
             if tag in BLOCKS:
+                open_blocks.pop()
                 flush()
+            if number:
+                before, around = begun.pop()
+                page.named[number] = (page.hidden - before, around)
+                named -= 1
             if hides:
                 dropped -= 1
             elif not dropped and tag in CONTAINERS:
-                inside.pop()
+                end_node(inside.pop())
             if tag == "a":
                 links -= 1
 
-    def write(text: str) -> None:
+    def write(some: str) -> None:
         nonlocal linked
-        if text and not dropped:
-            text = html.unescape(text) if "&" in text else text
-            buffer.append(text)
+        if some and not dropped:
+            some = html.unescape(some) if "&" in some else some
+            buffer.append(some)
             if links:
-                linked += len(text)
-        elif text and not links and dropped == len(named):
-            size = len(" ".join(text.split()))
-            for n in (-1, *named):
-                held[n] = held.get(n, 0) + size
+                linked += len(some)
+        elif some and not links and dropped == named:
+            page.hidden += len(" ".join(some.split()))
+
+    def nearest(tags: tuple[str, ...]) -> int:
+        """Place of the innermost open element of these tags, -1 if there is none."""
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
 
-    at, end = 0, len(page)
+    at, end = 0, len(text)
     while at < end:
-        start = page.find("<", at)
+        start = text.find("<", at)
         if start < 0:
-            write(page[at:])
+            write(text[at:])
             break
-        m = _TOKEN.match(page, start)
+        m = _TOKEN.match(text, start)
         if m is None:  # a bare sign
-            write(page[at : start + 1])
+            write(text[at : start + 1])
             at = start + 1
             continue
-        write(page[at:start])
+        write(text[at:start])
         at = m.end()
         closing, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if not name:
             continue
         tag = name.lower()
         if closing:
-            for depth, (open_tag, _) in enumerate(reversed(stack), 1):
-                if open_tag == tag:
-                    close(depth)
-                    break
-            else:
-                if tag in ("p", "br"):
-                    flush()
+            if places.get(tag):
+                close(places[tag][-1])
+            elif tag in ("p", "br"):
+                flush()
             continue
         if tag in ("html", "head", "body") and tag != "head":
             continue
         if tag in BLOCKS:
             flush()
             # a block ends an open paragraph, if no other block stands between
-            for depth, (open_tag, _) in enumerate(reversed(stack), 1):
-                if open_tag == "p":
-                    if tag != "br":
-                        close(depth)
-                    break
-                if open_tag in BLOCKS:
-                    break
+            if tag != "br" and open_blocks and stack[open_blocks[-1]][0] == "p":
+                close(open_blocks[-1])
             if tag in CLOSES:
                 ended, bounds = CLOSES[tag]
-                depth_to_close = 0
-                for depth, (open_tag, _) in enumerate(reversed(stack), 1):
-                    if open_tag in bounds:
-                        break
-                    if open_tag in ended:
-                        depth_to_close = depth
-                close(depth_to_close)
+                bound = nearest(bounds)
+                first = [place for t in ended if (place := _first_above(places.get(t, ()), bound)) is not None]
+                if first:
+                    close(min(first))
         if tag in RAW:
-            stop = re.compile(f"</{re.escape(tag)}[\\s/>]", re.IGNORECASE).search(page, at)
+            stop = re.compile(f"</{re.escape(tag)}[\\s/>]", re.IGNORECASE).search(text, at)
             at = stop.start() if stop else end
             if stop:
-                after = page.find(">", at)
+                after = text.find(">", at)
                 at = after + 1 if after >= 0 else end
             continue
         if tag in VOID or attributes.endswith("/") and tag in ("svg", "path"):
             continue
-        heading = tag == "header" and not any(t in ("article", "main") for t, _ in stack)
+        heading = tag == "header" and not places.get("article") and not places.get("main")
         hides = tag in DROPPED or heading or _hidden(attributes)
         element += 1
+        number = 0
         if not hides and tag not in NEVER_BY_NAME and _marked_around(attributes) and by_name(element):
             hides = True
-            if dropped == len(named):
-                named.append(element)
-                named_at.append(len(stack))
-                held.setdefault(-1, 0)
+            if dropped == named:
+                number = element
+                named += 1
+                begun.append((page.hidden, articles[-1] if articles else -1))
         if not hides and not dropped and tag in CONTAINERS:
-            path = f"{inside[-1].path}/{_step(tag, attributes)}"
-            node = Node(path, tag)
-            nodes.append(node)
-            inside.append(node)
-        stack.append((tag, hides))
+            path = _joined(page.nodes[inside[-1]].path, _step(tag, attributes))
+            if tag in ("article", "main"):
+                articles.append(len(page.nodes))
+            inside.append(len(page.nodes))
+            page.nodes.append(Node(path, tag, page, len(page.blocks), below=page.hidden))
+        places.setdefault(tag, []).append(len(stack))
+        if tag in BLOCKS:
+            open_blocks.append(len(stack))
+        stack.append((tag, hides, number))
         dropped += hides
         links += tag == "a"
+    close(0)
     flush()
-    return [n for n in nodes if n.size], held
+    end_node(0)
+    return page
+
+
+def _first_above(places: list[int], bound: int) -> int | None:
+    at = bisect_right(places, bound)
+    return places[at] if at < len(places) else None
 
 
 def best(nodes: list[Node]) -> Node | None:
     """The container with the highest score; of equal ones the innermost, then the first."""
     top = None
     for n in nodes:
-        if top is None or n.score > top.score or (n.score == top.score and n.path.startswith(top.path + "/")):
+        # nodes are in page order: one that begins before the end of another is inside it
+        inner = top is not None and n.first < top.last and n.after <= top.after
+        if top is None or n.score > top.score or (n.score == top.score and inner):
             top = n
     return top
 
@@ -335,17 +414,22 @@ def winning_paths(pages: DataFrame) -> DataFrame:
     )
 
 
-def extract(pages: DataFrame) -> DataFrame:
+def extract(pages: DataFrame, most_hosts: int = MOST_HOSTS) -> DataFrame:
     """One row per row of `pages` (page_id, url, html): page_id, url, text, n_chars.
 
     Null, empty and tag-only pages have an empty text. Rows with a null or malformed url vote
     as the host ''. Repeated rows stay, other columns are not read, an empty table gives no rows.
-    Whatever share of the pages one host has, its winning path is one row, copied to the
-    sub-keys over which its pages are spread.
+    Pages stay where they are as long as the paths of all hosts are small enough for every task
+    (`MOST_HOSTS`). Beyond that they are shuffled, and the path of a host, whatever share of the
+    pages it has, is copied to the sub-keys over which its pages are spread.
     """
     ship_code(pages)
     slim = pages.select("page_id", "url", "html", url_parts(F.col("url"))["host"].alias("host"))
-    routed = lookup_join(slim, winning_paths(pages), ["host"], ["page_id", "url"])
+    winning = cut_lineage(winning_paths(pages))
+    if winning.count() <= most_hosts:
+        routed = slim.join(F.broadcast(winning), "host", "left")
+    else:
+        routed = lookup_join(slim, winning, ["host"], ["page_id", "url"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

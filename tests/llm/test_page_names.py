@@ -44,3 +44,21 @@ def test_what_stands_around_stays_hidden():
     assert _text(f"<article>{PAGE}</article><div class=comments>{'So true. ' * 60}</div>") == WANT
     assert _text(f"<div hidden>{PAGE}</div><p>Seen.</p>") == "Seen."
     assert _text(f"<div class=widget hidden>{PAGE}</div>") == ""
+
+
+def test_names_that_may_be_about_the_content():
+    assert _text(f"<article><p>{TEXT}</p><div class='share-price'>12.50 a share</div></article>") == f"{TEXT}\n12.50 a share"
+    assert _text(f"<article><p>{TEXT}</p><p class='alert-story'>Sirens.</p><p id=discussion-paper-2>Text.</p></article>") == f"{TEXT}\nSirens.\nText."
+    for name in ("share", "share-buttons", "social-links", "search-box", "post-comments", "ad-story", "related posts", "alert alert-box"):
+        assert _text(f"<article><p>{TEXT}</p><div class='{name}'>Not this</div></article>") == TEXT, name
+
+
+def test_a_name_does_not_hide_most_of_its_article():
+    story = "A long story with many words in it. " * 3
+    page = f"<article><p>Body</p><div class='widget'>{story}</div></article>"
+    assert _text(page) == f"Body\n{story.strip()}"
+    assert _text(f"<p>Top</p>{page}") == f"Body\n{story.strip()}"
+    # two of them, neither of which is most of it
+    half = f"<article><p>{TEXT}</p><div class=widget>{TEXT[:60]}</div><div class=ad>{TEXT[:60]}</div></article>"
+    assert _text(half) == TEXT
+    assert _text(f"<main><article><p>Body</p><div class=widget><div class=ad>{story}</div></div></article></main>") == f"Body\n{story.strip()}"

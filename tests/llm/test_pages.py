@@ -1,5 +1,7 @@
 import random
 import re
+import time
+import tracemalloc
 
 import pytest
 
@@ -51,6 +53,45 @@ def test_random_markup_is_read_in_time():
     text("<div>" * 3000 + "x")
 
 
+def _pages_of(length):
+    words = "some words "
+    return {
+        "unclosed divs": "<div>" * (length // 5) + "x",
+        "divs with text": "<div>some words " * (length // 16),
+        "divs with long names": f"<div class='{'n' * 40} m'>w " * (length // 55),
+        "stray ends": "<i>" * (length // 6) + "</b>" * (length // 8),
+        "breaks below open elements": "<i>" * (length // 6) + "<br>x" * (length // 10),
+        "items below open elements": "<ul>" + "<i>" * (length // 6) + "<li>x" * (length // 10),
+        "cells": "<table>" + "<b><td>x" * (length // 8),
+        "nested names": "<div class=ad>w " * (length // 16),
+        "articles": "<article>w <div class=widget>" * (length // 29),
+        "paragraphs": words + "<p>w" * (length // 4),
+        "headers": "<section>" * (length // 20) + "<header>" * (length // 16),
+    }
+
+
+@pytest.mark.parametrize("kind", list(_pages_of(0)))
+def test_long_pages_are_read_in_time_and_space_of_their_length(kind):
+    seconds, peaks = [], []
+    for length in (100_000, 1_000_000):
+        page = _pages_of(length)[kind]
+        tracemalloc.start()
+        start = time.perf_counter()
+        text(page)
+        seconds.append(time.perf_counter() - start)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert seconds[1] < 40 * seconds[0] + 2 and seconds[1] < 60
+    assert peaks[1] < 15 * peaks[0] + 10_000_000 and peaks[1] < 400_000_000
+
+
+def test_paths_of_many_hosts_are_joined(spark):
+    rows = [(i, f"http://h{i % 7}.net/{i}", f"<div class='p{i % 7}'>story {i}</div><div class=x>other, longer than the story {i}</div>") for i in range(60)]
+    df = spark.createDataFrame(rows + [(99, None, "<p>lost</p>")], "page_id long, url string, html string")
+    few, many = (sorted(map(tuple, html_extract.extract(df, n).collect())) for n in (1000, 1))
+    assert few == many and len(few) == 61
+
+
 def test_hosts_agree_on_a_path(spark):
     story = "<div class='main s{0}'><p>story {0} with words</p></div>"
     aside = "<div class='related-x'>{0}</div><div class='extra'>{1}</div>"
