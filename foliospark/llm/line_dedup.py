@@ -45,8 +45,8 @@ def line_rows(docs: DataFrame) -> DataFrame:
         F.xxhash64("line").alias("h1"),
         F.xxhash64(F.lit(1), "line").alias("h2"),
     )
-    # repeated rows are one document
-    return hashed.repartition(*DOC).dropDuplicates([*DOC, "pos"])
+    # repeated rows are one document; their lines are made one before they are shuffled
+    return hashed.dropDuplicates([*DOC, "pos"])
 
 
 def windows(rows: DataFrame, min_words: int) -> DataFrame:

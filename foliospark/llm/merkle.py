@@ -16,12 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.functions.binding import bind, let
-from foliospark.operators.skew import salts_for
+from foliospark.operators.skew import salts_for, with_range
 
 _S, _W = r"\x20\x09-\x0D", r"^\x20\x09-\x0D"
 #: Up to three words that end no sentence and one more, with the white space around them.
 LEAF = rf"[{_S}]*(?:[{_W}]*[{_W}.!?][{_S}]+){{0,3}}[{_W}]+[{_S}]*"
-#: Buckets for each shuffle partition, so that partitions get even shares.
+#: Ranges for each shuffle partition, so that partitions get even shares.
 BUCKETS_PER_PARTITION = 4
 
 
@@ -132,56 +132,42 @@ def with_fingerprint(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.length(text).cast("long").alias("n_chars"), fingerprint(text).alias("fingerprint"))
 
 
-def _bucket(doc_id: Column, bounds: list[int]) -> Column:
-    """How many of the sorted `bounds` are below `doc_id`: first among every k-th, then between."""
-    if not bounds:
-        return F.lit(0)
-    k = max(1, int(len(bounds) ** 0.5))
-    coarse = F.array(*(F.lit(b) for b in bounds[k - 1 :: k])) if len(bounds) >= k else F.array()
-    fine = F.array(*(F.lit(b) for b in bounds))
-    below = lambda list_: F.size(F.filter(list_, lambda b: b < doc_id))
-    return let(below(coarse) * k, lambda at: at + below(F.slice(fine, at + 1, F.lit(k))))
-
-
 def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text, fingerprint, next_text, next_fingerprint): the row and the one after it in
     descending doc_id, rows of one doc_id in the order of a hash of their texts; after the last
     comes the first. Rows without doc_id have an empty next text.
 
-    Ids are cut into buckets of like size at quantiles; each bucket also gets the first row of
-    the bucket that follows as a guest. So the texts move once, and no task sees more than a
-    bucket. The driver holds the bounds and one id for each bucket.
+    Rows are cut into ranges of doc_id and that hash; each range also gets the first row of the one
+    that follows as a guest. So the texts move once, and no task sees more than a range, whatever
+    share of the rows one doc_id has (rows that repeat id and text are in one range).
     """
-    spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    count = BUCKETS_PER_PARTITION * salts_for(docs)
-    shares = [i / count for i in range(1, count)]
-    found = slim.agg(F.percentile_approx("doc_id", shares, 20 * count)).first()[0]
-    bounds = sorted(set(found or []))
-    lone = -1 - F.pmod(F.xxhash64("text"), F.lit(count)).cast("int")
-    placed = slim.withColumn(
-        "bucket", F.when(F.col("doc_id").isNull(), lone).otherwise(_bucket(F.col("doc_id"), bounds))
-    )
-    tops = sorted(
-        (r.bucket, r.top)
-        for r in placed.where("doc_id IS NOT NULL").groupBy("bucket").agg(F.max("doc_id").alias("top")).collect()
-    )
-    # the row after the last of a bucket is the first of the next lower one
-    guests = [(tops[i][0], tops[i - 1][1]) for i in range(len(tops))]
-    wanted = spark.createDataFrame(guests, "to int, doc_id long")
-    visiting = slim.join(F.broadcast(wanted), "doc_id").select("doc_id", "text", F.col("to").alias("bucket"))
+    # ids in descending order, without the overflow of a minus sign
+    key = {"_k": F.bitwise_not("doc_id"), "_h": F.xxhash64("text")}
+    named = slim.where("doc_id IS NOT NULL").withColumns(key)
+    placed = with_range(named, list(key), BUCKETS_PER_PARTITION * salts_for(docs), "bucket")
+    # one row for each range
+    firsts = placed.groupBy("bucket").agg(F.min(F.struct(*key)).alias("first"))
+    order = Window.orderBy("bucket")
+    around = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    guests = firsts.select(
+        "bucket", F.coalesce(F.lead("first").over(order), F.first("first").over(around)).alias("guest")
+    ).select("bucket", "guest.*")
+    visiting = named.join(F.broadcast(guests), list(key)).dropDuplicates(["bucket"])
     rows = placed.withColumn("guest", F.lit(False)).unionByName(visiting.withColumn("guest", F.lit(True)))
     # fingerprints are made after the move, once for each row
     made = bind(
         rows.repartition("bucket").withColumn("fingerprint", fingerprint(F.col("text"))), ["fingerprint"]
     )
-    order = Window.partitionBy("bucket").orderBy("guest", F.col("doc_id").desc(), F.xxhash64("text"))
-    after = lambda c: F.when(F.col("doc_id").isNotNull(), F.lead(c).over(order))
-    led = made.withColumn("next_text", F.coalesce(after("text"), F.lit(""))).withColumn(
-        "next_fingerprint", after("fingerprint")
+    after = Window.partitionBy("bucket").orderBy("guest", *key)
+    led = made.withColumns(
+        {"next_text": F.lead("text").over(after), "next_fingerprint": F.lead("fingerprint").over(after)}
+    )
+    own = led.where(~F.col("guest")).select("doc_id", "text", "fingerprint", "next_text", "next_fingerprint")
+    lone = bind(slim.where("doc_id IS NULL").withColumn("fingerprint", fingerprint(F.col("text"))), ["fingerprint"])
+    return own.unionByName(
+        lone.withColumns({"next_text": F.lit(""), "next_fingerprint": fingerprint(F.lit(""))})
     )
-    own = led.where(~F.col("guest")).drop("bucket", "guest")
-    return own.withColumn("next_fingerprint", F.coalesce("next_fingerprint", fingerprint(F.lit(""))))
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:

@@ -71,19 +71,20 @@ def targets(
     )
 
 
-def ranked(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size) with `rank`, from 1 within each source, along size, then a hash.
+def ranked(docs: DataFrame, along: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, source, size, *along) with `rank`, from 1 within each source, along size, then a hash
+    of the id, then the columns `along`.
 
     Rows are sorted in range partitions; the rank within a partition is a running count, the
     offset of a (partition, source) comes from one count each. No task sees a whole source.
     The placement is fixed by a checkpoint.
     """
-    order = [F.col("source").isNull(), F.col("source"), F.col("size").desc(), F.col("_h")]
+    order = [F.col("source").isNull(), F.col("source"), F.col("size").desc(), F.col("_h"), *map(F.col, along)]
     placed = cut_lineage(
         docs.withColumn("_h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .select("doc_id", "source", "size", F.monotonically_increasing_id().alias("_at"))
+        .select("doc_id", "source", "size", *along, F.monotonically_increasing_id().alias("_at"))
     )
     placed = placed.withColumn("_part", F.shiftright("_at", 33))
     parts = placed.groupBy("_part", "source").agg(
@@ -102,7 +103,7 @@ def ranked(docs: DataFrame) -> DataFrame:
         (F.col("p._part") == F.col("o._part")) & F.col("p.source").eqNullSafe(F.col("o._s")),
     )
     return joined.select(
-        "doc_id", "source", "size", (F.col("_base") + F.col("_at") - F.col("_first") + 1).alias("rank")
+        "doc_id", "source", "size", *along, (F.col("_base") + F.col("_at") - F.col("_first") + 1).alias("rank")
     )
 
 
@@ -112,16 +113,17 @@ def mix(
     share: float = TOTAL_SHARE,
     most: float = MOST_COPIES,
     seed: int = SEED,
+    along: Sequence[str] = (),
 ) -> DataFrame:
     """One row per document: doc_id, size, source, source_size, target, copies, taken.
 
     Size is the number of words of the whole text (null: 0). Sources may be null. A source of
     size 0 has target 0 and no copies. Repeated rows each count. The offset of a source is a
-    hash of its name and `seed`, so that reruns agree. Other columns are not read; an empty
-    table gives no rows.
+    hash of its name and `seed`, so that reruns agree. Columns `along` are kept and tell rows of one
+    doc_id apart; others are not read. An empty table gives no rows.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    rows = ranked(sized)
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *along)
+    rows = ranked(sized, along)
     # the sizes come from the checkpointed ranks: the texts are read once
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = targets(sums, weights, share, most).select(
@@ -136,7 +138,7 @@ def mix(
     copies = (upto(F.col("rank")) - upto(F.col("rank") - 1)).cast("long")
     return out.select(
         "doc_id", "size", "source", "source_size", "target", copies.alias("copies"),
-        (copies * F.col("size")).alias("taken"),
+        (copies * F.col("size")).alias("taken"), *along,
     )
 
 
@@ -146,25 +148,42 @@ def source_offset(key: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+#: Copies of one document that one task writes.
+COPIES_AT_ONCE = 1000
+
+
 def apply(docs: DataFrame, **how) -> DataFrame:
     """`docs` with every row repeated as often as the mix takes it, columns unchanged.
 
-    Rows that share a doc_id share its copies: they are dealt to those rows in turn, in the
-    order of their texts. Of rows without doc_id those with the same text share theirs.
+    Rows are told apart by doc_id, source and text; rows that repeat all three take copies of any one
+    of them together. Rows without doc_id are told apart by source and text.
+
+    Whatever share of the rows one doc_id has, its texts go to different tasks; repeated rows are
+    made one where they are read, and their copies are written by as many tasks as it takes.
     """
-    unnamed = F.concat(F.lit("?"), F.xxhash64("source", "text").cast("string"))
-    id_ = F.coalesce(F.col("doc_id").cast("string"), unnamed)
-    taken = mix(docs.select(id_.alias("doc_id"), "source", "text"), **how)
-    per_id = taken.groupBy(F.col("doc_id").alias("id")).agg(
-        F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n_rows")
-    )
-    joined = packed(docs, id=id_).join(per_id, "id")
-    turn = F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("doc.text")))
-    dealt = joined.withColumn("turn", turn)
-    own = F.floor((F.col("copies") + F.col("n_rows") - F.col("turn")) / F.col("n_rows")).cast("int")
-    times = (
-        dealt.withColumn("own", own)
-        .where("own > 0")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("own"))))
+    told = {
+        "id": F.coalesce(F.col("doc_id").cast("string"), F.lit("?")),
+        "h": F.xxhash64("source", "text"),
+    }
+    slim = docs.select(told["id"].alias("doc_id"), "source", "text", told["h"].alias("h"))
+    taken = mix(slim, along=["h"], **how)
+    per_row = cut_lineage(
+        taken.groupBy(F.col("doc_id").alias("id"), "h").agg(
+            F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n_rows")
+        )
     )
-    return unpacked(times, docs.columns)
+    rows = packed(docs, **told)
+    wanted = per_row.where("copies > 0")
+    single = rows.join(wanted.where("n_rows = 1"), ["id", "h"])
+    out = single.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    repeated = wanted.where("n_rows > 1")
+    if not repeated.isEmpty():
+        pick = F.first if "map<" in docs.schema.simpleString() else F.min
+        # made one before the shuffle, and only then looked up
+        one = rows.groupBy("id", "h").agg(pick("doc").alias("doc")).join(repeated, ["id", "h"])
+        lots = F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / COPIES_AT_ONCE))
+        dealt = one.withColumn("lot", F.explode(lots)).repartition("id", "h", "lot")
+        left = F.least(F.col("copies") - F.col("lot") * COPIES_AT_ONCE, F.lit(COPIES_AT_ONCE))
+        many = dealt.withColumn("copy", F.explode(F.sequence(F.lit(1), left.cast("int"))))
+        out = out.select("doc").unionByName(many.select("doc"))
+    return unpacked(out, docs.columns)
