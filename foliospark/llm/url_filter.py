@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from foliospark.functions.binding import bind, let
 from foliospark.operators.skew import lookup_join
+from foliospark.session import cut_lineage
 
 ALLOW, BLOCK = "allow", "block"
 
@@ -173,7 +174,8 @@ def train(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> GBTClassificationM
         .limit(sample_rows)
         .select(*LEXICAL, *SUFFIX, label)
     )
-    known = _assembled(sample).select("features", "label")
+    # the fit passes over it many times
+    known = cut_lineage(_assembled(sample).select("features", "label"))
     n, blocked = known.agg(F.count("label"), F.sum("label")).first()
     if not n or blocked in (0.0, float(n)):
         return float(blocked or 0.0) / max(n, 1)
@@ -188,7 +190,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, threshold: float = 0.
     Repeated rows stay, other columns are not read, an empty table gives no rows. Whatever share of
     the urls one suffix holds, its statistics are one row copied to sub-keys that occur.
     """
-    rows = described(pages, rules)
+    # read and described once; what follows passes over numbers
+    rows = cut_lineage(described(pages, rules))
     rows = lookup_join(rows, suffix_statistics(rows), ["suffix"], ["url"])
     model = train(rows)
     if isinstance(model, float):

@@ -1,5 +1,9 @@
 """Toxicity and language: gradients, fast form, held-out accuracy, contracts."""
 
+import math
+import random
+import re
+
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
@@ -114,3 +118,36 @@ def test_blocks_of_a_long_text_count_alike(monkeypatch):
     whole = lang_id.features(text)
     monkeypatch.setattr(lang_id, "_BLOCK", 64)
     assert np.allclose(lang_id.features(text), whole)
+
+
+def test_decoding_equals_plain():
+    """Every bit's classifier over plainly counted n-grams, and the codeword of the least loss."""
+    rng = random.Random(4)
+    words = {"en": "the cat and dog of house".split(), "fr": "le chat et chien de maison".split(), "de": "die katze und der hund".split(),
+             "es": "el gato y perro de casa".split(), "it": "il gatto e cane di casa".split(), "pt": "o gato e cachorro da casa".split()}
+    texts = [(" ".join(rng.choices(ws, k=12)), lang) for lang, ws in words.items() for _ in range(20)]
+    model = lang_id.fit([t for t, _ in texts], [x for _, x in texts])
+    right = 0
+    for text, lang in texts[::3] + [("Ça, c'est 12 LE chat!", "fr")]:
+        raw = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + " "
+        data, counts = " ".join(raw.split(" ")).encode(), {}
+        data = re.sub(rb"  +", b" ", data)
+        for n in lang_id.SIZES:
+            for i in range(len(data) - n + 1):
+                gram = int.from_bytes(data[i : i + n], "big")
+                at = ((gram + n) * 2654435761 & 0xFFFFFFFF) >> 20
+                counts[at] = counts.get(at, 0) + 1
+        total = sum(counts.values())
+        losses = []
+        for code in model.codes:
+            loss = 0.0
+            for bit in range(model.codes.shape[1]):
+                margin = model.bias[bit] + sum(math.sqrt(k / total) * model.weights[at, bit] for at, k in counts.items())
+                loss += model.bit_weight[bit] * math.log1p(math.exp(-code[bit] * margin))
+            losses.append(loss)
+        shares = [math.exp(min(losses) - x) for x in losses]
+        got = model.predict(text)
+        assert got[0] == model.languages[losses.index(min(losses))]
+        assert got[1] == pytest.approx(max(shares) / sum(shares), abs=1e-3)
+        right += got[0] == lang
+    assert right >= 38
