@@ -770,3 +770,24 @@ ORACLES["files_by_bytes"] = """SELECT source, CAST(count(*) AS BIGINT) AS docume
   CAST(sum(coalesce(strlen(text), 0) + coalesce(strlen(lang), 0) + coalesce(strlen(source), 0) + 16) AS BIGINT) AS bytes,
   true AS none_too_large, true AS none_too_many
 FROM documents GROUP BY source"""
+
+# --- results that go through files ------------------------------------------------------
+
+ORACLES["pdf_discovery"] = f"""WITH {_PARTS}
+SELECT path, document_name, length FROM parts WHERE extension = '.pdf'"""
+
+ORACLES["classification_csv_round_trip"] = ORACLES["classification_metrics"]
+
+_FINDINGS = (
+    ("duplicate_invoices", "duplicate_invoices", "document_count"), ("expiring_contracts", "expiring_contracts", "days_to_expiry"),
+    ("vendor_spend", "vendor_net_spend", "doc_count"), ("data_quality_flags", "data_quality_flags", "length(issue)"),
+)
+ORACLES["analysis_round_trip"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS name, CAST(count(*) AS BIGINT) AS rows_, CAST(sum({total}) AS BIGINT) AS total FROM ({ORACLES[query]})"
+    for name, query, total in _FINDINGS
+)
+
+ORACLES["text_table_round_trip"] = f"""WITH {_OUTCOME}
+SELECT o.path, concat('Doc_', o.doc_id, regexp_extract(o.path, '[.][^.]*$')) AS document_name, '{RUN_TS}' AS run_ts,
+  md5(d.text) AS text_md5
+FROM outcome o JOIN documents d ON o.doc_id = d.doc_id WHERE success ORDER BY o.path"""

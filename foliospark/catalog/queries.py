@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,7 @@ from foliospark.operators.skew import lookup_join
 from foliospark.plans import ingestion as PG
 from foliospark.plans import invoices as PI
 from foliospark.plans import staged as PS
+from foliospark.session import cut_lineage, remove_folder, shared_folder
 from foliospark.sinks import stages as K
 from foliospark.sources import records as SR
 from foliospark.sources import runs as RUN
@@ -818,3 +821,69 @@ def files_by_bytes(spark, sf):
         F.bool_and(F.col("bytes") <= limit + F.col("widest")).alias("none_too_large"),
         (F.count(F.lit(1)) <= F.ceil(F.sum("bytes") / limit) + 1).alias("none_too_many"),
     )
+
+
+# --- results that go through files ------------------------------------------------------
+
+
+def _through(spark, write, read):
+    """What `read` makes of what `write` wrote into a new shared folder, which goes when it is read."""
+    folder = f"{shared_folder(spark)}/through-{uuid.uuid4().hex}"
+    write(folder)
+    out = cut_lineage(read(folder))
+    remove_folder(spark, folder)
+    return out
+
+
+@query
+def pdf_discovery(spark, sf):
+    found = G.discover_documents(X.page_listing(spark, sf).drop("text"), suffixes=[".pdf"], max_size_mb=None)
+    return found.select("path", "document_name", "length")
+
+
+@query
+def classification_csv_round_trip(spark, sf):
+    """Results of stage 2 as the flat file that stage 3 reads."""
+    results = C.classification_metrics(_classified(spark, sf))
+    return _through(
+        spark, lambda at: K.write_csv(results, at), lambda at: SR.read_classification_csv(spark, at)
+    )
+
+
+@query
+def analysis_round_trip(spark, sf):
+    """The four tables of stage 4 as stage 5 reads them: rows of each, and what they add up to."""
+    tables = PS.analyze_records(X.records(spark, sf), X.TODAY)
+    tables["duplicate_invoices"] = A.duplicate_invoices(X.rebilled_records(spark, sf))
+
+    def read(at):
+        back = SR.read_analysis(spark, at)
+        total = {"duplicate_invoices": "document_count", "expiring_contracts": "days_to_expiry", "vendor_spend": "doc_count"}
+        rows = [
+            df.select(
+                F.lit(name).alias("name"),
+                (F.col(total[name]) if name in total else F.length("issue")).cast("bigint").alias("n"),
+            )
+            for name, df in back.items()
+        ]
+        every = reduce(DataFrame.unionByName, rows)
+        return every.groupBy("name").agg(F.count(F.lit(1)).alias("rows_"), F.sum("n").alias("total"))
+
+    return _through(spark, lambda at: K.write_analysis(tables, at), read)
+
+
+@query
+def text_table_round_trip(spark, sf):
+    """The texts of a published run, as stage 2 reads them: one row per document, in path order."""
+    outcome = _outcome(spark, sf).where("success").select("path", "document_name", "text")
+
+    def write(at):
+        K.write_run(outcome, at, "01_Ingestion", RUN_TS)
+        # a later run that was never finished
+        K.write_stage(outcome.limit(1), at, "01_Ingestion", "20250101_000000")
+
+    def read(at):
+        texts = spark.read.parquet(at)
+        return RUN.tracker_rows(texts, "01_Ingestion", published=RUN.read_published(spark, at))
+
+    return _through(spark, write, read).select("path", "document_name", "run_ts", fingerprint("text").alias("text_md5"))

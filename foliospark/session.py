@@ -45,6 +45,12 @@ def make_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder with all it holds."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))

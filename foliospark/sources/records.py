@@ -13,9 +13,10 @@ from foliospark.operators.extract import all_fields
 
 
 def read_classification_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Results of stage 2 from its flat file. A flat file does not tell NULL from empty: texts are empty."""
     return (
         spark.read.schema(schemas.CLASSIFICATION)
-        .options(header=True, multiLine=True, escape='"', emptyValue="")
+        .options(header=True, multiLine=True, escape='"', emptyValue="", nullValue="\0")
         .csv(path)
     )
 
