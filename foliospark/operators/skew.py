@@ -103,7 +103,8 @@ DRAWN_PER_RANGE = 20
 
 
 def splitters(df: DataFrame, order_by: Sequence[str], ranges: int) -> Column:
-    """A scalar subquery: the sorted keys, as structs, that cut `df` into about `ranges` ranges.
+    """A scalar subquery: the sorted keys, as structs, that cut `df` into about `ranges` ranges (`fine`),
+    and about every root-th of them (`coarse`), for two short looks in place of a long one.
 
     Of each of `DRAWN_PER_RANGE * ranges` hash cells of the keys that of the lowest hash is drawn: a
     uniform draw of bounded size, the same one whenever it is computed.
@@ -114,18 +115,28 @@ def splitters(df: DataFrame, order_by: Sequence[str], ranges: int) -> Column:
     drawn = df.groupBy(cell.alias("_cell")).agg(
         F.min(F.struct(F.xxhash64(F.lit(1), *order_by).alias("_h"), key.alias("_k")))["_k"].alias("_k")
     )
-    listed = F.sort_array(F.collect_list("_k"))  # one for each cell at most
-    step = F.greatest(F.lit(1), F.floor(F.size(listed) / F.lit(ranges)).cast("int"))
-    return drawn.agg(F.filter(listed, lambda k, i: (i > 0) & (i % step == 0))).scalar()
+    listed = drawn.agg(F.collect_list("_k").alias("_l"))  # one for each cell at most
+    # sorted once, and the step taken once: a lambda would do either again for each element
+    every = lambda n: lambda k, i: i % n == 0
+    step = lambda l: F.greatest(F.lit(1), F.floor(F.size(l) / F.lit(ranges)).cast("int"))
+    fine = let(
+        F.sort_array("_l"),
+        lambda l: let(step(l), lambda n: F.slice(F.filter(l, every(n)), 2, F.greatest(F.size(l), F.lit(1)))),
+    )
+    both = let(fine, lambda f: F.struct(f.alias("fine"), F.filter(f, every(_width(ranges))).alias("coarse")))
+    return listed.select(both).scalar()
+
+
+def _width(ranges: int) -> int:
+    return max(1, int(ranges**0.5))
 
 
 def _range_of(key: Column, cuts: Column, ranges: int) -> Column:
-    """How many of the sorted `cuts` are at or below the key, by way of about every root-th one."""
-    width = max(1, int(ranges**0.5))
+    """How many of the sorted cuts are at or below the key."""
+    width = _width(ranges)
     below = lambda some: F.size(F.filter(some, lambda c: c <= key))
-    coarse = lambda all_: below(F.filter(all_, lambda c, i: i % width == 0))
-    fine = lambda all_, n: F.when(n == 0, 0).otherwise((n - 1) * width + below(F.slice(all_, (n - 1) * width + 1, width)))
-    return let(cuts, lambda all_: let(coarse(all_), lambda n: fine(all_, n)))
+    fine = lambda n: (n - 1) * width + below(F.slice(cuts["fine"], (n - 1) * width + 1, width))
+    return let(below(cuts["coarse"]), lambda n: F.when(n == 0, 0).otherwise(fine(n)))
 
 
 def with_range(df: DataFrame, order_by: Sequence[str], ranges: int, name: str) -> DataFrame:
