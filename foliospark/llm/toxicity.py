@@ -14,7 +14,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +38,7 @@ THRESHOLD = 0.7
 #: Longer texts, in bytes, are not learned from, so that the sample is bounded in bytes as well.
 LONGEST_LEARNED = 40_000
 #: Distinct words whose inputs a worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 120_000
 #: Words that are scored at once: a whole number of strides.
 _BLOCK_WORDS = 1024 * STRIDE
 
@@ -149,14 +148,6 @@ class Network:
         self.scale, self.shift = 1.0, 0.0
         self.prior = 0.0
 
-    def key(self) -> str:
-        """A digest of all that scores depend on."""
-        state = xxhash.xxh128()
-        for name in sorted(self.p):
-            state.update(self.p[name].tobytes())
-        state.update(repr((self.scale, self.shift, self.prior)).encode())
-        return state.hexdigest()
-
     def embed(self, inputs: tuple) -> tuple[np.ndarray, np.ndarray]:
         word, grams, real = inputs
         share = real / np.sqrt(np.maximum(real.sum(1, keepdims=True), 1))
@@ -308,7 +299,9 @@ class Scorer:
             new = list({w for w, i in zip(words, got) if i is None})
             have, total = len(self.index), len(self.index) + len(new)
             if total > len(self.table):
-                grown = np.zeros((max(total, 2 * len(self.table)), 6 * HIDDEN), np.float32)
+                # doubled up to the limit, which the words of one block may pass
+                size = max(total, min(2 * len(self.table), self.limit))
+                grown = np.zeros((size, 6 * HIDDEN), np.float32)
                 grown[:have] = self.table[:have]
                 self.table = grown
             for at in range(0, len(new), 8192):
@@ -370,18 +363,6 @@ class Scorer:
         yield from flush()
 
 
-_SCORERS: dict[tuple[str, int], Scorer] = {}
-
-
-def scorer_of(network: Network, key: str, cache_words: int = CACHE_WORDS) -> Scorer:
-    """The scorer of this process for the network of this key: a worker that runs several tasks
-    remembers its words from one to the next. Only the last network is held."""
-    if (key, cache_words) not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key, cache_words] = Scorer(network, cache_words)
-    return _SCORERS[key, cache_words]
-
-
 def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = SEED) -> Network:
     """Train on whole texts with labels 0 or 1. With one class only, all scores are its share."""
     net = Network(seed)
@@ -543,10 +524,8 @@ def score(docs: DataFrame, network: Network, cache_words: int = CACHE_WORDS) ->
     table gives no rows.
     """
 
-    key = network.key()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = scorer_of(network, key, cache_words)
+        scorer = Scorer(network, cache_words)  # its memory ends with the task
         for b in batches:
             made = list(scorer.scores(t.as_py() for t in b.column(1)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.float64())], ["doc_id", "score"])
@@ -561,10 +540,8 @@ def reject(docs: DataFrame, network: Network, threshold: float = THRESHOLD) -> D
     """`docs` without the rows whose score reaches `threshold`: all columns, no shuffle."""
     at = docs.columns.index("text")
 
-    key = network.key()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = scorer_of(network, key)
+        scorer = Scorer(network)
         for b in batches:
             made = list(scorer.scores(t.as_py() for t in b.column(at)))
             yield b.filter(pa.array([s < threshold for s in made], pa.bool_()))
