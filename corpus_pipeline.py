@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from foliospark.llm import line_dedup, mixing, sentencepiece_codec, simhash, toxicity
-from foliospark.session import shared_folder
+from foliospark.session import remove_folder, shared_folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,12 +52,6 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL: str | None = None
 
 
-def remove(spark: SparkSession, folder: str) -> None:
-    """Delete a folder of the shared storage."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; each result is written to the shared folder and read back,
     and goes when the next one is written."""
@@ -68,6 +62,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage(spark, docs, sf_dir).write.parquet(at)
         docs = spark.read.parquet(at)
         if last:
-            remove(spark, last)
+            remove_folder(spark, last)
         last = at
     return docs

@@ -85,21 +85,3 @@ def read_text_files(
     if scan is None:
         return spark.createDataFrame([], "root STRING, path STRING, text STRING")
     return _with_root(scan, root).select("root", "path", decode_text(F.col("content"), strict).alias("text"))
-
-
-def read_texts_of(
-    spark: SparkSession, roots: Sequence[str], max_size_mb: float | None = None
-) -> DataFrame:
-    """(root, path, text) of the text files below all roots, in any spelling of the suffix. Larger
-    files are left out by the listing, before their contents are read. Missing roots are skipped."""
-    parts = []
-    for root in roots:
-        scan = _scan(spark, root, "*.[tT][xX][tT]")
-        if scan is None:
-            continue
-        if max_size_mb is not None:
-            scan = scan.where(F.col("length") <= int(max_size_mb * 1024 * 1024))
-        parts.append(_with_root(scan, root).select("root", "path", decode_text(F.col("content")).alias("text")))
-    if not parts:
-        return spark.createDataFrame([], "root STRING, path STRING, text STRING")
-    return union_roots(parts).drop("root_ord")
