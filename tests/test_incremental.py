@@ -33,8 +33,9 @@ def test_unpublished_runs_are_invisible(spark, tmp_path):
     # the run is chosen by a filter on partition columns; what tells which one is the small table
     plan = latest._jdf.queryExecution().optimizedPlan().toString()
     assert "scalar-subquery" in plan and plan.count("Relation [") == 2 and plan.count("Relation [facts") == 1
-    scan = next(line for line in latest._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in line)
-    assert "run_ts" in scan and "ubquery" in scan
+    # (plan strings cut long filters short, so the filter on run_ts is read off the logical plan)
+    condition = next(line for line in plan.splitlines() if "Filter" in line and "scalar-subquery" in line)
+    assert "run_ts#" in condition
 
 
 @pytest.fixture
