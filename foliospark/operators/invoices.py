@@ -6,6 +6,7 @@ its text), so parsing a corpus needs no shuffle at all.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -62,27 +63,40 @@ def header_fields(df: DataFrame, text: str = "text", this_year: int = 2024) -> D
     ).drop("_date_clean", *raw, *(f"{r}_rank" for r in raw))
 
 
-def _matches(text: Column, rank: int) -> Column:
-    pattern = tame_spaces(rules.LINE_ITEM_PATTERNS[rank])
-    if rank == 0:
-        every = F.regexp_extract_all(text, F.lit(SEARCH_LINES + pattern), F.lit(0))
-        return F.when(text.rlike(SEARCH_LINES + _COLUMNS_MARK), every)
-    # If the first letter of a line starts no match, no later letter of the line does: skip
-    # the rest of the line at once instead of trying them all.
-    by_line = rf"[^A-Za-z\n]*+({pattern})|[^\n]*+\n?"
-    every = F.regexp_extract_all(text, F.lit(SEARCH_LINES + by_line), F.lit(1))
-    return F.when(text.rlike(SEARCH_LINES + _AT_MARK), F.filter(every, lambda m: m != ""))
+# Between the groups of a match: characters that the pattern's own groups cannot contain. No group is
+# empty, so two of them end a match.
+_SEPARATORS = ("\x01", "\n")
+_MARKS = (_COLUMNS_MARK, _AT_MARK)
 
 
-# Between the groups of a match: characters that the pattern's own groups cannot contain.
-_SEPARATORS = ("\x01", "\n")
+def _without_groups(pattern: str) -> str:
+    return re.sub(r"(?<!\\)\((?!\?)", "(?:", pattern)
 
 
-def _groups_of(rank: int) -> Callable[[Column], Column]:
-    """Array of the four groups of a match, found in one search."""
-    sep = _SEPARATORS[rank]
-    pattern = SEARCH_LINES + tame_spaces(rules.LINE_ITEM_PATTERNS[rank])
-    return lambda m: F.split(F.regexp_replace(m, pattern, sep.join(f"${i}" for i in range(1, 5))), sep)
+def _skip(rank: int, pattern: str) -> str:
+    """Alternatives that pass over what starts no match.
+
+    Layout 0: a run of the description's characters ends where the quantity must begin, two spaces
+    after the last word; if no digit is there, no letter of the run starts a match. Layout 1: if the
+    first letter of a line starts no match, no later letter of the line does.
+    """
+    if rank == 0:
+        run = r"[A-Za-z][A-Za-z\s\-&\(\)]*+"
+        return rf"[^A-Za-z]++|{run}(?!(?<=\s\s)\d)|(?!{_without_groups(pattern)})[A-Za-z]"
+    return rf"[^A-Za-z\n]++|\n++|(?!{_without_groups(pattern)})[A-Za-z][^\n]*+"
+
+
+def _matches(text: Column, rank: int) -> Column:
+    """ARRAY of the matches of a layout, each as its four groups; all are found in one pass.
+
+    The text is replaced by the groups of its matches. Every search skips to the next match or to the
+    end, so that no part of the text is searched twice; empty elements may stand for no match.
+    """
+    pattern, sep = tame_spaces(rules.LINE_ITEM_PATTERNS[rank]), _SEPARATORS[rank]
+    search = rf"{SEARCH_LINES}(?:{_skip(rank, pattern)})*+(?:{pattern}|\z)"
+    groups = sep.join(f"${i}" for i in range(1, 5)) + 2 * sep
+    every = F.split(F.rtrim(F.regexp_replace(text, search, groups), F.lit(sep)), 2 * sep)
+    return F.when(text.rlike(SEARCH_LINES + _MARKS[rank]), F.transform(every, lambda m: F.split(m, sep)))
 
 
 def _item_of(rank: int) -> Callable[[Column], Column]:
@@ -92,10 +106,10 @@ def _item_of(rank: int) -> Callable[[Column], Column]:
         return F.replace(text, F.lit(","), F.lit("")).try_cast("double")
 
     return lambda g: F.struct(
-        T.title_case(T.strip(g[0])).alias("description"),
-        number(g[1]).alias("quantity"),
-        number(g[2]).alias("unit_price"),
-        number(g[3]).alias("total_price"),
+        T.strip(T.title_case(F.get(g, F.lit(0)))).alias("description"),
+        number(F.get(g, F.lit(1))).alias("quantity"),
+        number(F.get(g, F.lit(2))).alias("unit_price"),
+        number(F.get(g, F.lit(3))).alias("total_price"),
         F.lit(confidence).alias("confidence"),
         F.lit(False).alias("price_corrected"),
     )
@@ -103,11 +117,9 @@ def _item_of(rank: int) -> Callable[[Column], Column]:
 
 def line_items(text: Column) -> Column:
     """ARRAY of line items: all matches of both layouts with positive numbers."""
-    empty = F.array().cast("array<string>")
+    empty = F.array().cast("array<array<string>>")
     per_layout = [
-        F.transform(
-            F.transform(F.coalesce(_matches(text, rank), empty), _groups_of(rank)), _item_of(rank)
-        )
+        F.transform(F.coalesce(_matches(text, rank), empty), _item_of(rank))
         for rank in range(len(rules.LINE_ITEM_PATTERNS))
     ]
     return F.filter(

@@ -119,7 +119,8 @@ def validate_invoices(parsed: DataFrame, strict: bool = True) -> DataFrame:
             F.col("_warnings").alias("warnings"),
         ),
     ).drop("_errors", "_warnings")
-    return bind(done, ["validation", "dropped_items", "line_items"])
+    # only the lines are costly; unbound, warnings and dropped lines are left out where nobody asks
+    return bind(done, ["line_items"])
 
 
 def consolidated_invoices(validated: DataFrame) -> DataFrame:

@@ -121,3 +121,19 @@ def test_outcomes(spark):
 def test_dedup(spark):
     df = spark.createDataFrame([(1, "a", 2.0), (1, "a", 2.0), (2, "a", 2.0)], "inv INT, d STRING, q DOUBLE")
     assert V.dedup_line_items(df, ["inv", "d", "q"]).count() == 2
+
+
+def test_matches_hold_their_groups(spark):
+    text = "Items 0\nBlue widgets  2  $3.00  $6.00\nnothing here 4\nRed widgets  7  $1,000.00  $7,000.00"
+    at = "Blue widgets 2 @ $3.00 $6.00\nno total 2 @ $3.00"
+    r = frame(spark, [text, at]).select(I._matches(F.col("text"), 0).alias("a"), I._matches(F.col("text"), 1).alias("b"))
+    columns, ats = r.collect()
+    assert columns.a == [["Blue widgets", "2", "3.00", "6.00"], ["Red widgets", "7", "1,000.00", "7,000.00"]]
+    assert columns.b is None and ats.a is None and ats.b == [["Blue widgets", "2", "3.00", "6.00"]]
+
+
+def test_unused_checks_are_left_out(spark):
+    valid = PI.validated_invoices(frame(spark, ["Invoice No: X-1"]))
+    for df in (V.consolidated_line_items(valid), V.consolidated_invoices(valid)):
+        assert "Invalid unit price" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Invalid unit price" in valid._jdf.queryExecution().optimizedPlan().toString()
