@@ -115,9 +115,11 @@ def guards_of(pattern: str) -> Needs:
 
 def folded(text: Column) -> Column:
     """The text in which literals are looked up."""
+    apart = text
     for char, letter in FOLDED_APART.items():
-        text = F.replace(text, F.lit(char), F.lit(letter))
-    return F.lower(text)
+        apart = F.replace(apart, F.lit(char), F.lit(letter))
+    # none of those is ASCII: a text of one byte for each character is not looked through for them
+    return F.lower(F.when(F.octet_length(text) == F.length(text), text).otherwise(apart))
 
 
 def has_digit(text: Column) -> Column:

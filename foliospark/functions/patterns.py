@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from re import _constants as K
+from re import _parser as P
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +56,36 @@ def tame_spaces(pattern: str) -> str:
     return re.sub(r"\\s(?:\*|\+|\{2,\})(?![+?])", lambda m: m.group(0) + "+", pattern)
 
 
+def _first_letters(tree) -> set[str] | None:
+    """What a match of a parsed pattern may begin with; None where that is no letter."""
+    letters: set[str] = set()
+    for kind, value in tree:
+        if kind is K.LITERAL:
+            first = {chr(value)}
+        elif kind is K.SUBPATTERN:
+            first = _first_letters(value[3])
+        elif kind is K.BRANCH:
+            each = [_first_letters(b) for b in value[1]]
+            first = None if None in each else set().union(*each)
+        elif kind is K.MAX_REPEAT:
+            first = _first_letters(value[2])
+        else:
+            return None
+        if first is None or not all(c.isascii() and c.isalpha() for c in first):
+            return None
+        letters |= first
+        if kind is not K.MAX_REPEAT or value[0] > 0:
+            return letters
+    return None
+
+
+def look_at_first_letter(pattern: str) -> str:
+    """The same matches of a pattern with a choice of first words, whose alternatives are tried one by
+    one only at letters that begin one of them."""
+    letters = _first_letters(P.parse(pattern, re.MULTILINE))
+    return f"(?=[{''.join(sorted(letters))}]){pattern}" if letters and len(letters) > 1 else pattern
+
+
 def with_ranked_search(
     df: DataFrame, text: str, fields: dict[str, Sequence[str]], flags: str = SEARCH_LINES
 ) -> DataFrame:
@@ -72,7 +104,7 @@ def with_ranked_search(
         for field, patterns in fields.items():
             if rank >= len(patterns):
                 continue
-            hit = guarded(patterns[rank], search(F.col(text), tame_spaces(patterns[rank]), flags))
+            hit = guarded(patterns[rank], search(F.col(text), tame_spaces(look_at_first_letter(patterns[rank])), flags))
             for earlier in range(rank):
                 hit = F.when(F.col(tmp(field, earlier)) == "", hit).otherwise(F.lit(""))
             found[tmp(field, rank)] = hit

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliospark import rules
+from foliospark.functions import patterns as P
 from foliospark.operators import invoices as I
 from foliospark.operators import validate as V
 from foliospark.plans import invoices as PI
@@ -137,3 +138,14 @@ def test_unused_checks_are_left_out(spark):
     for df in (V.consolidated_line_items(valid), V.consolidated_invoices(valid)):
         assert "Invalid unit price" not in df._jdf.queryExecution().optimizedPlan().toString()
     assert "Invalid unit price" in valid._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_first_letters_are_looked_at(spark):
+    assert P.look_at_first_letter("(?:bill|from)x") == "(?=[bf])(?:bill|from)x"
+    assert P.look_at_first_letter("(?:due)?total") == "(?=[dt])(?:due)?total"
+    for plain in (r"invoice\d", r"(\d|Jan)x", r"^\s*(A|B)", r"(?:A|\$)x", r"(?:a|b)?\d"):
+        assert P.look_at_first_letter(plain) == plain
+    found = P.with_ranked_search(
+        frame(spark, ["at ſep 5, 2024", "5 of JULY 4 2024", "x"]), "text", {"day": rules.INVOICE_DATE_PATTERNS}
+    )
+    assert [r.day for r in found.orderBy("doc_id").collect()] == ["ſep 5, 2024", "JULY 4 2024", None]
