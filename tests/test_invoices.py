@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliospark import rules
+from foliospark.catalog import derive as X
 from foliospark.functions import patterns as P
 from foliospark.operators import invoices as I
 from foliospark.operators import validate as V
@@ -149,3 +150,19 @@ def test_first_letters_are_looked_at(spark):
         frame(spark, ["at ſep 5, 2024", "5 of JULY 4 2024", "x"]), "text", {"day": rules.INVOICE_DATE_PATTERNS}
     )
     assert [r.day for r in found.orderBy("doc_id").collect()] == ["ſep 5, 2024", "JULY 4 2024", None]
+
+
+def test_rendered_lines(spark, tmp_path):
+    prices = [(3, 1, 0.05), (3, 2, 1234567.89), (3, 3, -7.5), (4, 1, 100.0)]
+    spark.createDataFrame(
+        [(k, 1, 1, n, 2.0, p, "A", "O") for k, n, p in prices],
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+        "l_extendedprice DOUBLE, l_returnflag STRING, l_linestatus STRING",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = X.invoice_lines(spark, str(tmp_path))
+    assert {r.o_orderkey: r.lines for r in df.collect()} == {
+        3: "Accepted open goods 2 @ $-3.74 $-7.49\nAccepted open goods 2 @ $0.03 $0.05\n"
+        "Accepted open goods 2 @ $617,283.95 $1,234,567.89",
+        4: "Accepted open goods  2  $50.00  $100.00",
+    }
+    assert "collect_list(line" in df._jdf.queryExecution().optimizedPlan().toString()
